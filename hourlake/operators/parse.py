@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,22 +79,56 @@ def bad_records(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col(CORRUPT).isNotNull()).select(*keep, CORRUPT)
 
 
+# How the type names printed by schema_of_variant_agg map onto
+# the types Spark's JSON reader infers. Mixed types (VARIANT) and null-only
+# values (VOID) become strings, numbers with a fraction become doubles.
+_VARIANT_TO_JSON_TYPES = (
+    (r"OBJECT<", "STRUCT<"),
+    (r"(?<=: |Y<)VARIANT\b", "STRING"),
+    (r"(?<=: |Y<)VOID\b", "STRING"),
+    (r"(?<=: |Y<)DECIMAL\(\d+,\s*[1-9]\d*\)", "DOUBLE"),
+)
+# Reader options that change inference; with any of them the reader infers.
+_READER_ONLY = ("inferTimestamp", "prefersDecimal", "primitivesAsString", "allowNumericLeadingZeros")
+
+
+def _json_types(variant_schema: str) -> T.StructType | None:
+    ddl = variant_schema
+    for pattern, repl in _VARIANT_TO_JSON_TYPES:
+        ddl = re.sub(pattern, repl, ddl)
+    if not ddl.startswith("STRUCT<"):
+        return None
+    try:
+        parsed = T.StructType.fromDDL(ddl)
+    except Exception:  # noqa: BLE001 - unusual names: let the reader infer
+        return None
+    return parsed
+
+
 def infer_schema(docs: DataFrame, sampling_ratio: float = 1.0, options: dict | None = None,
                  seed: int = 7) -> T.StructType:
-    """Spark's JSON schema inference over the split documents.
-
-    The slow path: inference reads every sampled document once more, and
-    ``DataFrameReader.json`` only takes paths or an RDD of strings, so the
-    sample passes through Python workers. Declare the schema for large runs,
-    or lower ``sampling_ratio``. Columns drifting between files are merged
-    by name; a column whose types disagree widens as Spark widens (numbers
-    to double, anything with text to string).
+    """The schema Spark's JSON reader would infer for the split documents.
+
+    Runs as one native aggregate (``schema_of_variant_agg`` over
+    ``try_parse_json``), partially aggregated on the map side, so inference
+    is a scan with no Python and no per-document driver work. Columns that
+    drift between files are merged by name, fields sorted by name; a column
+    whose types disagree widens as the reader widens (integers with
+    fractions to double, anything mixed with text, booleans or objects to
+    string); malformed documents are skipped. Reader-only options fall back
+    to ``DataFrameReader.json`` over the documents, which passes them
+    through Python workers (the slow path).
     """
-    spark = docs.sparkSession
     sample = docs.select("doc")
     if sampling_ratio < 1.0:
         sample = sample.sample(False, sampling_ratio, seed)
+    if not any(k in (options or {}) for k in _READER_ONLY):
+        printed = sample.agg(F.expr("schema_of_variant_agg(try_parse_json(doc))")).first()[0]
+        if printed is None:
+            return T.StructType([])
+        schema = _json_types(printed)
+        if schema is not None:
+            return T.StructType([f for f in schema.fields if f.name != CORRUPT])
     texts = sample.rdd.map(lambda row: row[0])
-    reader = spark.read.options(**json_options(options))
-    inferred = reader.json(texts).schema
+    inferred = docs.sparkSession.read.options(**json_options(options)).json(texts).schema
     return T.StructType([f for f in inferred.fields if f.name != CORRUPT])
