@@ -128,7 +128,7 @@ def hour_glob(root: str, hours: HourSpec, layout: str = "plain") -> str:
             if len(hs) == 24:
                 leaf = _any(layout, 3)
             else:
-                leaf = _alternatives([_fmt(layout, 3, h) for h in sorted(hs)])
+                leaf = _level(layout, 3, _alternatives([f"{h:02d}" for h in sorted(hs)]))
             parts.append(f"{prefix}/{_fmt(layout, 2, day)}/{leaf}")
     return root + "/" + _alternatives(parts)
 

@@ -34,7 +34,8 @@ def _listing(spark: SparkSession, paths: str, file_glob: str | None) -> DataFram
 def list_files(spark: SparkSession, root: str, hours: HourSpec = "all", layout: str = "plain",
                file_glob: str | None = None) -> DataFrame:
     """One row per landing file in ``hours``: path, bytes, modification time
-    and the hour folder it sits in."""
+    and the hour folder it sits in. Hidden files are not listed, and a
+    0-byte file yields no row (Spark plans no split for it)."""
     try:
         files = _listing(spark, hour_glob(root, hours, layout), file_glob)
     except AnalysisException as err:
