@@ -54,7 +54,12 @@ def parse_documents(docs: DataFrame, schema: T.StructType | str, mode: str = "PE
     opts = json_options(options)
     opts.update({"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     keep = [c for c in docs.columns if c != "doc"]
-    parsed = docs.select(F.col("doc"), F.from_json(F.col("doc"), with_corrupt, opts).alias("_r"), *keep)
+    # The parse result is produced by a one-element inline (a generator), so
+    # filters on it stay above it: with a plain projection the optimizer
+    # copies from_json into every pushed-down filter and parses each
+    # document several times.
+    parsed = docs.select(F.inline(F.array(F.struct(
+        F.col("doc"), F.from_json(F.col("doc"), with_corrupt, opts).alias("_r")))), *keep)
     ok: Column = (F.col("_r").isNotNull() & F.col(f"_r.{CORRUPT}").isNull()
                   & strip_json(F.col("doc")).endswith("}"))
     fields = [F.when(ok, F.col(f"_r.{f.name}")).alias(f.name) for f in struct.fields]
