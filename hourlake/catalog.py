@@ -262,6 +262,25 @@ def row_group_size(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("rows").alias("rows"), F.min(F.col("row_groups") >= 1).alias("has_row_groups"))
 
 
+def publish_two_files_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At most two output files per hour (content-hashed salt), as the
+    original job's two files per flush; rows per hour from the footers."""
+    ws, events = _landed_events(spark, sf_dir, "publish_two_files_per_hour")
+    ingest(spark, f"{ws}/landing", f"{ws}/published", "all", schema=events.schema, layout=HIVE,
+           files_per_hour=2)
+    footers = parquet_footers(list_published_files(spark, f"{ws}/published"))
+    return footers.groupBy(*PARTITION_COLUMNS).agg(
+        F.sum("rows").alias("rows"), (F.count(F.lit(1)) <= 2).alias("at_most_two_files"))
+
+
+def publish_rebalanced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship published through one REBALANCE shuffle on the hour keys."""
+    ws, events = _landed_events(spark, sf_dir, "publish_rebalanced")
+    ingest(spark, f"{ws}/landing", f"{ws}/published", "all", schema=events.schema, layout=HIVE,
+           strategy="rebalance")
+    return _published(spark, f"{ws}/published", events)
+
+
 # ------------------------------------------------------- inventories (S4-S6, R2, R3)
 
 def files_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -344,7 +363,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         union_by_name_drift, union_by_name_frames, type_widening_drift,
         rerun_is_idempotent, rerun_replaces_one_hour, failed_rerun_keeps_old,
         empty_hour_keeps_old, pruned_hour_read, quarantine_bad_lines, quarantine_records,
-        published_rows_reconcile, row_group_size, files_per_hour, new_and_removed_files,
+        published_rows_reconcile, row_group_size, publish_two_files_per_hour, publish_rebalanced,
+        files_per_hour, new_and_removed_files,
         modified_since_hours, ledger_latest_run, ingest_ledger_latest,
         stream_ingest_available_now,
     )
@@ -386,6 +406,9 @@ ORACLE_SQL: dict[str, str] = {
     "published_rows_reconcile": f"SELECT year, month, day, hour, count(*) AS source_docs, CAST(0 AS BIGINT) AS bad_docs, "
                                 f"count(*) AS published_rows, true AS matches FROM ({_PER_HOUR}) GROUP BY ALL",
     "row_group_size": f"SELECT year, month, day, hour, count(*) AS rows, true AS has_row_groups FROM ({_PER_HOUR}) GROUP BY ALL",
+    "publish_two_files_per_hour": f"SELECT year, month, day, hour, count(*) AS rows, true AS at_most_two_files "
+                                  f"FROM ({_PER_HOUR}) GROUP BY ALL",
+    "publish_rebalanced": _FLAGSHIP,
     "files_per_hour": f"SELECT DISTINCT year, month, day, hour, CAST(1 AS BIGINT) AS files, true AS has_bytes FROM ({_PER_HOUR})",
     "new_and_removed_files": f"SELECT DISTINCT year, month, day, hour, CAST(1 AS BIGINT) AS new_files, "
                              f"CAST(CASE WHEN day <= '15' THEN 1 ELSE 0 END AS BIGINT) AS removed_files FROM ({_PER_HOUR})",

@@ -25,14 +25,18 @@ def layout_for_write(df: DataFrame, strategy: str = "direct",
       small hours into shared tasks and splits a hot hour over several tasks
       by the advisory partition size, so an hour holding a third of all rows
       is never written by one task.
-    * ``files_per_hour=n``: exactly at most n files per hour: rows are hashed
-      on their own content into n salt buckets (deterministic under task
-      retries) and shuffled on (hour, salt).
+    * ``files_per_hour=n``: at most n files per hour: rows are hashed on
+      their own content into n salt buckets (deterministic under task
+      retries) and shuffled on (hour, salt) into
+      ``spark.sql.shuffle.partitions`` tasks.
     """
     if files_per_hour:
         data_cols = [c for c in df.columns if c not in keys]
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in data_cols]), F.lit(int(files_per_hour)))
-        return df.repartition(*[F.col(k) for k in keys], salt)
+        # An explicit count: AQE must not coalesce the (hour, salt) groups into
+        # a few tasks, since the cost of this write is per file, not per byte.
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return df.repartition(n, *[F.col(k) for k in keys], salt)
     if strategy == "rebalance":
         return df.hint("rebalance", *keys)
     if strategy == "direct":
