@@ -238,7 +238,7 @@ def quarantine_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quarantine_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws, _ = _quarantine_run(spark, sf_dir, "quarantine_records")
     bad = spark.read.schema(f"_source_file string, {CORRUPT} string, "
-                            + ", ".join(f"{c} string" for c in PARTITION_COLUMNS)) \
+                            + ", ".join(f"{c} string" for c in PARTITION_COLUMNS) + ", run_id string") \
         .parquet(f"{ws}/quarantine")
     return bad.groupBy(*PARTITION_COLUMNS).agg(
         F.count(F.lit(1)).alias("bad_documents"),

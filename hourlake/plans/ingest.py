@@ -67,7 +67,8 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
     an earlier run published. Bad documents are left out of ``dest``
     (PERMISSIVE, DROPMALFORMED) or fail the run before anything is replaced
     (FAILFAST); with ``quarantine`` set, a PERMISSIVE run that met bad
-    documents writes them, with their file and hour, to that table.
+    documents writes them, with their file and hour, to that table under
+    ``run_id=<run>``.
     One row per landed hour goes to ``ledger`` if given.
     """
     hr = HourRange.parse(hours)
@@ -89,8 +90,12 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
             report.quarantined = int(counts.get("bad") or 0)
             report.published = report.documents - report.quarantined
             if quarantine and mode == "PERMISSIVE" and report.quarantined:
-                # Second pass only when the first one met bad documents.
-                write_hours(bad_records(parsed), quarantine, strategy)
+                # Second pass only when the first one met bad documents. One
+                # folder per run, hour keys as columns: a few files per run
+                # rather than one per hour, and a re-run never mixes with or
+                # hides an earlier run's bad documents.
+                (bad_records(parsed).write.mode("overwrite")
+                 .parquet(f"{quarantine.rstrip('/')}/run_id={report.run_id}"))
         report.status = "succeeded"
     except Exception:
         report.status = "failed"
