@@ -26,7 +26,7 @@ from hourlake.sources.inventory import (
 )
 from hourlake.sources.json_writer import to_documents, write_landing
 from hourlake.sources.landing import read_documents
-from hourlake.sources.published import read_published
+from hourlake.sources.published import read_published, register_table
 from hourlake.streaming.file_stream import ingest_stream
 
 EVENTS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -208,6 +208,17 @@ def pruned_hour_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published(spark, f"{ws}/published", events, PRUNED_DAY)
 
 
+def published_table_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published hours as a partitioned catalog table, queried in SQL;
+    the day filter prunes partitions in the catalog."""
+    ws, events = _landed_events(spark, sf_dir, "published_table_sql")
+    ingest(spark, f"{ws}/landing", f"{ws}/published", "all", schema=events.schema, layout=HIVE)
+    table = "hourlake_events_" + ws.rsplit("-", 1)[-1]
+    register_table(spark, table, f"{ws}/published", events.schema)
+    cols = ", ".join(PUBLISHED)
+    return spark.sql(f"SELECT {cols} FROM {table} WHERE year = '2024' AND month = '01' AND day = '03'")
+
+
 def _land_truncated(events: DataFrame, root: str, every: int = 10) -> None:
     """Land events as JSON lines, cutting the closing brace (and more) off
     the documents of every ``every``-th event."""
@@ -362,7 +373,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         text_with_braces_roundtrip, array_line_scan, nested_struct_roundtrip,
         union_by_name_drift, union_by_name_frames, type_widening_drift,
         rerun_is_idempotent, rerun_replaces_one_hour, failed_rerun_keeps_old,
-        empty_hour_keeps_old, pruned_hour_read, quarantine_bad_lines, quarantine_records,
+        empty_hour_keeps_old, pruned_hour_read, published_table_sql, quarantine_bad_lines, quarantine_records,
         published_rows_reconcile, row_group_size, publish_two_files_per_hour, publish_rebalanced,
         files_per_hour, new_and_removed_files,
         modified_since_hours, ledger_latest_run, ingest_ledger_latest,
@@ -400,6 +411,7 @@ ORACLE_SQL: dict[str, str] = {
     "failed_rerun_keeps_old": _FLAGSHIP,
     "empty_hour_keeps_old": _FLAGSHIP,
     "pruned_hour_read": f"{_FLAGSHIP} WHERE strftime(ts, '%Y-%m-%d') = '2024-01-03'",
+    "published_table_sql": f"{_FLAGSHIP} WHERE strftime(ts, '%Y-%m-%d') = '2024-01-03'",
     "quarantine_bad_lines": f"{_FLAGSHIP} WHERE event_id % 10 <> 0",
     "quarantine_records": f"SELECT year, month, day, hour, count(*) AS bad_documents, true AS all_kept_text "
                           f"FROM (SELECT {_HOURS} FROM events WHERE event_id % 10 = 0) GROUP BY ALL",

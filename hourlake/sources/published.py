@@ -28,3 +28,24 @@ def read_published(spark: SparkSession, dest: str, hours: HourSpec = "all",
           .parquet(dest))
     cond = hour_predicate(hours)
     return df if cond is None else df.where(cond)
+
+
+def register_table(spark: SparkSession, name: str, dest: str, schema: T.StructType | None = None,
+                   recover: bool = True) -> None:
+    """Expose the published table in the session catalog as an external,
+    partitioned Parquet table (``year/month/day/hour`` as string partition
+    columns) and register the hour folders as catalog partitions.
+
+    Queries on the table then prune hours in the catalog before any listing:
+    a one-hour query lists one folder, however many hours the lake holds.
+    Call again (or ``ALTER TABLE .. RECOVER PARTITIONS``) after new hours are
+    published; the recovery scans the folders with a parallel Spark job.
+    """
+    full = published_schema(spark, dest.rstrip("/"), schema)
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.fields)
+    keys = ", ".join(PARTITION_COLUMNS)
+    location = dest.rstrip("/").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+              f"PARTITIONED BY ({keys}) LOCATION '{location}'")
+    if recover:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")

@@ -107,3 +107,17 @@ def test_pruned_read_plan(spark, workdir):
     assert "PartitionFilters" in plan and [r.id for r in df.collect()] == [2]
     one = read_published(spark, dest, "2024-01-01 00")
     assert [r.id for r in one.collect()] == [1]
+
+
+def test_catalog_table_prunes_hours(spark, workdir):
+    src, dest = os.path.join(workdir, "l"), os.path.join(workdir, "lake")
+    _land(src, "2024-01-01 00", [1])
+    _land(src, "2024-01-02 05", [2])
+    ingest(spark, src, dest, "all", schema=SCHEMA)
+    from hourlake.sources.published import register_table
+    name = "t_" + os.path.basename(workdir).replace("-", "_")
+    register_table(spark, name, dest)
+    df = spark.sql(f"SELECT id, hour FROM {name} WHERE day = '02'")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PrunedInMemoryFileIndex" in plan
+    assert [tuple(r) for r in df.collect()] == [(2, "05")]
