@@ -119,5 +119,6 @@ def test_catalog_table_prunes_hours(spark, workdir):
     register_table(spark, name, dest)
     df = spark.sql(f"SELECT id, hour FROM {name} WHERE day = '02'")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PrunedInMemoryFileIndex" in plan
+    assert "PartitionFilters: [isnotnull(day" in plan
+    assert all("/day=02/" in f for f in df.inputFiles())
     assert [tuple(r) for r in df.collect()] == [(2, "05")]
