@@ -89,12 +89,12 @@ def concat_json_rows_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_with_braces_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents whose text holds '}{', quotes and backslashes, landed
-    back to back in one (hot) hour spread over four files."""
+    back to back in one (hot) hour, at most 50 documents per line."""
     ws = scratch_dir(spark, "text_with_braces_roundtrip")
     docs = _table(spark, sf_dir, "documents")
     docs = docs.withColumn("text", F.concat(F.col("text"), F.lit(BRACES_SUFFIX)))
     write_landing(docs, f"{ws}/landing", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"),
-                  style="concat", files_per_hour=4)
+                  style="concat", docs_per_line=50, rows_per_file=250)
     parsed, _ = parsed_landing(spark, f"{ws}/landing", "all", docs.schema, HIVE)
     return good_records(parsed).select(*docs.columns)
 
@@ -112,7 +112,7 @@ def nested_struct_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = conv.select("conv_id", F.struct("turn", "role", "text").alias("msg"),
                          F.split(F.col("text"), " ").alias("words"))
     write_landing(nested, f"{ws}/landing", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"),
-                  style="lines", files_per_hour=4)
+                  style="lines", rows_per_file=250)
     ingest(spark, f"{ws}/landing", f"{ws}/published", "all", schema=nested.schema, layout=HIVE)
     pub = read_published(spark, f"{ws}/published", schema=nested.schema)
     return pub.select("conv_id", F.col("msg.turn").alias("turn"), F.col("msg.role").alias("role"),

@@ -20,7 +20,7 @@ def to_documents(df: DataFrame, columns: list[str] | None = None) -> Column:
 
 
 def write_landing(df: DataFrame, root: str, hour_from: Column | str | None = None,
-                  style: str = "lines", docs_per_line: int = 1000, files_per_hour: int = 1,
+                  style: str = "lines", docs_per_line: int = 1000, rows_per_file: int = 1_000_000,
                   num_partitions: int | None = None, columns: list[str] | None = None,
                   mode: str = "append") -> None:
     """Land ``df`` as JSON text under ``root``/year=YYYY/month=MM/day=DD/hour=HH.
@@ -31,12 +31,15 @@ def write_landing(df: DataFrame, root: str, hour_from: Column | str | None = Non
     back to back ("}{") on one line; ``array`` writes them as one JSON array
     per line.
 
-    Rows are hashed on (hour, salt) into ``num_partitions`` tasks, the salt
-    spreading each hour over ``files_per_hour`` files, so every hour gets at
-    most that many files however hot it is. Lines are then cut from
-    consecutive rows of one task and one (hour, salt): the grouping reuses
-    that partitioning (no second shuffle) and no line gathers more than
-    ``docs_per_line`` documents.
+    Every hour is cut into chunks of at most ``rows_per_file`` consecutive
+    rows of one scan task (ids taken before the shuffle, so a retried task
+    rebuilds the same chunks). Chunks are hashed into ``num_partitions``
+    tasks (default ``spark.sql.shuffle.partitions``, an explicit count that
+    AQE does not merge), so a hot hour is spread over many tasks and files;
+    ``maxRecordsPerFile`` keeps every file at ``rows_per_file`` lines or
+    fewer. Lines are cut the same way inside a chunk; grouping them reuses
+    the chunk partitioning (no second shuffle, unless the hour keys are
+    constants) and no line gathers more than ``docs_per_line`` documents.
     """
     if style not in STYLES:
         raise ValueError(f"style must be one of {STYLES}")
@@ -47,19 +50,21 @@ def write_landing(df: DataFrame, root: str, hour_from: Column | str | None = Non
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     doc = to_documents(df, columns)
     keys = [F.col(c) for c in PARTITION_COLUMNS]
-    salt = F.pmod(F.xxhash64(F.col("doc")), F.lit(int(files_per_hour))).alias("_salt")
-    spread = df.select(doc.alias("doc"), *keys).select("*", salt) \
-        .repartition(n, *keys, F.col("_salt"))
+    row = F.monotonically_increasing_id()
+    spread = (df.select(doc.alias("doc"), *keys, row.alias("_row"))
+              .select("doc", *keys,
+                      F.floor(F.col("_row") / F.lit(int(rows_per_file))).alias("_file"),
+                      F.floor(F.col("_row") / F.lit(int(docs_per_line))).alias("_line"))
+              .repartition(n, *keys, F.col("_file")))
     if style == "lines":
         out = spread.select(F.col("doc").alias("value"), *keys)
     else:
-        chunk = F.floor(F.monotonically_increasing_id() / F.lit(int(docs_per_line)))
-        grouped = (spread.select("*", chunk.alias("_chunk"))
-                   .groupBy(*PARTITION_COLUMNS, "_salt", "_chunk")
+        grouped = (spread.groupBy(*PARTITION_COLUMNS, "_file", "_line")
                    .agg(F.collect_list("doc").alias("docs")))
         if style == "concat":
             line = F.array_join("docs", "")
         else:
             line = F.concat(F.lit("["), F.array_join("docs", ","), F.lit("]"))
         out = grouped.select(line.alias("value"), *keys)
-    out.write.mode(mode).partitionBy(*PARTITION_COLUMNS).text(root.rstrip("/"))
+    (out.write.mode(mode).option("maxRecordsPerFile", int(rows_per_file))
+     .partitionBy(*PARTITION_COLUMNS).text(root.rstrip("/")))
