@@ -58,13 +58,13 @@ def list_published_files(spark: SparkSession, dest: str) -> DataFrame:
 
 def modified_since(files: DataFrame, since: datetime | str) -> DataFrame:
     """Files modified at or after ``since`` (inclusive, unlike the reader's
-    strict ``modifiedAfter`` option). A naive ``since`` is read as UTC."""
+    strict ``modifiedAfter`` option). A naive ``since`` is read as UTC,
+    whatever the session time zone."""
     if isinstance(since, datetime):
         if since.tzinfo is not None:
             since = since.astimezone(timezone.utc).replace(tzinfo=None)
-        since = since.strftime("%Y-%m-%d %H:%M:%S.%f")
-    return files.where(F.col("modificationTime") >= F.to_utc_timestamp(F.lit(since).cast("timestamp"),
-                                                                       F.lit("UTC")))
+        since = since.strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+    return files.where(F.col("modificationTime") >= F.lit(since).cast("timestamp"))
 
 
 FOOTER_SCHEMA = "path string, row_groups bigint, rows bigint"
