@@ -37,6 +37,7 @@ BRACES_SUFFIX = '}{ "}{" \\ '
 ONE_HOUR = "2024-01-02 05"
 PRUNED_DAY = ("2024-01-03 00", "2024-01-03 23")
 FIRST_HALF = ("2024-01-01 00", "2024-01-15 23")
+JANUARY = ("2024-01-01 00", "2024-01-31 23")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -347,9 +348,10 @@ def ledger_latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_ledger_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs recorded in the ledger; the latest run of every hour."""
+    """Two runs recorded in the ledger, the second over all of January; the
+    latest run of every hour, hours without files included."""
     ws, events = _landed_events(spark, sf_dir, "ingest_ledger_latest", style="lines")
-    for hours in (FIRST_HALF, "all"):
+    for hours in (FIRST_HALF, JANUARY):
         ingest(spark, f"{ws}/landing", f"{ws}/published", hours, schema=events.schema,
                layout=HIVE, ledger=f"{ws}/ledger")
     latest = latest_runs(read_ledger(spark, f"{ws}/ledger"))
@@ -428,7 +430,11 @@ ORACLE_SQL: dict[str, str] = {
     "ledger_latest_run": "SELECT o_orderstatus, o_orderpriority, o_orderdate, o_orderkey, o_custkey, o_totalprice FROM ("
                          "SELECT *, row_number() OVER (PARTITION BY o_orderstatus, o_orderpriority "
                          "ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1",
-    "ingest_ledger_latest": f"SELECT DISTINCT year, month, day, hour, CAST(1 AS BIGINT) AS files, 'succeeded' AS status, "
-                            f"true AS all_published FROM ({_PER_HOUR})",
+    "ingest_ledger_latest": "SELECT strftime(h, '%Y') AS year, strftime(h, '%m') AS month, strftime(h, '%d') AS day, "
+                            "strftime(h, '%H') AS hour, CAST(CASE WHEN e.n IS NULL THEN 0 ELSE 1 END AS BIGINT) AS files, "
+                            "'succeeded' AS status, true AS all_published "
+                            "FROM generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-31 23:00:00', "
+                            "INTERVAL 1 HOUR) AS t(h) LEFT JOIN (SELECT date_trunc('hour', ts) AS h, count(*) AS n "
+                            "FROM events GROUP BY 1) AS e USING (h)",
     "stream_ingest_available_now": _FLAGSHIP,
 }

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourlake.functions.hours import HourRange, HourSpec
+from hourlake.functions.hours import PARTITION_COLUMNS, HourRange, HourSpec, hour_columns_from_ts
 from hourlake.operators.files import bytes_per_hour
 from hourlake.operators.ledger import append_ledger, run_entries
 from hourlake.operators.parse import (
@@ -107,9 +107,25 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
     return report
 
 
+def requested_hours(spark: SparkSession, hours: HourRange) -> DataFrame:
+    """One row per hour of a closed range, generated on the executors."""
+    start = F.lit(hours.start.strftime("%Y-%m-%d %H:00:00")).cast("timestamp_ntz")
+    ts = start + F.make_dt_interval(hours=F.col("id").cast("int"))
+    return spark.range(len(hours)).select(*hour_columns_from_ts(ts))
+
+
 def record_run(spark: SparkSession, report: IngestReport, layout: str,
                file_glob: str | None, ledger: str) -> None:
+    """Append one ledger row per hour of the run: every requested hour for
+    a closed range (0 files where nothing landed, so a run over an empty hour
+    is still recorded), every landed hour for an open one."""
     per_hour = bytes_per_hour(list_files(spark, report.source, report.hours, layout, file_glob))
+    if not report.hours.everything:
+        zero = F.lit(0).cast("bigint")
+        per_hour = requested_hours(spark, report.hours).join(
+            per_hour, on=list(PARTITION_COLUMNS), how="left").select(
+            *PARTITION_COLUMNS, F.coalesce("files", zero).alias("files"),
+            F.coalesce("total_bytes", zero).alias("total_bytes"))
     run = {
         "run_id": report.run_id, "source": report.source, "dest": report.dest,
         "run_documents": report.documents, "run_published": report.published,

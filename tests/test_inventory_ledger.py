@@ -60,3 +60,13 @@ def test_latest_per_key_ties_and_a_hot_key(spark):
     assert out == {"hot": (2, 9, "late-b"), "cold": (1, 1, "only")}
     plan = latest_per_key(df, ["k"], ["start", "run"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan and "Window" not in plan
+
+
+def test_ledger_records_empty_hours(spark, workdir):
+    src, dest, ledger = (os.path.join(workdir, n) for n in ("l", "lake", "ledger"))
+    write_plain(src, "2024-01-31 23", "a.json", ['{"id":1}'])
+    ingest(spark, src, dest, ("2024-01-31 22", "2024-02-01 00"), schema="id bigint", ledger=ledger)
+    ingest(spark, os.path.join(workdir, "none"), dest, "2024-02-01 05", schema="id bigint", ledger=ledger)
+    rows = sorted((r.month, r.day, r.hour, r.files, r.run_documents) for r in read_ledger(spark, ledger).collect())
+    assert rows == [("01", "31", "22", 0, 1), ("01", "31", "23", 1, 1), ("02", "01", "00", 0, 1),
+                    ("02", "01", "05", 0, 0)]
