@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourlake.functions.hours import (
-    PARTITION_COLUMNS, HourSpec, hour_columns_from_path, hour_glob,
+    PARTITION_COLUMNS, HourRange, HourSpec, hour_columns_from_path, hour_glob,
 )
 from hourlake.functions.json_text import array_elements, is_blank, split_documents
 
@@ -37,7 +37,13 @@ def read_lines(spark: SparkSession, root: str, hours: HourSpec = "all", layout:
     yield no rows; if no hour has a file the frame is empty.
     """
     root = root.rstrip("/")
-    glob = hour_glob(root, hours, layout)
+    hr = HourRange.parse(hours)
+    # A closed range is one glob of hour folders (Spark then lists the
+    # matched folders with a parallel job). For every hour of a hive layout
+    # the root itself is read: partition discovery lists the tree level by
+    # level in parallel, rather than the driver expanding a glob over every
+    # year, month and day folder one call at a time.
+    glob = root if (hr.everything and layout == "hive") else hour_glob(root, hr, layout)
     reader = spark.read
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
