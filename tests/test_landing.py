@@ -57,3 +57,15 @@ def test_inferred_schema_when_none_given(spark, workdir):
     assert report.schema.simpleString() == "struct<id:bigint,v:double,w:string>"
     got = read_published(spark, dest, schema=report.schema).orderBy("id").select("id", "v", "w").collect()
     assert [tuple(r) for r in got] == [(1, 1.5, None), (2, None, "x")]
+
+
+def test_gzip_files_and_name_filter(spark, workdir):
+    import gzip
+
+    src = os.path.join(workdir, "landing")
+    folder = write_plain(src, "2024-03-05 02", "a.json", ['{"id":1,"ts":"a"}'])
+    with gzip.open(os.path.join(folder, "b.json.gz"), "wt", encoding="utf-8") as handle:
+        handle.write('{"id":2,"ts":"b"}{"id":3,"ts":"c"}\n')
+    write_plain(src, "2024-03-05 02", "notes.txt", ["not json"])
+    docs = read_documents(spark, src, "2024-03-05 02", "plain", file_glob="*.json*")
+    assert sorted(r.doc for r in docs.collect()) == ['{"id":1,"ts":"a"}', '{"id":2,"ts":"b"}', '{"id":3,"ts":"c"}']
