@@ -69,3 +69,23 @@ def test_gzip_files_and_name_filter(spark, workdir):
     write_plain(src, "2024-03-05 02", "notes.txt", ["not json"])
     docs = read_documents(spark, src, "2024-03-05 02", "plain", file_glob="*.json*")
     assert sorted(r.doc for r in docs.collect()) == ['{"id":1,"ts":"a"}', '{"id":2,"ts":"b"}', '{"id":3,"ts":"c"}']
+
+
+def test_hour_ranges_select_exactly_their_folders(spark, workdir):
+    import random
+    from datetime import datetime, timedelta
+
+    src = os.path.join(workdir, "landing")
+    first = datetime(2024, 1, 30, 0)
+    landed = [first + timedelta(hours=h) for h in range(0, 24 * 33, 5)]  # crosses Feb 29 into March
+    for h in landed:
+        write_plain(src, h.strftime("%Y-%m-%d %H"), "p.json", [f'{{"h":"{h:%Y%m%d%H}"}}'])
+    rng = random.Random(3)
+    for _ in range(4):
+        a = first + timedelta(hours=rng.randrange(24 * 33))
+        b = a + timedelta(hours=rng.randrange(24 * 20))
+        want = sorted(f"{h:%Y%m%d%H}" for h in landed if a <= h <= b)
+        lines = read_lines(spark, src, (a.strftime("%Y-%m-%d %H"), b.strftime("%Y-%m-%d %H")), "plain")
+        got = sorted(r.year + r.month + r.day + r.hour for r in lines.collect())
+        assert got == want, (a, b)
+        assert all(r.value == f'{{"h":"{r.year}{r.month}{r.day}{r.hour}"}}' for r in lines.collect())
