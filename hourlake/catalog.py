@@ -203,6 +203,20 @@ def empty_hour_keeps_old(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published(spark, f"{ws}/published", events)
 
 
+def clear_empty_hours_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish the month, then re-run January from a landing that only holds
+    its first half, asking for empty hours to be cleared: the second half
+    is gone, the first half stays."""
+    ws, events = _landed_events(spark, sf_dir, "clear_empty_hours_rerun")
+    table = "hourlake_clear_" + ws.rsplit("-", 1)[-1]
+    ingest(spark, f"{ws}/landing", f"{ws}/published", "all", schema=events.schema, layout=HIVE,
+           table=table)
+    write_landing(events.where(F.dayofmonth("ts") <= 15), f"{ws}/first_half", "ts", style="concat")
+    ingest(spark, f"{ws}/first_half", f"{ws}/published", JANUARY, schema=events.schema, layout=HIVE,
+           table=table, clear_empty_hours=True)
+    return _published(spark, f"{ws}/published", events)
+
+
 def pruned_hour_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws, events = _landed_events(spark, sf_dir, "pruned_hour_read")
     ingest(spark, f"{ws}/landing", f"{ws}/published", "all", schema=events.schema, layout=HIVE)
@@ -375,7 +389,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         text_with_braces_roundtrip, array_line_scan, nested_struct_roundtrip,
         union_by_name_drift, union_by_name_frames, type_widening_drift,
         rerun_is_idempotent, rerun_replaces_one_hour, failed_rerun_keeps_old,
-        empty_hour_keeps_old, pruned_hour_read, published_table_sql, quarantine_bad_lines, quarantine_records,
+        empty_hour_keeps_old, clear_empty_hours_rerun, pruned_hour_read, published_table_sql, quarantine_bad_lines, quarantine_records,
         published_rows_reconcile, row_group_size, publish_two_files_per_hour, publish_rebalanced,
         files_per_hour, new_and_removed_files,
         modified_since_hours, ledger_latest_run, ingest_ledger_latest,
@@ -412,6 +426,7 @@ ORACLE_SQL: dict[str, str] = {
                                f"THEN value + 1.0 ELSE value END AS value, props, {_HOURS} FROM events",
     "failed_rerun_keeps_old": _FLAGSHIP,
     "empty_hour_keeps_old": _FLAGSHIP,
+    "clear_empty_hours_rerun": f"{_FLAGSHIP} WHERE day(ts) <= 15",
     "pruned_hour_read": f"{_FLAGSHIP} WHERE strftime(ts, '%Y-%m-%d') = '2024-01-03'",
     "published_table_sql": f"{_FLAGSHIP} WHERE strftime(ts, '%Y-%m-%d') = '2024-01-03'",
     "quarantine_bad_lines": f"{_FLAGSHIP} WHERE event_id % 10 <> 0",

@@ -43,6 +43,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--row-group-bytes", type=int)
     p.add_argument("--max-records-per-file", type=int)
     p.add_argument("--file-glob", help="only landing files matching this name pattern")
+    p.add_argument("--table", help="register the published hours as this catalog table")
+    p.add_argument("--clear-empty-hours", action="store_true",
+                   help="with --table and a closed range: delete hours that have no landing file")
     return p
 
 
@@ -54,7 +57,8 @@ def main(argv: list[str] | None = None) -> int:
                     layout=args.layout, mode=args.mode, quarantine=args.quarantine,
                     ledger=args.ledger, strategy=args.strategy,
                     files_per_hour=args.files_per_hour, row_group_bytes=args.row_group_bytes,
-                    max_records_per_file=args.max_records_per_file, file_glob=args.file_glob)
+                    max_records_per_file=args.max_records_per_file, file_glob=args.file_glob,
+                    table=args.table, clear_empty_hours=args.clear_empty_hours)
     print(json.dumps({"run_id": report.run_id, "status": report.status,
                       "documents": report.documents, "published": report.published,
                       "quarantined": report.quarantined}))

@@ -14,11 +14,12 @@ from hourlake.functions.hours import PARTITION_COLUMNS, HourRange, HourSpec, hou
 from hourlake.operators.files import bytes_per_hour
 from hourlake.operators.ledger import append_ledger, run_entries
 from hourlake.operators.parse import (
-    CORRUPT, bad_records, good_records, infer_schema, parse_documents,
+    CORRUPT, as_struct, bad_records, good_records, infer_schema, parse_documents,
 )
 from hourlake.plans.publish import write_hours
 from hourlake.sources.inventory import list_files
 from hourlake.sources.landing import read_documents
+from hourlake.sources.published import clear_hours, register_table
 
 
 @dataclass
@@ -49,7 +50,8 @@ def parsed_landing(spark: SparkSession, source: str, hours: HourSpec = "all",
         schema = infer_schema(docs, sampling_ratio, json_options)
         if not schema.fields:
             return docs, None
-    return parse_documents(docs, schema, mode, json_options), schema
+    struct = as_struct(schema)
+    return parse_documents(docs, struct, mode, json_options), struct
 
 
 def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
@@ -58,7 +60,8 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
            strategy: str = "direct", files_per_hour: int | None = None,
            row_group_bytes: int | None = None, max_records_per_file: int | None = None,
            json_options: dict | None = None, sampling_ratio: float = 1.0,
-           file_glob: str | None = None) -> IngestReport:
+           file_glob: str | None = None, table: str | None = None,
+           clear_empty_hours: bool = False) -> IngestReport:
     """Publish the landing hours ``hours`` of ``source`` into ``dest``.
 
     ``hours`` is one hour ('YYYY-MM-DD HH'), an inclusive (start, end) pair,
@@ -70,7 +73,14 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
     documents writes them, with their file and hour, to that table under
     ``run_id=<run>``.
     One row per landed hour goes to ``ledger`` if given.
+
+    With ``table`` the published hours are registered in the catalog (see
+    :func:`register_table`); with ``clear_empty_hours`` too, hours of a closed
+    range that have no landing file lose what an earlier run published
+    there (the original job kept it; this is the explicit opt-in).
     """
+    if clear_empty_hours and (table is None or HourRange.parse(hours).everything):
+        raise ValueError("clear_empty_hours needs a table and a closed hour range")
     hr = HourRange.parse(hours)
     mode = mode.upper()
     report = IngestReport(uuid.uuid4().hex, source, dest, hr, None)
@@ -96,6 +106,10 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
                 # hides an earlier run's bad documents.
                 (bad_records(parsed).write.mode("overwrite")
                  .parquet(f"{quarantine.rstrip('/')}/run_id={report.run_id}"))
+        if table:
+            register_table(spark, table, dest, struct)
+            if clear_empty_hours:
+                clear_hours(spark, table, empty_published_hours(spark, report, layout, file_glob, table))
         report.status = "succeeded"
     except Exception:
         report.status = "failed"
@@ -107,6 +121,19 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
     return report
 
 
+def empty_published_hours(spark: SparkSession, report: IngestReport, layout: str,
+                          file_glob: str | None, table: str) -> list[tuple[str, str, str, str]]:
+    """Hours of the run's range with no landing file but with published data.
+    Bounded by the number of hours in the range, so it is brought to the
+    driver to drive one delete per hour."""
+    keys = list(PARTITION_COLUMNS)
+    landed = list_files(spark, report.source, report.hours, layout, file_glob).select(*keys)
+    published = spark.table(table).select(*keys).distinct()
+    empty = (requested_hours(spark, report.hours).join(landed, keys, "left_anti")
+             .join(published, keys, "left_semi"))
+    return [tuple(r) for r in empty.collect()]
+
+
 def requested_hours(spark: SparkSession, hours: HourRange) -> DataFrame:
     """One row per hour of a closed range, generated on the executors."""
     start = F.lit(hours.start.strftime("%Y-%m-%d %H:00:00")).cast("timestamp_ntz")

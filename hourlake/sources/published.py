@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import calendar
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -45,7 +47,49 @@ def register_table(spark: SparkSession, name: str, dest: str, schema: T.StructTy
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.fields)
     keys = ", ".join(PARTITION_COLUMNS)
     location = dest.rstrip("/").replace("'", "\\'")
+    # Static overwrite for SQL inserts into the table (clear_hours relies on
+    # it); the publish itself writes by path with dynamic overwrite.
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+              f"OPTIONS (partitionOverwriteMode 'static') "
               f"PARTITIONED BY ({keys}) LOCATION '{location}'")
     if recover:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+
+def _collapse(hours: list[tuple[str, str, str, str]]) -> list[tuple[str, ...]]:
+    """Partition specs covering exactly ``hours``: a whole day becomes one
+    (year, month, day) spec, a whole month one (year, month) spec."""
+    days: dict[tuple[str, str, str], set[str]] = {}
+    for y, m, d, h in hours:
+        days.setdefault((y, m, d), set()).add(h)
+    months: dict[tuple[str, str], list[tuple[str, ...]]] = {}
+    for (y, m, d), hs in sorted(days.items()):
+        specs = [(y, m, d)] if len(hs) == 24 else [(y, m, d, h) for h in sorted(hs)]
+        months.setdefault((y, m), []).extend(specs)
+    out: list[tuple[str, ...]] = []
+    for (y, m), specs in months.items():
+        whole = [s for s in specs if len(s) == 3]
+        if len(whole) == calendar.monthrange(int(y), int(m))[1]:
+            out.append((y, m))
+        else:
+            out.extend(specs)
+    return out
+
+
+def clear_hours(spark: SparkSession, table: str, hours: list[tuple[str, str, str, str]]) -> None:
+    """Delete the published data of the given (year, month, day, hour) keys.
+
+    A static-partition ``INSERT OVERWRITE`` of an empty result removes the
+    matching folders (an external table's ``DROP PARTITION`` alone keeps the
+    files); the catalog entries are dropped after it. Whole days and months
+    are one statement each.
+    """
+    data = [f for f in spark.table(table).schema.fields if f.name not in PARTITION_COLUMNS]
+    nulls = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in data]
+    for key in _collapse(hours):
+        spec = ", ".join(f"{c} = '{v}'" for c, v in zip(PARTITION_COLUMNS, key))
+        dynamic = PARTITION_COLUMNS[len(key):]
+        rest = [f"CAST(NULL AS STRING) AS {c}" for c in dynamic]
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({', '.join([spec, *dynamic])}) "
+                  f"SELECT {', '.join(nulls + rest)} WHERE false")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")

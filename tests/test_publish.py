@@ -122,3 +122,26 @@ def test_catalog_table_prunes_hours(spark, workdir):
     assert "PartitionFilters: [isnotnull(day" in plan
     assert all("/day=02/" in f for f in df.inputFiles())
     assert [tuple(r) for r in df.collect()] == [(2, "05")]
+
+
+def test_clear_empty_hours(spark, workdir):
+    src, src2, dest = (os.path.join(workdir, n) for n in ("l", "l2", "lake"))
+    for hour in ("2024-01-01 00", "2024-01-01 01", "2024-01-02 07"):
+        _land(src, hour, [int(hour[-2:]) + 10 * int(hour[8:10])])
+    name = "clear_" + os.path.basename(workdir).replace("-", "_")
+    ingest(spark, src, dest, "all", schema=SCHEMA, table=name)
+    _land(src2, "2024-01-01 01", [99], tag="b")
+    ingest(spark, src2, dest, ("2024-01-01 00", "2024-01-02 23"), schema=SCHEMA, table=name,
+           clear_empty_hours=True)
+    assert _rows(spark, dest) == [(99, "b", "01")]
+    assert [tuple(r) for r in spark.sql(f"SELECT id, hour FROM {name}").collect()] == [(99, "01")]
+    with pytest.raises(ValueError):
+        ingest(spark, src2, dest, "all", schema=SCHEMA, clear_empty_hours=True)
+
+
+def test_collapse_whole_days_and_months():
+    from hourlake.sources.published import _collapse
+    hours = [("2024", "02", f"{d:02d}", f"{h:02d}") for d in range(1, 30) for h in range(24)]
+    assert _collapse(hours) == [("2024", "02")]
+    hours = [("2024", "01", "05", f"{h:02d}") for h in range(24)] + [("2024", "01", "06", "03")]
+    assert _collapse(hours) == [("2024", "01", "05"), ("2024", "01", "06", "03")]
