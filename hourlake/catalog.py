@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from hourlake.functions.hours import PARTITION_COLUMNS, hour_columns_from_ts
 from hourlake.operators.files import bytes_per_hour, new_files
 from hourlake.operators.ledger import latest_per_key, latest_runs, read_ledger
-from hourlake.operators.parse import CORRUPT, good_records, infer_schema, parse_documents
+from hourlake.operators.parse import CORRUPT, good_records
 from hourlake.operators.reconcile import reconcile
 from hourlake.operators.schema import align_by_name
 from hourlake.plans.ingest import ingest, parsed_landing

@@ -95,7 +95,7 @@ def _fmt(layout: str, i: int, number: int) -> str:
     return _level(layout, i, str(number).zfill(_WIDTHS[i]))
 
 
-def _any(layout: str, i: int) -> str:
+def level_wildcard(layout: str, i: int) -> str:
     return _level(layout, i, _ANY[i])
 
 
@@ -113,7 +113,7 @@ def hour_glob(root: str, hours: HourSpec, layout: str = "plain") -> str:
     root = root.rstrip("/")
     hr = HourRange.parse(hours)
     if hr.everything:
-        return root + "/" + "/".join(_any(layout, i) for i in range(4))
+        return root + "/" + "/".join(level_wildcard(layout, i) for i in range(4))
     months: dict[tuple[int, int], dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
     for h in hr.hours():
         months[(h.year, h.month)][h.day].append(h.hour)
@@ -122,11 +122,11 @@ def hour_glob(root: str, hours: HourSpec, layout: str = "plain") -> str:
         prefix = f"{_fmt(layout, 0, year)}/{_fmt(layout, 1, month)}"
         full_days = [d for d, hs in days.items() if len(hs) == 24]
         if len(full_days) == calendar.monthrange(year, month)[1]:
-            parts.append(f"{prefix}/{_any(layout, 2)}/{_any(layout, 3)}")
+            parts.append(f"{prefix}/{level_wildcard(layout, 2)}/{level_wildcard(layout, 3)}")
             continue
         for day, hs in sorted(days.items()):
             if len(hs) == 24:
-                leaf = _any(layout, 3)
+                leaf = level_wildcard(layout, 3)
             else:
                 leaf = _level(layout, 3, _alternatives([f"{h:02d}" for h in sorted(hs)]))
             parts.append(f"{prefix}/{_fmt(layout, 2, day)}/{leaf}")

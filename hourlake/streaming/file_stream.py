@@ -7,18 +7,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from hourlake.functions.hours import PARTITION_COLUMNS, _any, hour_columns_from_path
+from hourlake.functions.hours import PARTITION_COLUMNS, level_wildcard, hour_columns_from_path
 from hourlake.operators.parse import CORRUPT, parse_documents
 from hourlake.sources.landing import SOURCE_FILE, documents
 
 
 def landing_stream(spark: SparkSession, root: str, layout: str = "plain",
                    max_bytes_per_trigger: int | None = None,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
+                   max_files_per_trigger: int | None = None,
+                   source_options: dict | None = None) -> DataFrame:
     """Streaming lines of every landing file not seen before, with the hour
-    cut from each file's folder."""
-    glob = root.rstrip("/") + "/" + "/".join(_any(layout, i) for i in range(4))
-    reader = spark.readStream.format("text")
+    cut from each file's folder. ``source_options`` go to the file source
+    as they are (``maxFileAge``, ``latestFirst``, ``pathGlobFilter`` ...)."""
+    glob = root.rstrip("/") + "/" + "/".join(level_wildcard(layout, i) for i in range(4))
+    reader = spark.readStream.format("text").options(**(source_options or {}))
     if max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
     if max_files_per_trigger:
@@ -33,7 +35,8 @@ def ingest_stream(spark: SparkSession, source: str, dest: str, checkpoint: str,
                   max_bytes_per_trigger: int | None = None,
                   max_files_per_trigger: int | None = None,
                   available_now: bool = True, json_options: dict | None = None,
-                  quarantine: str | None = None) -> list[StreamingQuery]:
+                  quarantine: str | None = None,
+                  source_options: dict | None = None) -> list[StreamingQuery]:
     """Append newly landed documents to ``dest`` (its own root: a file-sink
     table, whose ``_spark_metadata`` log makes every batch exactly-once).
 
@@ -49,7 +52,7 @@ def ingest_stream(spark: SparkSession, source: str, dest: str, checkpoint: str,
 
     def parsed() -> DataFrame:
         return parse_documents(documents(landing_stream(
-            spark, source, layout, max_bytes_per_trigger, max_files_per_trigger)),
+            spark, source, layout, max_bytes_per_trigger, max_files_per_trigger, source_options)),
             schema, "PERMISSIVE", json_options)
 
     outputs = [(parsed().where(F.col(CORRUPT).isNull()).drop(CORRUPT, SOURCE_FILE),

@@ -2,7 +2,6 @@ import os
 import time
 from datetime import datetime, timezone
 
-from pyspark.sql import functions as F
 
 from conftest import write_plain
 from hourlake.operators.files import bytes_per_hour, new_files

@@ -1,6 +1,5 @@
 import os
 
-from pyspark.sql import functions as F
 
 from conftest import write_plain
 from hourlake.plans.ingest import ingest

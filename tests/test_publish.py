@@ -3,7 +3,6 @@ import random
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from conftest import write_plain
 from hourlake.plans.ingest import ingest

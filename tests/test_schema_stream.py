@@ -1,6 +1,5 @@
 import os
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import write_plain
