@@ -47,9 +47,16 @@ def shared_root(spark: SparkSession) -> str:
     when the session has none (local tests) is a fresh local folder created
     and registered as the checkpoint directory.
     """
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no context handle
+        sc = None
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if sc is None:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         root = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir()
