@@ -50,3 +50,13 @@ def test_available_now_stream_takes_each_file_once(spark, workdir):
     got = sorted((r.id, r.hour) for r in read_published(spark, dest).collect())
     assert got == [(1, "00"), (2, "00"), (3, "01")]
     assert [r._corrupt_record for r in spark.read.parquet(q).collect()] == ['{"id":']
+
+
+def test_byte_cap_splits_batches(spark, workdir):
+    src, dest, ck = (os.path.join(workdir, n) for n in ("l", "lake", "ck"))
+    for h in range(4):
+        write_plain(src, f"2024-01-01 0{h}", "a.json", [f'{{"id":{h}}}'])
+    (query,) = ingest_stream(spark, src, dest, ck, "id bigint", max_bytes_per_trigger=1)
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p["numInputRows"] > 0]) == 4
+    assert sorted(r.id for r in read_published(spark, dest).collect()) == [0, 1, 2, 3]
