@@ -1,4 +1,7 @@
-from datetime import datetime
+from datetime import datetime, timedelta
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 import pytest
 
@@ -38,3 +41,46 @@ def test_glob_collapses_full_days_and_months():
 
 def test_glob_everything():
     assert hour_glob("/l", "all", "plain") == "/l/[0-9][0-9][0-9][0-9]/[0-9][0-9]/[0-9][0-9]/[0-9][0-9]"
+
+
+def _expand(pattern):
+    """Expand {a,b} alternatives (nested) the way Hadoop's glob does."""
+    start = pattern.find("{")
+    if start < 0:
+        return [pattern]
+    depth, parts, last = 0, [], start + 1
+    for i in range(start, len(pattern)):
+        c = pattern[i]
+        if c == "{":
+            depth += 1
+        elif c == "}":
+            depth -= 1
+            if depth == 0:
+                parts.append(pattern[last:i])
+                end = i
+                break
+        elif c == "," and depth == 1:
+            parts.append(pattern[last:i])
+            last = i + 1
+    head, tail = pattern[:start], pattern[end + 1:]
+    return [x for p in parts for x in _expand(head + p + tail)]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 24 * 800), st.integers(0, 24 * 70), st.sampled_from(["plain", "hive"]))
+def test_glob_matches_exactly_the_range(offset, length, layout):
+    from fnmatch import fnmatchcase
+
+    base = datetime(2023, 11, 1)
+    start, end = base + timedelta(hours=offset), base + timedelta(hours=offset + length)
+    pats = _expand(hour_glob("/r", (start.strftime("%Y-%m-%d %H"), end.strftime("%Y-%m-%d %H")), layout))
+    universe = [start + timedelta(hours=h) for h in range(-30, length + 30)]
+
+    def folder(h):
+        parts = (f"{h:%Y}", f"{h:%m}", f"{h:%d}", f"{h:%H}")
+        if layout == "hive":
+            parts = tuple(f"{k}={v}" for k, v in zip(("year", "month", "day", "hour"), parts))
+        return "/r/" + "/".join(parts)
+
+    matched = [h for h in universe if any(fnmatchcase(folder(h), p) for p in pats)]
+    assert matched == [h for h in universe if start <= h <= end]
