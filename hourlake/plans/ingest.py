@@ -16,9 +16,9 @@ from hourlake.operators.ledger import append_ledger, run_entries
 from hourlake.operators.parse import (
     CORRUPT, as_struct, bad_records, good_records, infer_schema, parse_documents,
 )
-from hourlake.plans.publish import write_hours
+from hourlake.plans.publish import layout_for_write, write_hours
 from hourlake.sources.inventory import list_files
-from hourlake.sources.landing import read_documents
+from hourlake.sources.landing import SOURCE_FILE, read_documents
 from hourlake.sources.published import clear_hours, register_table
 
 
@@ -90,11 +90,16 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
                                         json_options, sampling_ratio, file_glob)
         report.schema = struct
         if struct is not None:
+            # Counted after the layout shuffle (if any), in the write's own
+            # result stage: Spark applies a result task's metrics once, so
+            # retried or speculative tasks do not inflate the counts. Bad
+            # rows ride through the shuffle and are dropped after counting.
             obs = Observation(f"ingest_{report.run_id}")
-            observed = parsed.observe(obs, F.count(F.lit(1)).alias("documents"),
-                                      F.count(F.col(CORRUPT)).alias("bad"))
+            arranged = layout_for_write(parsed.drop(SOURCE_FILE), strategy, files_per_hour)
+            observed = arranged.observe(obs, F.count(F.lit(1)).alias("documents"),
+                                        F.count(F.col(CORRUPT)).alias("bad"))
             write_hours(good_records(observed), dest, strategy, files_per_hour,
-                        row_group_bytes, max_records_per_file)
+                        row_group_bytes, max_records_per_file, arrange=False)
             counts = obs.get
             report.documents = int(counts.get("documents") or 0)
             report.quarantined = int(counts.get("bad") or 0)

@@ -47,15 +47,17 @@ def layout_for_write(df: DataFrame, strategy: str = "direct",
 def write_hours(df: DataFrame, dest: str, strategy: str = "direct",
                 files_per_hour: int | None = None, row_group_bytes: int | None = None,
                 max_records_per_file: int | None = None, compression: str = "snappy",
-                keys: tuple[str, ...] = PARTITION_COLUMNS) -> None:
+                keys: tuple[str, ...] = PARTITION_COLUMNS, arrange: bool = True) -> None:
     """Replace exactly the hours present in ``df`` under ``dest``.
 
     Dynamic partition overwrite stages the new files and swaps each written
     hour folder in at job commit; hours not in ``df`` are untouched, and a
     failed job leaves every old hour as it was. An empty ``df`` changes
     nothing. Re-running an hour therefore never duplicates it.
+    ``arrange=False`` writes ``df`` as it is (already arranged by
+    :func:`layout_for_write`).
     """
-    out = layout_for_write(df, strategy, files_per_hour, keys)
+    out = layout_for_write(df, strategy, files_per_hour, keys) if arrange else df
     writer = (out.write.mode("overwrite")
               .option("partitionOverwriteMode", "dynamic")
               .option("compression", compression)

@@ -55,10 +55,12 @@ def test_failed_run_leaves_old_hours(spark, workdir):
     assert not [d for d in os.listdir(dest) if d.startswith(".spark-staging")]
 
 
-def test_quarantine_and_counts(spark, workdir):
+@pytest.mark.parametrize("strategy,files", [("direct", None), ("rebalance", None), ("direct", 2)])
+def test_quarantine_and_counts(spark, workdir, strategy, files):
     src, dest, q = (os.path.join(workdir, n) for n in ("l", "lake", "q"))
     write_plain(src, "2024-01-01 00", "p.json", ['{"id":1,"v":"a"}{"id":2,"v":', '{"id":"x"}', '{"id":3}'])
-    report = ingest(spark, src, dest, "all", schema=SCHEMA, quarantine=q)
+    report = ingest(spark, src, dest, "all", schema=SCHEMA, quarantine=q, strategy=strategy,
+                    files_per_hour=files)
     assert (report.documents, report.published, report.quarantined) == (4, 2, 2)
     bad = spark.read.parquet(q)
     assert sorted(r._corrupt_record for r in bad.collect()) == ['{"id":"x"}', '{"id":2,"v":']
