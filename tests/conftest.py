@@ -35,3 +35,14 @@ def write_plain(root, hour, name, lines):
     with open(os.path.join(folder, name), "w", encoding="utf-8") as handle:
         handle.write("\n".join(lines) + ("\n" if lines else ""))
     return folder
+
+
+def plan_text(df, mode="formatted"):
+    """The text ``df.explain(mode)`` prints."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode)
+    return buf.getvalue()

@@ -3,7 +3,7 @@ import time
 from datetime import datetime, timezone
 
 
-from conftest import write_plain
+from conftest import plan_text, write_plain
 from hourlake.operators.files import bytes_per_hour, new_files
 from hourlake.operators.ledger import latest_per_key, latest_runs, read_ledger
 from hourlake.plans.ingest import ingest
@@ -23,7 +23,7 @@ def test_inventory_bytes_and_modified_since(spark, workdir):
     assert per_hour == {"00": (2, 9 + 18), "01": (1, 9)}
     recent = [r.path.rsplit("/", 1)[1] for r in modified_since(files, mark).collect()]
     assert recent == ["c.json"]
-    assert "content" not in files._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
+    assert "content" not in plan_text(files).split("ReadSchema")[-1]
 
 
 def test_new_and_removed_files_after_rerun(spark, workdir):
@@ -57,7 +57,7 @@ def test_latest_per_key_ties_and_a_hot_key(spark):
     df = spark.createDataFrame(rows, "k string, start int, run int, payload string").repartition(8)
     out = {r.k: (r.start, r.run, r.payload) for r in latest_per_key(df, ["k"], ["start", "run"]).collect()}
     assert out == {"hot": (2, 9, "late-b"), "cold": (1, 1, "only")}
-    plan = latest_per_key(df, ["k"], ["start", "run"])._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(latest_per_key(df, ["k"], ["start", "run"]), "simple")
     assert "partial_max" in plan and "Window" not in plan
 
 

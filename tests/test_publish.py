@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.errors import PySparkException
 
-from conftest import write_plain
+from conftest import plan_text, write_plain
 from hourlake.plans.ingest import ingest
 from hourlake.sources.inventory import list_published_files, parquet_footers
 from hourlake.sources.published import read_published
@@ -104,7 +104,7 @@ def test_pruned_read_plan(spark, workdir):
     _land(src, "2024-01-02 00", [2])
     ingest(spark, src, dest, "all", schema=SCHEMA)
     df = read_published(spark, dest, ("2024-01-02 00", "2024-01-02 23"))
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(df, "simple")
     assert "PartitionFilters" in plan and [r.id for r in df.collect()] == [2]
     one = read_published(spark, dest, "2024-01-01 00")
     assert [r.id for r in one.collect()] == [1]
@@ -119,7 +119,7 @@ def test_catalog_table_prunes_hours(spark, workdir):
     name = "t_" + os.path.basename(workdir).replace("-", "_")
     register_table(spark, name, dest)
     df = spark.sql(f"SELECT id, hour FROM {name} WHERE day = '02'")
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(df, "simple")
     assert "PartitionFilters: [isnotnull(day" in plan
     assert all("/day=02/" in f for f in df.inputFiles())
     assert [tuple(r) for r in df.collect()] == [(2, "05")]

@@ -5,6 +5,8 @@ python tools/plans.py [sf_dir]
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import sys
 
@@ -25,8 +27,10 @@ from hourlake.plans.ingest import ingest  # noqa: E402
 
 
 def plan(df) -> str:
-    return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
 
 
 def main() -> None:
