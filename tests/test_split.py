@@ -20,6 +20,9 @@ def test_split_cases(spark):
         ('{"a":1}', ['{"a":1}']),
         ('{"a":[{"b":1},{"c":2}]}{"d":3}', ['{"a":[{"b":1},{"c":2}]}', '{"d":3}']),
         ('{"a":"unclosed}{"b":1}', ['{"a":"unclosed}{"b":1}']),
+        # Documents before an unclosed string are kept; the rest stays one (bad) fragment.
+        ('{"a":1} {"b":"oops}{"c":2}', ['{"a":1}', '{"b":"oops}{"c":2}']),
+        ('{"a":1}\t{"b":2}', ['{"a":1}', '{"b":2}']),
     ]
     df = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(lines)], "i int, value string")
     got = {r.i: r.parts for r in df.select("i", split_documents(F.col("value")).alias("parts")).collect()}
