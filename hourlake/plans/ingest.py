@@ -19,7 +19,7 @@ from hourlake.operators.parse import (
 from hourlake.plans.publish import layout_for_write, write_hours
 from hourlake.sources.inventory import list_files
 from hourlake.sources.landing import SOURCE_FILE, read_documents
-from hourlake.sources.published import clear_hours, register_table
+from hourlake.sources.published import add_hours, clear_hours, register_table
 
 
 @dataclass
@@ -112,7 +112,11 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
                 (bad_records(parsed).write.mode("overwrite")
                  .parquet(f"{quarantine.rstrip('/')}/run_id={report.run_id}"))
         if table:
-            register_table(spark, table, dest, struct)
+            if hr.everything or not spark.catalog.tableExists(table):
+                register_table(spark, table, dest, struct)  # scans every hour folder
+            else:
+                register_table(spark, table, dest, struct, recover=False)
+                add_hours(spark, table, landed_hours(spark, report, layout, file_glob))
             if clear_empty_hours:
                 clear_hours(spark, table, empty_published_hours(spark, report, layout, file_glob, table))
         report.status = "succeeded"
@@ -126,6 +130,13 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
     return report
 
 
+def landed_hours(spark: SparkSession, report: IngestReport, layout: str,
+                 file_glob: str | None) -> list[tuple[str, str, str, str]]:
+    """Hours of a closed range that have landing files (bounded by the range)."""
+    files = list_files(spark, report.source, report.hours, layout, file_glob)
+    return [tuple(r) for r in files.select(*PARTITION_COLUMNS).distinct().collect()]
+
+
 def empty_published_hours(spark: SparkSession, report: IngestReport, layout: str,
                           file_glob: str | None, table: str) -> list[tuple[str, str, str, str]]:
     """Hours of the run's range with no landing file but with published data.

@@ -56,6 +56,16 @@ def register_table(spark: SparkSession, name: str, dest: str, schema: T.StructTy
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
+def add_hours(spark: SparkSession, table: str, hours: list[tuple[str, str, str, str]]) -> None:
+    """Register (year, month, day, hour) keys as catalog partitions of
+    ``table``, in one statement, without scanning any folder."""
+    if not hours:
+        return
+    specs = " ".join("PARTITION (" + ", ".join(f"{c} = '{v}'" for c, v in zip(PARTITION_COLUMNS, key)) + ")"
+                     for key in hours)
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+
+
 def _collapse(hours: list[tuple[str, str, str, str]]) -> list[tuple[str, ...]]:
     """Partition specs covering exactly ``hours``: a whole day becomes one
     (year, month, day) spec, a whole month one (year, month) spec."""

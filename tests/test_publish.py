@@ -146,3 +146,17 @@ def test_collapse_whole_days_and_months():
     assert _collapse(hours) == [("2024", "02")]
     hours = [("2024", "01", "05", f"{h:02d}") for h in range(24)] + [("2024", "01", "06", "03")]
     assert _collapse(hours) == [("2024", "01", "05"), ("2024", "01", "06", "03")]
+
+
+def test_table_registration_is_incremental(spark, workdir):
+    src, dest = os.path.join(workdir, "l"), os.path.join(workdir, "lake")
+    _land(src, "2024-01-01 00", [1])
+    _land(src, "2024-01-01 01", [2])
+    ingest(spark, src, dest, "2024-01-01 00", schema=SCHEMA)  # published before the table exists
+    name = "inc_" + os.path.basename(workdir).replace("-", "_")
+    ingest(spark, src, dest, "2024-01-01 01", schema=SCHEMA, table=name)  # creates it: full recovery
+    _land(src, "2024-01-01 02", [3])
+    ingest(spark, src, dest, "2024-01-01 02", schema=SCHEMA, table=name)  # adds one partition
+    parts = sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect())
+    assert [p[-2:] for p in parts] == ["00", "01", "02"]
+    assert sorted(r.id for r in spark.table(name).collect()) == [1, 2, 3]
