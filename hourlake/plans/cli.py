@@ -1,6 +1,6 @@
 """Command line: publish landing hours as Parquet.
 
-spark-submit -m hourlake.plans.cli --source s3a://bucket/landing/ \\
+python -m hourlake.plans.cli --source s3a://bucket/landing/ \\
     --dest s3a://bucket/lake/events/ --date "2018-04-06 16"
 """
 
