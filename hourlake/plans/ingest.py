@@ -14,7 +14,7 @@ from hourlake.functions.hours import PARTITION_COLUMNS, HourRange, HourSpec, hou
 from hourlake.operators.files import bytes_per_hour
 from hourlake.operators.ledger import append_ledger, run_entries
 from hourlake.operators.parse import (
-    CORRUPT, as_struct, bad_records, good_records, infer_schema, parse_documents,
+    CORRUPT, MODES, as_struct, bad_records, good_records, infer_schema, parse_documents,
 )
 from hourlake.plans.publish import layout_for_write, write_hours
 from hourlake.sources.inventory import list_files
@@ -83,6 +83,8 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
         raise ValueError("clear_empty_hours needs a table and a closed hour range")
     hr = HourRange.parse(hours)
     mode = mode.upper()
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
     report = IngestReport(uuid.uuid4().hex, source, dest, hr, None)
     try:
         parse_mode = "FAILFAST" if mode == "FAILFAST" else "PERMISSIVE"
@@ -111,7 +113,7 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
                 # hides an earlier run's bad documents.
                 (bad_records(parsed).write.mode("overwrite")
                  .parquet(f"{quarantine.rstrip('/')}/run_id={report.run_id}"))
-        if table:
+        if table and (struct is not None or spark.catalog.tableExists(table)):
             if hr.everything or not spark.catalog.tableExists(table):
                 register_table(spark, table, dest, struct)  # scans every hour folder
             else:
