@@ -54,3 +54,24 @@ def test_array_elements(spark):
     df = spark.createDataFrame([('[{"a":1},{"a":"zz"}]',), ('  {"a":2} ',), ("[{\"a\":1}",), ("[]",)], "doc string")
     got = [r.e for r in df.select(array_elements(F.col("doc")).alias("e")).collect()]
     assert got == [['{"a":1}', '{"a":"zz"}'], ['{"a":2}'], ['[{"a":1}'], []]
+
+
+def test_split_property_nested_values(spark):
+    rng = random.Random(7)
+    rows, expected = [], []
+    for line_no in range(1500):
+        docs = []
+        for _ in range(rng.randint(1, 3)):
+            doc = {"k": rng.randint(0, 10**6),
+                   "a": [_text(rng) for _ in range(rng.randint(0, 3))],
+                   "o": [{"t": _text(rng), "u": [rng.randint(0, 9)]} for _ in range(rng.randint(0, 2))]}
+            docs.append(doc)
+            expected.append((line_no, doc["k"], tuple(doc["a"]), tuple((o["t"], tuple(o["u"])) for o in doc["o"])))
+        rows.append((line_no, "".join(json.dumps(d, separators=rng.choice([(",", ":"), (", ", ": ")]))
+                                      + rng.choice(["", " ", "\n "]) for d in docs)))
+    lines = spark.createDataFrame(rows, "line_no int, value string")
+    docs = lines.select("line_no", F.explode(split_documents(F.col("value"))).alias("doc"))
+    parsed = parse_documents(docs, "k bigint, a array<string>, o array<struct<t: string, u: array<int>>>")
+    assert parsed.where("_corrupt_record is not null").count() == 0
+    got = sorted((r.line_no, r.k, tuple(r.a), tuple((o.t, tuple(o.u)) for o in r.o)) for r in parsed.collect())
+    assert got == sorted(expected)
