@@ -75,7 +75,7 @@ def events_jsonl_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_inferred_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Schema inferred from the documents, as the reference's read.json did:
+    """Schema inferred from the documents, as Spark's JSON reader infers it:
     timestamps stay text."""
     ws, _ = _landed_events(spark, sf_dir, "events_inferred_scan", style="lines")
     parsed, _ = parsed_landing(spark, f"{ws}/landing", "all", None, HIVE)

@@ -42,7 +42,7 @@ def ingest_stream(spark: SparkSession, source: str, dest: str, checkpoint: str,
 
     The checkpoint remembers which files were taken, so a later run only
     reads files that landed since. ``max_bytes_per_trigger`` caps each
-    micro-batch (the reference's per-flush byte cap); ``available_now``
+    micro-batch (a byte cap per flush, as the batch job once had); ``available_now``
     drains everything present in such batches and stops. No shuffle: each
     task writes the hours it read, and batches stay bounded by the cap.
     With ``quarantine`` a second query, with its own checkpoint, appends the
