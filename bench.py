@@ -56,9 +56,14 @@ def main() -> None:
         ingest(spark, f"{ws}/landing", f"{ws}/published", "all", schema=events.schema, layout="hive")
         timings[step] = time.time() - t0
 
+    failed = []
     for name in names:
         t0 = time.time()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        except Exception as err:  # noqa: BLE001 - report the failure, keep the JSON line
+            failed.append(f"{name}: {type(err).__name__}")
+            continue
         timings[name] = time.time() - t0
 
     total = sum(v for k, v in timings.items() if k in names)
@@ -68,6 +73,7 @@ def main() -> None:
         "queries": {k: round(v, 3) for k, v in timings.items()},
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": int(cpus),
+        **({"failed": failed} if failed else {}),
     }))
     spark.stop()
 
