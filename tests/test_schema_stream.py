@@ -60,3 +60,23 @@ def test_byte_cap_splits_batches(spark, workdir):
     query.awaitTermination()
     assert len([p for p in query.recentProgress if p["numInputRows"] > 0]) == 4
     assert sorted(r.id for r in read_published(spark, dest).collect()) == [0, 1, 2, 3]
+
+
+def test_published_hours_with_drifting_columns(spark, workdir):
+    from hourlake.plans.ingest import ingest
+
+    src, dest = os.path.join(workdir, "l"), os.path.join(workdir, "lake")
+    write_plain(src, "2024-01-01 00", "a.json", ['{"id":1,"a":"x"}'])
+    write_plain(src, "2024-01-01 01", "b.json", ['{"id":2,"b":2.5}'])
+    ingest(spark, src, dest, "2024-01-01 00")
+    ingest(spark, src, dest, "2024-01-01 01")
+    got = sorted(tuple(r) for r in read_published(spark, dest, merge_schema=True)
+                 .select("id", "a", "b", "hour").collect())
+    assert got == [(1, "x", None, "00"), (2, None, 2.5, "01")]
+
+
+def test_align_struct_with_text_gives_json(spark):
+    a = spark.createDataFrame([(1, (2, "z"))], "id bigint, p struct<n: int, s: string>")
+    b = spark.createDataFrame([(3, "raw")], "id bigint, p string")
+    out = align_by_name([a, b])
+    assert dict((r.id, r.p) for r in out.collect()) == {1: '{"n":2,"s":"z"}', 3: "raw"}
