@@ -44,7 +44,11 @@ def _hour(value) -> datetime:
 
 @dataclass(frozen=True)
 class HourRange:
-    """An inclusive range of UTC hours; ``everything`` selects every landed hour."""
+    """An inclusive range of UTC hours; ``everything`` selects every landed hour.
+
+    ``parse`` takes None (the current hour), 'YYYY-MM-DD HH' (one hour),
+    'YYYY-MM-DD' (the whole day), a (start, end) pair, or 'all'.
+    """
 
     start: datetime | None = None
     end: datetime | None = None
@@ -64,6 +68,9 @@ class HourRange:
             if end < start:
                 raise ValueError(f"hour range ends before it starts: {spec!r}")
             return cls(start, end)
+        if isinstance(spec, str) and len(spec.strip()) == 10:  # 'YYYY-MM-DD': the whole day
+            day = _hour(spec)
+            return cls(day, day + timedelta(hours=23))
         hour = _hour(spec)
         return cls(hour, hour)
 

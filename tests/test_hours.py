@@ -15,6 +15,8 @@ def test_parse_single_and_range():
     assert len(hr) == 4
     assert hr.keys() == ("2018040622", "2018040701")
     assert HourRange.parse("all").everything
+    day = HourRange.parse("2024-02-29")
+    assert (day.start, day.end) == (datetime(2024, 2, 29, 0), datetime(2024, 2, 29, 23))
     with pytest.raises(ValueError):
         HourRange.parse(("2018-04-07 01", "2018-04-06 22"))
     with pytest.raises(ValueError):
