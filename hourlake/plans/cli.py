@@ -30,7 +30,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--source", required=True, help="landing root (any Hadoop URI)")
     p.add_argument("--dest", required=True, help="published table root")
     hours = p.add_mutually_exclusive_group()
-    hours.add_argument("--date", help="one hour 'YYYY-MM-DD HH' (default: the current UTC hour)")
+    hours.add_argument("--date", help="one hour 'YYYY-MM-DD HH' or a day 'YYYY-MM-DD' (default: the current UTC hour)")
     hours.add_argument("--range", nargs=2, metavar=("START", "END"), help="inclusive hour range")
     hours.add_argument("--all", action="store_true", help="every landed hour")
     p.add_argument("--layout", choices=LAYOUTS, default="plain")
