@@ -88,3 +88,13 @@ def test_hour_ranges_select_exactly_their_folders(spark, workdir):
         got = sorted(r.year + r.month + r.day + r.hour for r in lines.collect())
         assert got == want, (a, b)
         assert all(r.value == f'{{"h":"{r.year}{r.month}{r.day}{r.hour}"}}' for r in lines.collect())
+
+
+def test_file_in_a_sub_folder_is_not_read(spark, workdir):
+    src = os.path.join(workdir, "landing")
+    folder = write_plain(src, "2024-03-05 02", "a.json", ['{"id":1,"ts":"a"}'])
+    os.makedirs(os.path.join(folder, "sub"))
+    with open(os.path.join(folder, "sub", "x.json"), "w") as handle:
+        handle.write('{"id":3,"ts":"c"}\n')
+    got = [(r.value, r.hour) for r in read_lines(spark, src, "2024-03-05 02", "plain").collect()]
+    assert got == [('{"id":1,"ts":"a"}', "02")]
