@@ -86,6 +86,15 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     report = IngestReport(uuid.uuid4().hex, source, dest, hr, None)
+    listing: list[DataFrame] = []
+
+    def inventory() -> DataFrame:
+        # Spark lists the files when the frame is created and reuses that
+        # index for every action on it: one listing per run.
+        if not listing:
+            listing.append(list_files(spark, source, hr, layout, file_glob))
+        return listing[0]
+
     try:
         parse_mode = "FAILFAST" if mode == "FAILFAST" else "PERMISSIVE"
         parsed, struct = parsed_landing(spark, source, hr, schema, layout, parse_mode,
@@ -118,9 +127,9 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
                 register_table(spark, table, dest, struct)  # scans every hour folder
             else:
                 register_table(spark, table, dest, struct, recover=False)
-                add_hours(spark, table, landed_hours(spark, report, layout, file_glob))
+                add_hours(spark, table, landed_hours(inventory()))
             if clear_empty_hours:
-                clear_hours(spark, table, empty_published_hours(spark, report, layout, file_glob, table))
+                clear_hours(spark, table, empty_published_hours(spark, report, inventory(), table))
         report.status = "succeeded"
     except Exception:
         report.status = "failed"
@@ -128,24 +137,22 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
     finally:
         report.end_time = datetime.now(timezone.utc)
         if ledger:
-            record_run(spark, report, layout, file_glob, ledger)
+            record_run(spark, report, inventory(), ledger)
     return report
 
 
-def landed_hours(spark: SparkSession, report: IngestReport, layout: str,
-                 file_glob: str | None) -> list[tuple[str, str, str, str]]:
+def landed_hours(inventory: DataFrame) -> list[tuple[str, str, str, str]]:
     """Hours of a closed range that have landing files (bounded by the range)."""
-    files = list_files(spark, report.source, report.hours, layout, file_glob)
-    return [tuple(r) for r in files.select(*PARTITION_COLUMNS).distinct().collect()]
+    return [tuple(r) for r in inventory.select(*PARTITION_COLUMNS).distinct().collect()]
 
 
-def empty_published_hours(spark: SparkSession, report: IngestReport, layout: str,
-                          file_glob: str | None, table: str) -> list[tuple[str, str, str, str]]:
+def empty_published_hours(spark: SparkSession, report: IngestReport, inventory: DataFrame,
+                          table: str) -> list[tuple[str, str, str, str]]:
     """Hours of the run's range with no landing file but with published data.
     Bounded by the number of hours in the range, so it is brought to the
-    driver to drive one delete per hour."""
+    driver to drive one delete per hour (whole days and months collapse)."""
     keys = list(PARTITION_COLUMNS)
-    landed = list_files(spark, report.source, report.hours, layout, file_glob).select(*keys)
+    landed = inventory.select(*keys)
     published = spark.table(table).select(*keys).distinct()
     empty = (requested_hours(spark, report.hours).join(landed, keys, "left_anti")
              .join(published, keys, "left_semi"))
@@ -159,12 +166,12 @@ def requested_hours(spark: SparkSession, hours: HourRange) -> DataFrame:
     return spark.range(len(hours)).select(*hour_columns_from_ts(ts))
 
 
-def record_run(spark: SparkSession, report: IngestReport, layout: str,
-               file_glob: str | None, ledger: str) -> None:
+def record_run(spark: SparkSession, report: IngestReport, inventory: DataFrame,
+               ledger: str) -> None:
     """Append one ledger row per hour of the run: every requested hour for
     a closed range (0 files where nothing landed, so a run over an empty hour
     is still recorded), every landed hour for an open one."""
-    per_hour = bytes_per_hour(list_files(spark, report.source, report.hours, layout, file_glob))
+    per_hour = bytes_per_hour(inventory)
     if not report.hours.everything:
         zero = F.lit(0).cast("bigint")
         per_hour = requested_hours(spark, report.hours).join(
