@@ -15,7 +15,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from hourlake.functions.hours import PARTITION_COLUMNS  # noqa: E402
 from hourlake.operators.files import bytes_per_hour, new_files  # noqa: E402
 from hourlake.operators.ledger import latest_per_key  # noqa: E402
-from hourlake.operators.parse import bad_records, good_records  # noqa: E402
+from hourlake.operators.parse import CORRUPT, bad_records, good_records  # noqa: E402
+from hourlake.sources.landing import SOURCE_FILE  # noqa: E402
+from pyspark.sql import Observation  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 from hourlake.operators.reconcile import reconcile  # noqa: E402
 from hourlake.plans.ingest import parsed_landing  # noqa: E402
 from hourlake.plans.publish import layout_for_write  # noqa: E402
@@ -43,9 +46,13 @@ def main() -> None:
     parsed, _ = parsed_landing(spark, f"{ws}/landing", ("2024-01-02 00", "2024-01-03 23"),
                                events.schema, "hive")
     published = read_published(spark, f"{ws}/published", schema=events.schema)
+    counted = layout_for_write(parsed.drop(SOURCE_FILE), "rebalance").observe(
+        Observation("plans"), F.count(F.lit(1)).alias("documents"), F.count(F.col(CORRUPT)).alias("bad"))
     sections = [
         ("Publish input, direct strategy (no exchange; one from_json per document)",
          layout_for_write(good_records(parsed), "direct")),
+        ("Ingest write input with rebalance: counts (CollectMetrics) after the shuffle, bad rows dropped after",
+         good_records(counted)),
         ("Publish input, rebalance strategy", layout_for_write(good_records(parsed), "rebalance")),
         ("Publish input, files_per_hour=2", layout_for_write(good_records(parsed), files_per_hour=2)),
         ("Quarantine pass", bad_records(parsed)),
