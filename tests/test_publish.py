@@ -160,3 +160,14 @@ def test_table_registration_is_incremental(spark, workdir):
     parts = sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect())
     assert [p[-2:] for p in parts] == ["00", "01", "02"]
     assert sorted(r.id for r in spark.table(name).collect()) == [1, 2, 3]
+
+
+def test_dropmalformed_counts_but_keeps_no_quarantine(spark, workdir):
+    src, dest, q = (os.path.join(workdir, n) for n in ("l", "lake", "q"))
+    write_plain(src, "2024-01-01 00", "p.json", ['{"id":1,"v":"a"}', '{"id":', '{"id":2}'])
+    report = ingest(spark, src, dest, "all", schema=SCHEMA, mode="dropmalformed", quarantine=q)
+    assert (report.documents, report.published, report.quarantined) == (3, 2, 1)
+    assert not os.path.exists(q)
+    assert [r[0] for r in _rows(spark, dest)] == [1, 2]
+    with pytest.raises(ValueError):
+        ingest(spark, src, dest, "all", schema=SCHEMA, mode="lenient")
