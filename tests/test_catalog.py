@@ -8,6 +8,7 @@ import pytest
 
 from conftest import SF, write_plain
 from __spark_entry__ import entry, oracle_sql, queries
+from hourlake.catalog import ORACLE_SQL, QUERIES
 from hourlake.plans import cli
 from hourlake.sources.published import read_published
 
@@ -30,7 +31,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
 @pytest.mark.parametrize("name", CHECKED)
