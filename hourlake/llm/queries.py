@@ -9,7 +9,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourlake.llm import chat_format, mixing, packing, token_planes
+from hourlake.llm import chat_format, mixing, packing, quality_lines, substring_dedup, token_planes
 from hourlake.session import scratch_dir
 
 _SHIPPED: set[str] = set()
@@ -37,6 +37,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_lines.judge(_table(spark, sf_dir, "documents"))
+    return judged.drop("host", "sig", "removed_lines")
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(_table(spark, sf_dir, "documents"))
+
+
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents")).drop("ids")
 
@@ -59,6 +68,8 @@ def op9_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_frequency": op1_line_frequency,
+    "op3_substring_dedup": op3_substring_dedup,
     "op2_pack": op2_pack,
     "op6_chat_format": op6_chat_format,
     "op8_mix": op8_mix,
