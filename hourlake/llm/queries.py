@@ -9,7 +9,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourlake.llm import chat_format, mixing, packing, quality_lines, substring_dedup, token_planes
+from hourlake.llm import chat_format, jaccard_join, mixing, packing, quality_lines, substring_dedup, token_planes
 from hourlake.session import scratch_dir
 
 _SHIPPED: set[str] = set()
@@ -67,6 +67,10 @@ def op9_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.read_token_files(spark, path)
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.groups(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_frequency": op1_line_frequency,
     "op3_substring_dedup": op3_substring_dedup,
@@ -74,5 +78,6 @@ QUERIES = {
     "op6_chat_format": op6_chat_format,
     "op8_mix": op8_mix,
     "op9_token_planes": op9_token_planes,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 ORACLE_SQL: dict[str, str] = {}
