@@ -9,7 +9,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourlake.llm import chat_format, embedding_dedup, jaccard_join, mixing, packing, quality_lines, substring_dedup, token_planes
+from hourlake.llm import chat_format, embedding_dedup, jaccard_join, language_id, mixing, packing, quality_lines, substring_dedup, token_planes
 from hourlake.session import scratch_dir
 
 _SHIPPED: set[str] = set()
@@ -54,6 +54,10 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = chat_format.with_probe(_table(spark, sf_dir, "conversations"))
     return chat_format.digests(chat_format.format_conversations(rows))
@@ -80,6 +84,7 @@ QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
     "op2_pack": op2_pack,
     "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_language_id": op5_language_id,
     "op6_chat_format": op6_chat_format,
     "op8_mix": op8_mix,
     "op9_token_planes": op9_token_planes,
