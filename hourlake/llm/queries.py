@@ -9,13 +9,13 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourlake.llm import chat_format, embedding_dedup, jaccard_join, language_id, mixing, packing, quality_lines, substring_dedup, token_planes
+from hourlake.llm import chat_format, embedding_dedup, jaccard_join, language_id, lm_score, mixing, packing, quality_lines, substring_dedup, token_planes
 from hourlake.session import scratch_dir
 
 _SHIPPED: set[str] = set()
 
 
-def _ship(spark: SparkSession) -> None:
+def ship(spark: SparkSession) -> None:
     """Send this package to the executors, whose Python may not find it otherwise."""
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
@@ -33,7 +33,7 @@ def _ship(spark: SparkSession) -> None:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    _ship(spark)
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -68,6 +68,10 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
 
 
+def op7_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(_table(spark, sf_dir, "documents"))
+
+
 def op9_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     path = scratch_dir(spark, "token-planes")
@@ -86,6 +90,7 @@ QUERIES = {
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_language_id": op5_language_id,
     "op6_chat_format": op6_chat_format,
+    "op7_masked_lm": op7_masked_lm,
     "op8_mix": op8_mix,
     "op9_token_planes": op9_token_planes,
     "op10_ngram_jaccard": op10_ngram_jaccard,
