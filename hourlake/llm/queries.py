@@ -9,7 +9,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourlake.llm import chat_format, embedding_dedup, jaccard_join, language_id, lm_score, mixing, packing, quality_lines, substring_dedup, token_planes
+from hourlake.llm import chat_format, embedding_dedup, jaccard_join, language_id, lm_score, mixing, packing, quality_lines, sql, substring_dedup, token_planes
 from hourlake.session import scratch_dir
 
 _SHIPPED: set[str] = set()
@@ -95,4 +95,10 @@ QUERIES = {
     "op9_token_planes": op9_token_planes,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_line_frequency": sql.OP1,
+    "op3_substring_dedup": sql.OP3,
+    "op4_embedding_dedup": sql.OP4,
+    "op6_chat_format": sql.OP6,
+    "op10_ngram_jaccard": sql.OP10,
+}
