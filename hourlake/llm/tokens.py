@@ -15,7 +15,8 @@ import re
 import numpy as np
 import pyarrow as pa
 
-CACHE_UNITS = 1_000_000
+#: Units in each of the two generations of the cache.
+CACHE_UNITS = 600_000
 _UNSAFE = re.compile("[^!-~À-߿] ")
 _STATE: dict[str, tuple] = {}
 
@@ -33,8 +34,11 @@ def _load(path: str):
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
-        kind = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        _STATE[path] = (tokenizer, kind, {})
+        size = tokenizer.get_vocab_size()
+        kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        # In a byte-level vocabulary every sign of an id's name is a byte.
+        sizes = np.array([len(tokenizer.id_to_token(k) or "") for k in range(size)])
+        _STATE[path] = (tokenizer, kind, sizes, [{}, {}])
     return _STATE[path]
 
 
@@ -43,21 +47,27 @@ def id_type(path: str) -> np.dtype:
     return _load(path)[1]
 
 
-def _learn(tokenizer, kind, cache: dict, new: list[str]) -> None:
-    """Tokenize unknown units, each behind a space, many in one text: units begin where a text may be cut."""
-    for lo in range(0, len(new), 20_000):
-        part = new[lo: lo + 20_000]
-        found = tokenizer.encode(" " + " ".join(part), add_special_tokens=False)
-        at = np.cumsum([0] + [len(x) + 1 for x in part])
-        where = np.searchsorted(at, np.array([a for a, _ in found.offsets], np.int64), side="right") - 1
-        cuts = (np.searchsorted(where, np.arange(len(part) + 1)) * kind.itemsize).tolist()
-        raw = np.array(found.ids, kind).tobytes()
-        cache.update((unit, raw[a:b]) for unit, a, b in zip(part, cuts[:-1], cuts[1:], strict=True))
+def _learn(state: tuple, new: list[str]) -> dict[str, bytes]:
+    """Ids of unknown units, each behind a space, many in one text: units begin where a text may be cut.
+
+    Every id stands for a fixed number of bytes, so the ids of a unit end where its bytes end.
+    """
+    tokenizer, kind, sizes = state[:3]
+    out = {}
+    for lo in range(0, len(new), 2_000):
+        part = new[lo: lo + 2_000]
+        ids = np.array(tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, kind)
+        ends = np.cumsum([len(x.encode()) + 1 for x in part])
+        cuts = (np.searchsorted(np.cumsum(sizes[ids]), ends, side="right") * kind.itemsize).tolist()
+        raw = ids.tobytes()
+        out.update((unit, raw[a:b]) for unit, a, b in zip(part, [0, *cuts], cuts, strict=False))
+    return out
 
 
 def encode(texts: list[str | None], path: str) -> list[bytes]:
     """Little-endian ids of each text, in :func:`id_type`; null counts as empty."""
-    tokenizer, kind, cache = _load(path)
+    state = _load(path)
+    tokenizer, kind, _, caches = state
     plain = lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, kind).tobytes()
     out: list = [b""] * len(texts)
     cut = {}
@@ -70,9 +80,14 @@ def encode(texts: list[str | None], path: str) -> list[bytes]:
             cut[i] = text.split(" ")
     heads = {i: units.pop(0) for i, units in cut.items()}  # the only unit without a space before it
     known = set().union(*cut.values())
-    if len(cache) + len(known) > CACHE_UNITS:
-        cache.clear()
-    _learn(tokenizer, kind, cache, list(known - cache.keys()))
+    # Two generations: what was used since the last change stays when the older one goes.
+    if len(caches[0]) + len(known) > CACHE_UNITS:
+        caches[:] = [{}, caches[0]]
+    cache, older = caches
+    new = known - cache.keys()
+    found = new & older.keys()
+    cache.update((unit, older[unit]) for unit in found)
+    cache.update(_learn(state, list(new - found)))
     for i, units in cut.items():
         out[i] = plain(heads[i]) + b"".join(map(cache.__getitem__, units))
     return out
