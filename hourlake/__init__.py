@@ -9,7 +9,7 @@ from hourlake.operators.schema import align_by_name
 from hourlake.plans.ingest import IngestReport, ingest, parsed_landing
 from hourlake.plans.publish import write_hours
 from hourlake.session import build_session, scratch_dir
-from hourlake.sources.inventory import list_files, list_published_files, modified_since, parquet_footers
+from hourlake.sources.inventory import list_files, list_published_files, modified_since
 from hourlake.sources.json_writer import write_landing
 from hourlake.sources.landing import read_documents, read_lines
 from hourlake.sources.published import add_hours, clear_hours, read_published, register_table
@@ -21,5 +21,5 @@ __all__ = [
     "reconcile", "align_by_name", "IngestReport", "ingest", "parsed_landing", "write_hours",
     "build_session", "scratch_dir", "list_files", "list_published_files", "modified_since",
     "write_landing", "read_documents", "read_lines", "read_published", "ingest_stream",
-    "register_table", "add_hours", "clear_hours", "parquet_footers",
+    "register_table", "add_hours", "clear_hours",
 ]

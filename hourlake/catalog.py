@@ -6,26 +6,25 @@ table."""
 from __future__ import annotations
 
 import time
-from datetime import datetime, timezone
+from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
 from typing import Callable
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourlake.functions.hours import PARTITION_COLUMNS, hour_columns_from_ts
 from hourlake.operators.files import bytes_per_hour, new_files
 from hourlake.operators.ledger import latest_per_key, latest_runs, read_ledger
-from hourlake.operators.parse import CORRUPT, good_records
+from hourlake.operators.parse import CORRUPT, bad_records, good_records
 from hourlake.operators.reconcile import reconcile
 from hourlake.operators.schema import align_by_name
 from hourlake.plans.ingest import ingest, parsed_landing
 from hourlake.session import scratch_dir
-from hourlake.sources.inventory import (
-    list_files, list_published_files, modified_since, parquet_footers,
-)
-from hourlake.sources.json_writer import to_documents, write_landing
-from hourlake.sources.landing import read_documents
+from hourlake.sources.inventory import list_files, list_published_files, modified_since
+from hourlake.sources.json_writer import to_documents, to_plain_layout, write_landing
+from hourlake.sources.landing import read_documents, read_lines
 from hourlake.sources.published import read_published, register_table
 from hourlake.streaming.file_stream import ingest_stream
 
@@ -34,16 +33,48 @@ PUBLISHED = EVENTS + list(PARTITION_COLUMNS)
 HIVE = "hive"
 # Fixed values for the fixtures below.
 BRACES_SUFFIX = '}{ "}{" \\ '
-ONE_HOUR = "2024-01-02 05"
-PRUNED_DAY = ("2024-01-03 00", "2024-01-03 23")
-FIRST_HALF = ("2024-01-01 00", "2024-01-15 23")
-JANUARY = ("2024-01-01 00", "2024-01-31 23")
+FIRST_DAYS = 15
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@dataclass(frozen=True)
+class Span:
+    """The hours of the table's timestamps: from the first to the last, and the first hour
+    of the second part, FIRST_DAYS days after the first day."""
+
+    start: datetime
+    middle: datetime
+    end: datetime
+
+    @classmethod
+    def of(cls, events: DataFrame) -> "Span":
+        first, last = events.agg(F.min("ts"), F.max("ts")).first()
+        hour = {"minute": 0, "second": 0, "microsecond": 0}
+        return cls(first.replace(**hour), first.replace(hour=0, **hour) + timedelta(days=FIRST_DAYS), last.replace(**hour))
+
+    @property
+    def whole(self) -> tuple[datetime, datetime]:
+        return self.start, self.end
+
+    @property
+    def first_part(self) -> tuple[datetime, datetime]:
+        return self.start, self.middle - timedelta(hours=1)
+
+    @property
+    def second_part(self) -> tuple[datetime, datetime]:
+        return self.middle, max(self.middle, self.end)
+
+    def in_first(self) -> Column:
+        return F.col("ts") < F.lit(self.middle).cast("timestamp_ntz")
+
+    def day(self, n: int) -> tuple[datetime, datetime]:
+        begin = self.start.replace(hour=0) + timedelta(days=n)
+        return begin, begin + timedelta(hours=23)
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events")
 
@@ -126,9 +157,9 @@ def nested_struct_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _drift_landing(spark: SparkSession, sf_dir: str, name: str, second) -> str:
     ws = scratch_dir(spark, name)
     events = _events(spark, sf_dir)
-    first_half = F.dayofmonth("ts") <= 15
-    write_landing(events.where(first_half), f"{ws}/landing", "ts", style="lines")
-    write_landing(second(events.where(~first_half)), f"{ws}/landing", "ts", style="lines")
+    in_first = Span.of(events).in_first()
+    write_landing(events.where(in_first), f"{ws}/landing", "ts", style="lines")
+    write_landing(second(events.where(~in_first)), f"{ws}/landing", "ts", style="lines")
     return ws
 
 
@@ -147,8 +178,9 @@ def union_by_name_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 def union_by_name_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames read separately, each with its own inferred schema, aligned by name."""
     ws = _drift_landing(spark, sf_dir, "union_by_name_frames", _without_props)
-    first, _ = parsed_landing(spark, f"{ws}/landing", FIRST_HALF, None, HIVE)
-    second, _ = parsed_landing(spark, f"{ws}/landing", ("2024-01-16 00", "2024-12-31 23"), None, HIVE)
+    span = Span.of(_events(spark, sf_dir))
+    first, _ = parsed_landing(spark, f"{ws}/landing", span.first_part, None, HIVE)
+    second, _ = parsed_landing(spark, f"{ws}/landing", span.second_part, None, HIVE)
     return align_by_name([good_records(first), good_records(second)]).select(*EVENTS, "extra")
 
 
@@ -174,7 +206,8 @@ def rerun_replaces_one_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest(spark, f"{ws}/landing", f"{ws}/published", "all", schema=events.schema, layout=HIVE)
     fixed = events.withColumn("value", F.col("value") + F.lit(1.0))
     write_landing(fixed, f"{ws}/corrected", "ts", style="concat")
-    ingest(spark, f"{ws}/corrected", f"{ws}/published", ONE_HOUR, schema=events.schema, layout=HIVE)
+    hour = Span.of(events).start + timedelta(hours=29)
+    ingest(spark, f"{ws}/corrected", f"{ws}/published", (hour, hour), schema=events.schema, layout=HIVE)
     return _published(spark, f"{ws}/published", events)
 
 
@@ -197,22 +230,23 @@ def failed_rerun_keeps_old(spark: SparkSession, sf_dir: str) -> DataFrame:
 def empty_hour_keeps_old(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws, events = _landed_events(spark, sf_dir, "empty_hour_keeps_old")
     ingest(spark, f"{ws}/landing", f"{ws}/published", "all", schema=events.schema, layout=HIVE)
-    report = ingest(spark, f"{ws}/empty", f"{ws}/published", ("2024-01-01 00", "2024-01-31 23"),
-                    schema=events.schema, layout=HIVE)
+    write_landing(events.limit(0), f"{ws}/empty", "ts")
+    report = ingest(spark, f"{ws}/empty", f"{ws}/published", Span.of(events).whole, schema=events.schema, layout=HIVE)
     assert report.documents == 0
     return _published(spark, f"{ws}/published", events)
 
 
 def clear_empty_hours_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish the month, then re-run January from a landing that only holds
-    its first half, asking for empty hours to be cleared: the second half
-    is gone, the first half stays."""
+    """Publish all hours, then re-run them from a landing that only holds the
+    first part, asking for empty hours to be cleared: the second part is
+    gone, the first stays."""
     ws, events = _landed_events(spark, sf_dir, "clear_empty_hours_rerun")
     table = "hourlake_clear_" + ws.rsplit("-", 1)[-1]
     ingest(spark, f"{ws}/landing", f"{ws}/published", "all", schema=events.schema, layout=HIVE,
            table=table)
-    write_landing(events.where(F.dayofmonth("ts") <= 15), f"{ws}/first_half", "ts", style="concat")
-    ingest(spark, f"{ws}/first_half", f"{ws}/published", JANUARY, schema=events.schema, layout=HIVE,
+    span = Span.of(events)
+    write_landing(events.where(span.in_first()), f"{ws}/first_part", "ts", style="concat")
+    ingest(spark, f"{ws}/first_part", f"{ws}/published", span.whole, schema=events.schema, layout=HIVE,
            table=table, clear_empty_hours=True)
     return _published(spark, f"{ws}/published", events)
 
@@ -220,7 +254,7 @@ def clear_empty_hours_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pruned_hour_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws, events = _landed_events(spark, sf_dir, "pruned_hour_read")
     ingest(spark, f"{ws}/landing", f"{ws}/published", "all", schema=events.schema, layout=HIVE)
-    return _published(spark, f"{ws}/published", events, PRUNED_DAY)
+    return _published(spark, f"{ws}/published", events, Span.of(events).day(2))
 
 
 def published_table_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,7 +265,8 @@ def published_table_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = "hourlake_events_" + ws.rsplit("-", 1)[-1]
     register_table(spark, table, f"{ws}/published", events.schema)
     cols = ", ".join(PUBLISHED)
-    return spark.sql(f"SELECT {cols} FROM {table} WHERE year = '2024' AND month = '01' AND day = '03'")
+    day = Span.of(events).day(2)[0]
+    return spark.sql(f"SELECT {cols} FROM {table} WHERE year = '{day:%Y}' AND month = '{day:%m}' AND day = '{day:%d}'")
 
 
 def _land_truncated(events: DataFrame, root: str, every: int = 10) -> None:
@@ -242,9 +277,11 @@ def _land_truncated(events: DataFrame, root: str, every: int = 10) -> None:
     bad = (F.col("event_id") % F.lit(every)) == 0
     lines = events.select("*", doc.alias("_doc")).select(
         F.when(bad, cut).otherwise(F.col("_doc")).alias("value"), *hour_columns_from_ts(F.col("ts")))
-    lines.repartition(int(events.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                      *PARTITION_COLUMNS) \
-        .write.partitionBy(*PARTITION_COLUMNS).text(root)
+    # A hot hour is dealt out by blocks of its rows.
+    block = F.floor(F.monotonically_increasing_id() / 1_000_000)
+    lines.withColumn("_block", block).repartition(
+        int(events.sparkSession.conf.get("spark.sql.shuffle.partitions")), *PARTITION_COLUMNS, "_block") \
+        .drop("_block").write.mode("append").partitionBy(*PARTITION_COLUMNS).text(root)
 
 
 def _quarantine_run(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, DataFrame]:
@@ -272,31 +309,34 @@ def quarantine_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def published_rows_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents counted before any schema is applied, against published and bad ones."""
     ws, events = _landed_events(spark, sf_dir, "published_rows_reconcile")
     ingest(spark, f"{ws}/landing", f"{ws}/published", "all", schema=events.schema, layout=HIVE)
     parsed, _ = parsed_landing(spark, f"{ws}/landing", "all", events.schema, HIVE)
-    return reconcile(parsed, read_published(spark, f"{ws}/published", schema=events.schema))
+    return reconcile(read_documents(spark, f"{ws}/landing", "all", HIVE), bad_records(parsed),
+                     read_published(spark, f"{ws}/published", schema=events.schema))
 
 
 def row_group_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Published with 1 MiB row groups; rows per hour read from the footers."""
-    ws, events = _landed_events(spark, sf_dir, "row_group_size")
+    """The whole table published into one hour with small row groups."""
+    ws = scratch_dir(spark, "row_group_size")
+    events = _events(spark, sf_dir)
+    write_landing(events, f"{ws}/landing", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     ingest(spark, f"{ws}/landing", f"{ws}/published", "all", schema=events.schema, layout=HIVE,
-           row_group_bytes=1024 * 1024)
-    footers = parquet_footers(list_published_files(spark, f"{ws}/published"))
-    return footers.groupBy(*PARTITION_COLUMNS).agg(
-        F.sum("rows").alias("rows"), F.min(F.col("row_groups") >= 1).alias("has_row_groups"))
+           row_group_bytes=64 * 1024)
+    return _published(spark, f"{ws}/published", events)
 
 
 def publish_two_files_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """At most two output files per hour (content-hashed salt), as the
-    original job's two files per flush; rows per hour from the footers."""
+    original job's two files per flush; rows and files per hour by the scan's own
+    file names."""
     ws, events = _landed_events(spark, sf_dir, "publish_two_files_per_hour")
     ingest(spark, f"{ws}/landing", f"{ws}/published", "all", schema=events.schema, layout=HIVE,
            files_per_hour=2)
-    footers = parquet_footers(list_published_files(spark, f"{ws}/published"))
-    return footers.groupBy(*PARTITION_COLUMNS).agg(
-        F.sum("rows").alias("rows"), (F.count(F.lit(1)) <= 2).alias("at_most_two_files"))
+    rows = read_published(spark, f"{ws}/published", schema=events.schema)
+    return rows.select(*PARTITION_COLUMNS, F.col("_metadata.file_path").alias("file")).groupBy(*PARTITION_COLUMNS).agg(
+        F.count(F.lit(1)).alias("rows"), (F.count_distinct("file") <= 2).alias("at_most_two_files"))
 
 
 def publish_rebalanced(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -309,19 +349,26 @@ def publish_rebalanced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------- inventories (S4-S6, R2, R3)
 
+def _text_bytes(spark: SparkSession, root: str) -> DataFrame:
+    """Bytes of the landed lines per hour, a newline behind each."""
+    lines = read_lines(spark, root, "all", HIVE)
+    return lines.groupBy(*PARTITION_COLUMNS).agg(F.sum(F.octet_length("value") + 1).alias("text_bytes"))
+
+
 def files_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files and bytes per hour; the bytes are those of the lines in the files."""
     ws, _ = _landed_events(spark, sf_dir, "files_per_hour")
     per_hour = bytes_per_hour(list_files(spark, f"{ws}/landing", "all", HIVE))
-    return per_hour.select(*PARTITION_COLUMNS, "files",
-                           (F.col("total_bytes") > 0).alias("has_bytes"))
+    return per_hour.join(_text_bytes(spark, f"{ws}/landing"), list(PARTITION_COLUMNS), "left").select(
+        *PARTITION_COLUMNS, "files", (F.col("total_bytes") == F.col("text_bytes")).alias("bytes_match"))
 
 
 def new_and_removed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish the first half of the month, then all of it: per hour, files
+    """Publish the first part of the hours, then all: per hour, files
     the second run added and files its commit removed."""
     ws, events = _landed_events(spark, sf_dir, "new_and_removed_files")
     dest = f"{ws}/published"
-    ingest(spark, f"{ws}/landing", dest, FIRST_HALF, schema=events.schema, layout=HIVE)
+    ingest(spark, f"{ws}/landing", dest, Span.of(events).first_part, schema=events.schema, layout=HIVE)
     # The listing must be taken now, before the second run: checkpoint()
     # writes it to the shared checkpoint folder and cuts its lineage.
     before = list_published_files(spark, dest).checkpoint()
@@ -339,12 +386,12 @@ def new_and_removed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def modified_since_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = scratch_dir(spark, "modified_since_hours")
     events = _events(spark, sf_dir)
-    first_half = F.dayofmonth("ts") <= 15
-    write_landing(events.where(first_half), f"{ws}/landing", "ts")
+    in_first = Span.of(events).in_first()
+    write_landing(events.where(in_first), f"{ws}/landing", "ts")
     time.sleep(1.1)
     mark = datetime.now(timezone.utc)
     time.sleep(0.1)
-    write_landing(events.where(~first_half), f"{ws}/landing", "ts")
+    write_landing(events.where(~in_first), f"{ws}/landing", "ts")
     recent = modified_since(list_files(spark, f"{ws}/landing", "all", HIVE), mark)
     return recent.select(*PARTITION_COLUMNS).distinct()
 
@@ -362,10 +409,11 @@ def ledger_latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_ledger_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs recorded in the ledger, the second over all of January; the
-    latest run of every hour, hours without files included."""
+    """Two runs recorded in the ledger, the second over all hours; the latest
+    run of every hour, hours without files included."""
     ws, events = _landed_events(spark, sf_dir, "ingest_ledger_latest", style="lines")
-    for hours in (FIRST_HALF, JANUARY):
+    span = Span.of(events)
+    for hours in (span.first_part, span.whole):
         ingest(spark, f"{ws}/landing", f"{ws}/published", hours, schema=events.schema,
                layout=HIVE, ledger=f"{ws}/ledger")
     latest = latest_runs(read_ledger(spark, f"{ws}/ledger"))
@@ -383,6 +431,160 @@ def stream_ingest_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published(spark, f"{ws}/published", events)
 
 
+def stream_late_old_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that land after the first run with modification times from long before it are taken."""
+    ws = scratch_dir(spark, "stream_late_old_file")
+    events = _events(spark, sf_dir)
+    span = Span.of(events)
+
+    def drain() -> None:
+        for query in ingest_stream(spark, f"{ws}/landing", f"{ws}/published", f"{ws}/checkpoint", events.schema, layout=HIVE):
+            query.awaitTermination()
+
+    write_landing(events.where(span.in_first()), f"{ws}/landing", "ts")
+    drain()
+    write_landing(events.where(~span.in_first()), f"{ws}/landing", "ts")
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    old = int((datetime.now() - timedelta(days=30)).timestamp() * 1000)
+    # The fixture's files of the second part, one name an hour.
+    for row in list_files(spark, f"{ws}/landing", span.second_part, HIVE).select("path").toLocalIterator():
+        path = fs_path(row.path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(path, old, -1)
+    drain()
+    return _published(spark, f"{ws}/published", events)
+
+
+# ------------------------------------------------- documents that are not plain lines
+
+def separated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with commas between them, with junk behind them and with a doubled closing
+    brace: each is published or quarantined, and the counts add up."""
+    ws = scratch_dir(spark, "separated_documents")
+    events = _events(spark, sf_dir)
+    keys = list(PARTITION_COLUMNS)
+    docs = events.select("event_id", to_documents(events, EVENTS).alias("doc"), *hour_columns_from_ts(F.col("ts")))
+    kind = F.col("event_id") % 4
+    listed = docs.where((kind == 0) | (kind == 3)).groupBy(*keys, F.floor(F.col("event_id") / 1000).alias("line")).agg(
+        F.array_join(F.collect_list("doc"), ",").alias("value")).select("value", *keys)
+    junk = docs.where(kind == 1).select(F.concat("doc", F.lit(" junk}")).alias("value"), *keys)
+    doubled = docs.where(kind == 2).select(F.concat("doc", F.lit("}")).alias("value"), *keys)
+    listed.unionByName(junk).unionByName(doubled).write.partitionBy(*keys).text(f"{ws}/landing")
+    ingest(spark, f"{ws}/landing", f"{ws}/published", "all", schema=events.schema, layout=HIVE, quarantine=f"{ws}/bad")
+    bad = spark.read.schema(f"{CORRUPT} string, run_id string, " + ", ".join(f"{c} string" for c in keys)).parquet(f"{ws}/bad")
+    return reconcile(read_documents(spark, f"{ws}/landing", "all", HIVE), bad,
+                     read_published(spark, f"{ws}/published", schema=events.schema))
+
+
+def array_line_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decimals with 18 places in array lines come back digit by digit."""
+    ws = scratch_dir(spark, "array_line_decimal")
+    events = _events(spark, sf_dir).select("event_id", "ts", F.concat(
+        "event_id", F.lit(".123456789012345678")).cast("decimal(38,18)").alias("amount"))
+    write_landing(events, f"{ws}/landing", "ts", style="array", docs_per_line=50)
+    parsed, _ = parsed_landing(spark, f"{ws}/landing", "all", events.schema, HIVE)
+    return good_records(parsed).select("event_id", F.col("amount").cast("string").alias("amount"))
+
+
+def dotted_and_empty_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with dots, blanks and backquotes, empty objects, repeated keys, inferred and published."""
+    ws = scratch_dir(spark, "dotted_and_empty_keys")
+    events = _events(spark, sf_dir)
+    odd = events.select("event_id", F.col("user_id").alias("user.id"), F.struct(F.col("event_type").alias("a b.c`d")).alias("x"),
+                        F.col("value").alias("log`level"))
+    doc = F.concat(F.regexp_replace(to_documents(odd), "\\}$", ""),
+                   F.when(F.col("event_id") % 2 == 0, F.lit(',"meta":{},"list":[{}]}'))
+                   .otherwise(F.concat(F.lit(',"event_id":'), F.col("event_id").cast("string"), F.lit(',"only":true}'))))
+    odd.withColumn("value", doc).join(events.select("event_id", *hour_columns_from_ts(F.col("ts"))), "event_id") \
+        .select("value", *PARTITION_COLUMNS).write.partitionBy(*PARTITION_COLUMNS).text(f"{ws}/landing")
+    table = "hourlake_odd_" + ws.rsplit("-", 1)[-1]
+    ingest(spark, f"{ws}/landing", f"{ws}/published", "all", layout=HIVE, table=table)
+    return spark.table(table).select("event_id", F.col("`user.id`").alias("user_id"), F.col("x").getField("a b.c`d").alias("event_type"),
+                                     F.col("`log``level`").alias("value"), "only")
+
+
+def clashing_field_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields called like the hour keys are published with a suffix."""
+    ws = scratch_dir(spark, "clashing_field_names")
+    events = _events(spark, sf_dir).select("event_id", "ts", F.year("ts").alias("year"), F.date_format("ts", "HH:mm").alias("hour"))
+    docs = events.select(to_documents(events, ["event_id", "year", "hour"]).alias("value"),
+                         *[c.alias(f"_{n}") for c, n in zip(hour_columns_from_ts(F.col("ts")), PARTITION_COLUMNS)])
+    docs.select("value", *[F.col(f"_{n}").alias(n) for n in PARTITION_COLUMNS]) \
+        .write.partitionBy(*PARTITION_COLUMNS).text(f"{ws}/landing")
+    report = ingest(spark, f"{ws}/landing", f"{ws}/published", "all", layout=HIVE, clash_suffix="_field")
+    return read_published(spark, f"{ws}/published", schema=report.schema).select(
+        "event_id", "year_field", "hour_field", *PARTITION_COLUMNS)
+
+
+def nested_folder_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files in folders below the hour folders belong to those hours."""
+    ws = scratch_dir(spark, "nested_folder_scan")
+    events = _events(spark, sf_dir)
+    events.select(to_documents(events, EVENTS).alias("value"), *hour_columns_from_ts(F.col("ts")),
+                  (F.col("event_id") % 2).alias("part")) \
+        .write.partitionBy(*PARTITION_COLUMNS, "part").text(f"{ws}/landing")
+    ingest(spark, f"{ws}/landing", f"{ws}/published", Span.of(events).whole, schema=events.schema, layout=HIVE)
+    return _published(spark, f"{ws}/published", events)
+
+
+def plain_layout_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layout without names, YYYY/MM/DD/HH, which is the default of ``ingest``."""
+    ws, events = _landed_events(spark, sf_dir, "plain_layout_ingest", style="lines")
+    to_plain_layout(spark, f"{ws}/landing")
+    ingest(spark, f"{ws}/landing", f"{ws}/published", "all", schema=events.schema)
+    return _published(spark, f"{ws}/published", events)
+
+
+# ------------------------------------------------------- runs that differ from the last
+
+def all_bad_hour_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An hour that lands nothing but bad documents keeps its rows and is told apart in the ledger."""
+    ws, events = _landed_events(spark, sf_dir, "all_bad_hour_rerun")
+    ledger, dest = f"{ws}/ledger", f"{ws}/published"
+    ingest(spark, f"{ws}/landing", dest, "all", schema=events.schema, layout=HIVE, ledger=ledger)
+    _land_truncated(events, f"{ws}/broken", every=1)
+    first = Span.of(events).start
+    ingest(spark, f"{ws}/broken", dest, (first, first), schema=events.schema, layout=HIVE, ledger=ledger)
+    rows = read_published(spark, dest, schema=events.schema).groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("rows"))
+    return latest_runs(read_ledger(spark, ledger)).groupBy(*PARTITION_COLUMNS).agg(
+        F.max_by("status", "start_time").alias("status")).join(rows, list(PARTITION_COLUMNS), "left")
+
+
+def ledger_bytes_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger's bytes per hour against the bytes of the landed lines."""
+    ws, events = _landed_events(spark, sf_dir, "ledger_bytes_exact", style="lines")
+    ingest(spark, f"{ws}/landing", f"{ws}/published", "all", schema=events.schema, layout=HIVE, ledger=f"{ws}/ledger")
+    latest = latest_runs(read_ledger(spark, f"{ws}/ledger"))
+    return latest.join(_text_bytes(spark, f"{ws}/landing"), list(PARTITION_COLUMNS), "full_outer").select(
+        *PARTITION_COLUMNS, "files", (F.col("total_bytes") == F.col("text_bytes")).alias("total_match"),
+        (F.col("bytes_processed") == F.col("text_bytes")).alias("processed_match"))
+
+
+def _two_runs(spark: SparkSession, sf_dir: str, name: str, first, second) -> str:
+    """The table's name after one run over each part of the hours, each landed by its own function."""
+    ws = scratch_dir(spark, name)
+    events = _events(spark, sf_dir)
+    span = Span.of(events)
+    write_landing(first(events.where(span.in_first())), f"{ws}/landing", "ts")
+    write_landing(second(events.where(~span.in_first())), f"{ws}/landing", "ts")
+    table = f"hourlake_{name}_" + ws.rsplit("-", 1)[-1]
+    for hours in (span.first_part, span.second_part):
+        ingest(spark, f"{ws}/landing", f"{ws}/published", hours, layout=HIVE, table=table)
+    return table
+
+
+def table_gains_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that only the second run has is added to the table of the first."""
+    table = _two_runs(spark, sf_dir, "table_gains_column", lambda df: df.drop("props"), lambda df: df)
+    return spark.table(table).select(*EVENTS)
+
+
+def drift_between_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``value`` is text in the first run and a number in the second: the table's type holds."""
+    table = _two_runs(spark, sf_dir, "drift_between_runs",
+                      lambda df: df.withColumn("value", F.col("value").cast("string")), lambda df: df)
+    return spark.table(table).select(*EVENTS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         events_hour_ingest, events_jsonl_scan, events_inferred_scan, concat_json_rows_per_hour,
@@ -393,7 +595,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         published_rows_reconcile, row_group_size, publish_two_files_per_hour, publish_rebalanced,
         files_per_hour, new_and_removed_files,
         modified_since_hours, ledger_latest_run, ingest_ledger_latest,
-        stream_ingest_available_now,
+        stream_ingest_available_now, stream_late_old_file, separated_documents, array_line_decimal,
+        dotted_and_empty_keys, clashing_field_names, nested_folder_scan, plain_layout_ingest,
+        all_bad_hour_rerun, ledger_bytes_exact, table_gains_column, drift_between_runs,
     )
 }
 
@@ -402,10 +606,14 @@ _HOURS = ("strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, "
 _FLAGSHIP = f"SELECT event_id, ts, user_id, event_type, value, props, {_HOURS} FROM events"
 _TS_TEXT = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
 _SCAN = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
+_FIRST = f"ts < (SELECT date_trunc('day', min(ts)) + INTERVAL {FIRST_DAYS} DAY FROM events)"
+_THIRD_DAY = "date_trunc('day', ts) = (SELECT date_trunc('day', min(ts)) + INTERVAL 2 DAY FROM events)"
 _DRIFT = (f"SELECT event_id, {_TS_TEXT} AS ts, user_id, event_type, value, props, "
-          "CAST(NULL AS VARCHAR) AS extra FROM events WHERE day(ts) <= 15 "
+          f"CAST(NULL AS VARCHAR) AS extra FROM events WHERE {_FIRST} "
           f"UNION ALL SELECT event_id, {_TS_TEXT} AS ts, user_id, event_type, value, "
-          "CAST(NULL AS VARCHAR) AS props, event_type || '-x' AS extra FROM events WHERE day(ts) > 15")
+          f"CAST(NULL AS VARCHAR) AS props, event_type || '-x' AS extra FROM events WHERE NOT {_FIRST}")
+_SCAN_IN_ONE_HOUR = ("SELECT event_id, ts, user_id, event_type, value, props, '2024' AS year, '01' AS month, '01' AS day, "
+                     "'00' AS hour FROM events")
 _PER_HOUR = f"SELECT {_HOURS} FROM events"
 
 ORACLE_SQL: dict[str, str] = {
@@ -422,34 +630,48 @@ ORACLE_SQL: dict[str, str] = {
     "union_by_name_frames": _DRIFT,
     "type_widening_drift": f"SELECT event_id, {_TS_TEXT} AS ts, user_id, event_type, CAST(value AS VARCHAR) AS value, props FROM events",
     "rerun_is_idempotent": _FLAGSHIP,
-    "rerun_replaces_one_hour": f"SELECT event_id, ts, user_id, event_type, CASE WHEN strftime(ts, '%Y-%m-%d %H') = '{ONE_HOUR}' "
+    "rerun_replaces_one_hour": "SELECT event_id, ts, user_id, event_type, CASE WHEN date_trunc('hour', ts) = "
+                               "(SELECT date_trunc('hour', min(ts)) + INTERVAL 29 HOUR FROM events) "
                                f"THEN value + 1.0 ELSE value END AS value, props, {_HOURS} FROM events",
     "failed_rerun_keeps_old": _FLAGSHIP,
     "empty_hour_keeps_old": _FLAGSHIP,
-    "clear_empty_hours_rerun": f"{_FLAGSHIP} WHERE day(ts) <= 15",
-    "pruned_hour_read": f"{_FLAGSHIP} WHERE strftime(ts, '%Y-%m-%d') = '2024-01-03'",
-    "published_table_sql": f"{_FLAGSHIP} WHERE strftime(ts, '%Y-%m-%d') = '2024-01-03'",
+    "clear_empty_hours_rerun": f"{_FLAGSHIP} WHERE {_FIRST}",
+    "pruned_hour_read": f"{_FLAGSHIP} WHERE {_THIRD_DAY}",
+    "published_table_sql": f"{_FLAGSHIP} WHERE {_THIRD_DAY}",
     "quarantine_bad_lines": f"{_FLAGSHIP} WHERE event_id % 10 <> 0",
     "quarantine_records": f"SELECT year, month, day, hour, count(*) AS bad_documents, true AS all_kept_text "
                           f"FROM (SELECT {_HOURS} FROM events WHERE event_id % 10 = 0) GROUP BY ALL",
     "published_rows_reconcile": f"SELECT year, month, day, hour, count(*) AS source_docs, CAST(0 AS BIGINT) AS bad_docs, "
                                 f"count(*) AS published_rows, true AS matches FROM ({_PER_HOUR}) GROUP BY ALL",
-    "row_group_size": f"SELECT year, month, day, hour, count(*) AS rows, true AS has_row_groups FROM ({_PER_HOUR}) GROUP BY ALL",
+    "row_group_size": _SCAN_IN_ONE_HOUR,
     "publish_two_files_per_hour": f"SELECT year, month, day, hour, count(*) AS rows, true AS at_most_two_files "
                                   f"FROM ({_PER_HOUR}) GROUP BY ALL",
     "publish_rebalanced": _FLAGSHIP,
-    "files_per_hour": f"SELECT DISTINCT year, month, day, hour, CAST(1 AS BIGINT) AS files, true AS has_bytes FROM ({_PER_HOUR})",
-    "new_and_removed_files": f"SELECT DISTINCT year, month, day, hour, CAST(1 AS BIGINT) AS new_files, "
-                             f"CAST(CASE WHEN day <= '15' THEN 1 ELSE 0 END AS BIGINT) AS removed_files FROM ({_PER_HOUR})",
-    "modified_since_hours": f"SELECT DISTINCT {_HOURS} FROM events WHERE day(ts) > 15",
+    "files_per_hour": f"SELECT DISTINCT year, month, day, hour, CAST(1 AS BIGINT) AS files, true AS bytes_match FROM ({_PER_HOUR})",
+    "new_and_removed_files": f"SELECT DISTINCT {_HOURS}, CAST(1 AS BIGINT) AS new_files, "
+                             f"CAST(CASE WHEN {_FIRST} THEN 1 ELSE 0 END AS BIGINT) AS removed_files FROM events",
+    "modified_since_hours": f"SELECT DISTINCT {_HOURS} FROM events WHERE NOT {_FIRST}",
     "ledger_latest_run": "SELECT o_orderstatus, o_orderpriority, o_orderdate, o_orderkey, o_custkey, o_totalprice FROM ("
                          "SELECT *, row_number() OVER (PARTITION BY o_orderstatus, o_orderpriority "
                          "ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1",
     "ingest_ledger_latest": "SELECT strftime(h, '%Y') AS year, strftime(h, '%m') AS month, strftime(h, '%d') AS day, "
                             "strftime(h, '%H') AS hour, CAST(CASE WHEN e.n IS NULL THEN 0 ELSE 1 END AS BIGINT) AS files, "
                             "'succeeded' AS status, true AS all_published "
-                            "FROM generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-31 23:00:00', "
-                            "INTERVAL 1 HOUR) AS t(h) LEFT JOIN (SELECT date_trunc('hour', ts) AS h, count(*) AS n "
+                            "FROM (SELECT unnest(generate_series(date_trunc('hour', min(ts)), max(ts), INTERVAL 1 HOUR)) AS h FROM events) AS t LEFT JOIN (SELECT date_trunc('hour', ts) AS h, count(*) AS n "
                             "FROM events GROUP BY 1) AS e USING (h)",
     "stream_ingest_available_now": _FLAGSHIP,
+    "stream_late_old_file": _FLAGSHIP,
+    "separated_documents": f"SELECT year, month, day, hour, count(*) AS source_docs, count(*) FILTER (event_id % 4 IN (1, 2)) AS bad_docs, "
+                           f"count(*) FILTER (event_id % 4 IN (0, 3)) AS published_rows, true AS matches "
+                           f"FROM (SELECT event_id, {_HOURS} FROM events) GROUP BY ALL",
+    "array_line_decimal": "SELECT event_id, event_id || '.123456789012345678' AS amount FROM events",
+    "dotted_and_empty_keys": "SELECT event_id, user_id, event_type, value, CASE WHEN event_id % 2 = 1 THEN true END AS only FROM events",
+    "clashing_field_names": f"SELECT event_id, CAST(year(ts) AS BIGINT) AS year_field, strftime(ts, '%H:%M') AS hour_field, {_HOURS} FROM events",
+    "nested_folder_scan": _FLAGSHIP,
+    "plain_layout_ingest": _FLAGSHIP,
+    "all_bad_hour_rerun": f"SELECT {_HOURS}, CASE WHEN date_trunc('hour', ts) = (SELECT date_trunc('hour', min(ts)) FROM events) "
+                          "THEN 'all_bad' ELSE 'succeeded' END AS status, count(*) AS rows FROM events GROUP BY ALL",
+    "ledger_bytes_exact": f"SELECT DISTINCT {_HOURS}, CAST(1 AS BIGINT) AS files, true AS total_match, true AS processed_match FROM events",
+    "table_gains_column": f"SELECT event_id, {_TS_TEXT} AS ts, user_id, event_type, value, CASE WHEN NOT {_FIRST} THEN props END AS props FROM events",
+    "drift_between_runs": f"SELECT event_id, {_TS_TEXT} AS ts, user_id, event_type, CAST(value AS VARCHAR) AS value, props FROM events",
 }

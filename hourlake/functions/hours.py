@@ -6,7 +6,7 @@ import calendar
 from collections import defaultdict
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
-from typing import Iterable, Iterator, Union
+from typing import Iterator, Union
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -42,12 +42,18 @@ def _hour(value) -> datetime:
     return dt.replace(minute=0, second=0, microsecond=0)
 
 
+def _is_day(spec) -> bool:
+    """Whether ``spec`` is 'YYYY-MM-DD', a whole day."""
+    return isinstance(spec, str) and len(spec.strip()) == 10
+
+
 @dataclass(frozen=True)
 class HourRange:
     """An inclusive range of UTC hours; ``everything`` selects every landed hour.
 
     ``parse`` takes None (the current hour), 'YYYY-MM-DD HH' (one hour),
-    'YYYY-MM-DD' (the whole day), a (start, end) pair, or 'all'.
+    'YYYY-MM-DD' (the whole day), a (start, end) pair, or 'all'. A day that
+    ends a pair is in it up to its last hour.
     """
 
     start: datetime | None = None
@@ -65,10 +71,12 @@ class HourRange:
             return cls(everything=True)
         if isinstance(spec, (tuple, list)):
             start, end = _hour(spec[0]), _hour(spec[1])
+            if _is_day(spec[1]):
+                end += timedelta(hours=23)
             if end < start:
                 raise ValueError(f"hour range ends before it starts: {spec!r}")
             return cls(start, end)
-        if isinstance(spec, str) and len(spec.strip()) == 10:  # 'YYYY-MM-DD': the whole day
+        if _is_day(spec):
             day = _hour(spec)
             return cls(day, day + timedelta(hours=23))
         hour = _hour(spec)
@@ -140,21 +148,27 @@ def hour_glob(root: str, hours: HourSpec, layout: str = "plain") -> str:
     return root + "/" + _alternatives(parts)
 
 
-def hour_columns_from_path(path: Column, layout: str = "plain") -> list[Column]:
-    """year/month/day/hour strings cut from a landing file's path.
+def hour_columns_from_path(path: Column, layout: str = "plain", depth: int | None = None) -> list[Column]:
+    """year/month/day/hour strings cut from a file's path.
 
-    The files were selected by :func:`hour_glob`, which already enforces the
-    four digit levels, so the last four directories are the hour: no regular
-    expression has to run per row.
+    ``depth`` is the number of folders of the root's path: the four below it are the
+    hour, however deep the file lies under them. Without it the file's last four
+    folders are.
     """
-    dirs = F.split(F.substring_index(path, "/", -5), "/")
-    cols = []
-    for i, name in enumerate(PARTITION_COLUMNS):
-        part = F.element_at(dirs, i + 1)
-        if layout == "hive":
-            part = F.substring_index(part, "=", -1)
-        cols.append(part.alias(name))
-    return cols
+    if depth is None:
+        dirs = F.split(F.substring_index(path, "/", -5), "/")
+        parts = [F.element_at(dirs, i + 1) for i in range(4)]
+    else:
+        dirs = F.split(F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), "/+")
+        parts = [F.get(dirs, F.lit(depth + 1 + i)) for i in range(4)]
+    if layout == "hive":
+        parts = [F.substring_index(p, "=", -1) for p in parts]
+    return [p.alias(name) for p, name in zip(parts, PARTITION_COLUMNS)]
+
+
+def in_hour_folder() -> Column:
+    """Whether year/month/day/hour columns cut from a path are those of an hour folder."""
+    return F.concat_ws("/", *[F.col(c) for c in PARTITION_COLUMNS]).rlike("^[0-9]{4}/[0-9]{2}/[0-9]{2}/[0-9]{2}$")
 
 
 def hour_columns_from_ts(ts: Column) -> list[Column]:
@@ -180,7 +194,3 @@ def hour_predicate(hours: HourSpec) -> Column | None:
     lo, hi = hr.keys()
     key = F.concat(*[F.col(c) for c in PARTITION_COLUMNS])
     return key.between(F.lit(lo), F.lit(hi))
-
-
-def partition_columns(names: Iterable[str] = PARTITION_COLUMNS) -> list[Column]:
-    return [F.col(n) for n in names]

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 # Fixed values.
 # A boundary between two JSON documents written back to back ("}{", or "} {"
 # with white space between), found only outside string literals: from where the
-# previous match ended (\G), consume plain characters, whole string literals and
-# closing braces that are not followed by "{"; the match ends at a "}" that is.
-DOCUMENT_BOUNDARY = r'\G((?:[^"}]++|"[^"\\]*+(?:\\.[^"\\]*+)*+"|\}(?!\s*\{))*+\})\s*(?=\{)'
+# previous match ended (\G), consume plain characters, whole string literals (in
+# double or, as Spark's JSON reader takes them, single quotes) and closing braces
+# that are not followed by "{"; the match ends at a "}" that is.
+DOCUMENT_BOUNDARY = (r"""\G((?:[^"'}]++|"[^"\\]*+(?:\\.[^"\\]*+)*+"|'[^'\\]*+(?:\\.[^'\\]*+)*+'|\}(?!\s*\{))*+\})"""
+                     r"""\s*(?=\{)""")
 # Cheap pre-check: a line can only hold several documents if it has "}" then "{".
 MAYBE_SEVERAL = r"\}\s*\{"
 # U+0001 never occurs raw in valid JSON text, so it is a safe cut mark.
@@ -35,12 +37,42 @@ def is_blank(text: Column) -> Column:
     return strip_json(text) == F.lit("")
 
 
-def array_elements(doc: Column) -> Column:
-    """A document that is a JSON array becomes its elements' JSON texts, as
-    Spark's JSON reader gives one row per element; anything else stays one
-    element. A malformed array stays whole (it is reported as corrupt)."""
-    stripped = strip_json(doc)
-    elements = F.transform(F.from_json(stripped, "array<string>"),
-                           lambda e: F.coalesce(e, F.lit("null")))
-    return F.when(stripped.startswith("["), F.coalesce(elements, F.array(stripped))) \
-        .otherwise(F.array(stripped))
+def _texts(array: Column) -> Column:
+    """JSON texts of the elements of a JSON array, null if it is none. Through
+    VARIANT, which keeps decimals exactly; what it refuses (repeated keys, single
+    quotes) goes through strings."""
+    exact = F.transform(F.try_variant_get(F.try_parse_json(array), "$", "array<variant>"), lambda e: F.to_json(e))
+    plain = F.transform(F.from_json(array, "array<string>"), lambda e: F.coalesce(e, F.lit("null")))
+    return F.coalesce(exact, plain)
+
+
+def _flat(text: Column) -> Column:
+    """An object whose only closing brace ends the text: nothing can trail it."""
+    return text.startswith("{") & (F.locate("}", text) == F.length(text))
+
+
+def is_one_value(doc: Column) -> Column:
+    """Whether a text is exactly one JSON value; from_json alone accepts text behind it."""
+    text = strip_json(doc)
+    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")
+    return F.when(_flat(text), F.lit(True)).otherwise(F.coalesce(F.size(listed) == 1, F.lit(False)))
+
+
+def document_values(fragment: Column) -> Column:
+    """array<struct<doc string, whole boolean>>: the JSON documents of a fragment.
+
+    A JSON array gives its elements, as Spark's JSON reader does, and so do documents
+    separated by commas. A fragment with anything else before, between or behind
+    its documents stays one text that is not ``whole``; it is reported as bad, never cut.
+    """
+    text = strip_json(fragment)
+    listed = F.concat(F.lit("["), text, F.lit("]"))
+    one = lambda whole: F.array(F.struct(text.alias("doc"), F.lit(whole).alias("whole")))
+    several = lambda array: F.transform(
+        _texts(array), lambda e: F.struct(e.alias("doc"), F.lit(True).alias("whole")))
+    count = F.size(F.from_json(listed, "array<string>"))
+    return (F.when(_flat(text), one(True))
+            .when(text.startswith("["), F.coalesce(several(text), one(False)))
+            .when(F.coalesce(count, F.lit(-1)) < 1, one(False))
+            .when(count == 1, one(True))
+            .otherwise(several(listed)))

@@ -15,6 +15,7 @@ LEDGER_SCHEMA = T.StructType([
     *[T.StructField(c, T.StringType()) for c in PARTITION_COLUMNS],
     T.StructField("files", T.LongType()),
     T.StructField("total_bytes", T.LongType()),
+    T.StructField("bytes_processed", T.LongType()),
     T.StructField("run_documents", T.LongType()),
     T.StructField("run_published", T.LongType()),
     T.StructField("run_quarantined", T.LongType()),
@@ -37,8 +38,8 @@ def run_entries(per_hour: DataFrame, run: dict) -> DataFrame:
 
 
 def append_ledger(entries: DataFrame, ledger: str) -> None:
-    # One small file per run; the ledger grows by the hours of each run.
-    entries.coalesce(1).write.mode("append").parquet(ledger.rstrip("/"))
+    # Two small appends per run; the hours of a run decide their size.
+    entries.write.mode("append").parquet(ledger.rstrip("/"))
 
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
@@ -50,8 +51,9 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 
     An aggregate, not a window: max over a struct led by the ordering
     columns runs partially on the map side, so a key holding a third of all
-    rows reaches the shuffle as one row per task and is never sorted in one
-    task. Ties on ``order`` are broken by the remaining columns.
+    rows reaches the shuffle as one row per task. With strings among the
+    columns Spark sorts each task's rows by key first. Ties on ``order`` are
+    broken by the remaining columns.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     best = F.max(F.struct(*[F.col(c) for c in order + rest])).alias("_best")
@@ -59,5 +61,6 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 
 
 def latest_runs(ledger: DataFrame) -> DataFrame:
-    """The most recent run of every (source, hour)."""
-    return latest_per_key(ledger, ["source", *PARTITION_COLUMNS], ["start_time", "run_id"])
+    """The most recent run of every (source, hour); a run that ended comes before its
+    own row from the start, which stays the latest of a run whose driver died."""
+    return latest_per_key(ledger, ["source", *PARTITION_COLUMNS], ["start_time", "run_id", "end_time"])

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourlake.functions.hours import PARTITION_COLUMNS
-from hourlake.functions.json_text import strip_json
-from hourlake.sources.landing import SOURCE_FILE
+from hourlake.functions.json_text import is_one_value, strip_json
+from hourlake.operators.schema import common_schema
+from hourlake.session import scratch_dir
+from hourlake.sources.landing import SOURCE_FILE, WHOLE
 
 CORRUPT = "_corrupt_record"
 MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
@@ -24,12 +27,25 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"
 def as_struct(schema: T.StructType | str) -> T.StructType:
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    clash = [f.name for f in schema.fields if f.name in PARTITION_COLUMNS + (SOURCE_FILE,)]
-    if clash:
-        raise ValueError(f"record fields {clash} collide with the hour partition columns")
     return T.StructType([f for f in schema.fields if f.name != CORRUPT])
 
 
+def output_struct(schema: T.StructType | str, clash_suffix: str | None = None) -> T.StructType:
+    """The published fields of ``schema``: those named like an hour key get ``clash_suffix``
+    behind their name; without one they are an error."""
+    struct = as_struct(schema)
+    taken = PARTITION_COLUMNS + (SOURCE_FILE, WHOLE)
+    clash = [f.name for f in struct.fields if f.name.lower() in taken]
+    if clash and not clash_suffix:
+        raise ValueError(f"record fields {clash} collide with the hour partition columns; "
+                         "name a clash_suffix to publish them under another name")
+    names = [f.name + (clash_suffix if f.name.lower() in taken else "") for f in struct.fields]
+    twice = {n for n in names if names.count(n) > 1}
+    if twice:
+        raise ValueError(f"record fields {sorted(twice)} would have the same name")
+    return T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, struct.fields)])
+
+
 def json_options(extra: dict | None = None) -> dict:
     opts = {"timestampNTZFormat": TIMESTAMP_NTZ_FORMAT}
     opts.update(extra or {})
@@ -37,32 +53,37 @@ def json_options(extra: dict | None = None) -> dict:
 
 
 def parse_documents(docs: DataFrame, schema: T.StructType | str, mode: str = "PERMISSIVE",
-                    options: dict | None = None) -> DataFrame:
+                    options: dict | None = None, clash_suffix: str | None = None) -> DataFrame:
     """Parse ``doc`` with ``schema``; every record keeps its hour and file.
 
     PERMISSIVE keeps bad records with all fields null and their text in
     ``_corrupt_record``; DROPMALFORMED drops them; FAILFAST fails the task
     (and so the job) on the first one. A document is bad when it does not
-    parse, when a value does not fit its declared type, or when text trails
-    its closing brace (which ``from_json`` alone would accept).
+    parse, when a value does not fit its declared type, or when it is not
+    exactly one JSON value (``from_json`` alone accepts text behind it).
+    ``clash_suffix``: see :func:`output_struct`.
     """
     mode = mode.upper()
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    struct = as_struct(schema)
+    struct, names = as_struct(schema), output_struct(schema, clash_suffix).names
     with_corrupt = T.StructType(struct.fields + [T.StructField(CORRUPT, T.StringType())])
     opts = json_options(options)
     opts.update({"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    keep = [c for c in docs.columns if c != "doc"]
+    keep = [c for c in docs.columns if c not in ("doc", WHOLE)]
+    whole = F.col(WHOLE) if WHOLE in docs.columns else is_one_value(F.col("doc"))
     # The parse result is produced by a one-element inline (a generator), so
     # filters on it stay above it: with a plain projection the optimizer
     # copies from_json into every pushed-down filter and parses each
     # document several times.
     parsed = docs.select(F.inline(F.array(F.struct(
-        F.col("doc"), F.from_json(F.col("doc"), with_corrupt, opts).alias("_r")))), *keep)
-    ok: Column = (F.col("_r").isNotNull() & F.col(f"_r.{CORRUPT}").isNull()
-                  & strip_json(F.col("doc")).endswith("}"))
-    fields = [F.when(ok, F.col(f"_r.{f.name}")).alias(f.name) for f in struct.fields]
+        F.col("doc"), whole.alias("_whole"), F.from_json(F.col("doc"), with_corrupt, opts).alias("_r")))), *keep)
+    record = F.col("_r")
+    ok: Column = record.isNotNull() & record.getField(CORRUPT).isNull() & F.col("_whole") \
+        & strip_json(F.col("doc")).startswith("{")
+    parsed = parsed.select("doc", ok.alias("_ok"), "_r", *keep)
+    ok = F.col("_ok")
+    fields = [F.when(ok, record.getField(f.name)).alias(n) for f, n in zip(struct.fields, names)]
     bad_text = F.when(ok, F.lit(None).cast("string")).otherwise(F.col("doc"))
     if mode == "FAILFAST":
         where = F.coalesce(F.col(SOURCE_FILE), F.lit("?")) if SOURCE_FILE in keep else F.lit("?")
@@ -84,30 +105,52 @@ def bad_records(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col(CORRUPT).isNotNull()).select(*keep, CORRUPT)
 
 
-# How the type names printed by schema_of_variant_agg map onto
-# the types Spark's JSON reader infers. Mixed types (VARIANT) and null-only
-# values (VOID) become strings, numbers with a fraction become doubles.
-_VARIANT_TO_JSON_TYPES = (
-    (r"OBJECT<", "STRUCT<"),
-    (r"(?<=: |Y<)VARIANT\b", "STRING"),
-    (r"(?<=: |Y<)VOID\b", "STRING"),
-    (r"(?<=: |Y<)DECIMAL\(\d+,\s*[1-9]\d*\)", "DOUBLE"),
-)
 # Reader options that change inference; with any of them the reader infers.
 _READER_ONLY = ("inferTimestamp", "prefersDecimal", "primitivesAsString", "allowNumericLeadingZeros")
+# Fixed value: the name that schema_of_variant_agg prints for a struct.
+_OBJECT = "OBJECT<"
+
+
+def _json_type(kind: T.DataType) -> T.DataType | None:
+    """The type Spark's JSON reader infers for a VARIANT's: mixed types and null-only values
+    become strings, numbers with a fraction doubles; what holds no field is no column."""
+    if isinstance(kind, T.StructType):
+        fields = [T.StructField(f.name, t) for f in kind.fields if (t := _json_type(f.dataType)) is not None]
+        return T.StructType(fields) if fields else None
+    if isinstance(kind, T.ArrayType):
+        element = _json_type(kind.elementType)
+        return None if element is None else T.ArrayType(element)
+    if isinstance(kind, (T.VariantType, T.NullType)):
+        return T.StringType()
+    if isinstance(kind, T.DecimalType) and kind.scale:
+        return T.DoubleType()
+    return kind
+
+
+def _variant_struct(printed: str) -> T.StructType:
+    """The printed type as a struct. Names may hold anything between backquotes."""
+    ddl = re.sub(r"`(?:[^`]|``)*`|" + _OBJECT, lambda m: "STRUCT<" if m[0] == _OBJECT else m[0], printed)
+    return _json_type(T.StructType([T.StructField("r", T._parse_datatype_string(ddl))])) or T.StructType([])
+
+
+@contextmanager
+def _last_of_repeated_keys(spark: SparkSession):
+    """VARIANT parses made inside keep the last of repeated keys instead of refusing the document."""
+    key = "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
-def _json_types(variant_schema: str) -> T.StructType | None:
-    ddl = variant_schema
-    for pattern, repl in _VARIANT_TO_JSON_TYPES:
-        ddl = re.sub(pattern, repl, ddl)
-    if not ddl.startswith("STRUCT<"):
-        return None
-    try:
-        parsed = T.StructType.fromDDL(ddl)
-    except Exception:  # noqa: BLE001 - unusual names: let the reader infer
-        return None
-    return parsed
+def _reader_schema(docs: DataFrame, options: dict | None) -> T.StructType:
+    """What ``DataFrameReader.json`` infers, over the documents written as lines."""
+    path = scratch_dir(docs.sparkSession, "infer")
+    docs.select(F.col("doc").alias("value")).write.text(path)
+    found = docs.sparkSession.read.options(**json_options(options)).option("mode", "DROPMALFORMED").json(path)
+    return T.StructType([f for f in found.schema.fields if f.name != CORRUPT])
 
 
 def infer_schema(docs: DataFrame, sampling_ratio: float = 1.0, options: dict | None = None,
@@ -120,20 +163,28 @@ def infer_schema(docs: DataFrame, sampling_ratio: float = 1.0, options: dict | N
     drift between files are merged by name, fields sorted by name; a column
     whose types disagree widens as the reader widens (integers with
     fractions to double, anything mixed with text, booleans or objects to
-    string); malformed documents are skipped. Reader-only options fall back
-    to ``DataFrameReader.json`` over the documents, which passes them
-    through Python workers (the slow path).
+    string); malformed documents and values that are no objects are skipped.
+    Documents that VARIANT refuses and the reader takes (single quotes) are
+    inferred by the reader, and so is everything with options only it knows. Of
+    repeated keys the last counts, as in the parse. Every document is looked at unless ``sampling_ratio`` says less:
+    then fields found in none of the sampled documents are not published.
     """
-    sample = docs.select("doc")
+    whole = F.col(WHOLE) if WHOLE in docs.columns else is_one_value(F.col("doc"))
+    sample = docs.where(whole & strip_json(F.col("doc")).startswith("{")).select("doc")
     if sampling_ratio < 1.0:
         sample = sample.sample(False, sampling_ratio, seed)
-    if not any(k in (options or {}) for k in _READER_ONLY):
-        printed = sample.agg(F.expr("schema_of_variant_agg(try_parse_json(doc))")).first()[0]
-        if printed is None:
-            return T.StructType([])
-        schema = _json_types(printed)
-        if schema is not None:
-            return T.StructType([f for f in schema.fields if f.name != CORRUPT])
-    texts = sample.rdd.map(lambda row: row[0])
-    inferred = docs.sparkSession.read.options(**json_options(options)).json(texts).schema
-    return T.StructType([f for f in inferred.fields if f.name != CORRUPT])
+    if any(k in (options or {}) for k in _READER_ONLY):
+        return _reader_schema(sample, options)
+    variant = F.try_parse_json("doc")
+    with _last_of_repeated_keys(docs.sparkSession):
+        printed, documents, read = sample.agg(
+            F.schema_of_variant_agg(variant), F.count(F.lit(1)), F.count(variant)).first()
+    found = []
+    if read:
+        record = [f.dataType for f in _variant_struct(printed).fields]
+        found += [t for t in record if isinstance(t, T.StructType)]
+    if read < documents:
+        with _last_of_repeated_keys(docs.sparkSession):
+            found.append(_reader_schema(sample.where(variant.isNull()), options))
+    fields = common_schema(found).fields if found else []
+    return T.StructType(sorted((f for f in fields if f.name != CORRUPT), key=lambda f: f.name))

@@ -6,22 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourlake.functions.hours import PARTITION_COLUMNS
-from hourlake.operators.parse import CORRUPT
 
 
-def reconcile(parsed: DataFrame, published: DataFrame) -> DataFrame:
+def reconcile(documents: DataFrame, bad: DataFrame, published: DataFrame) -> DataFrame:
     """Per hour: documents landed, bad documents, rows published, and
-    whether every good document was published exactly once. Both sides are
-    aggregated to one row per hour before they meet, so the join is small."""
-    src = parsed.groupBy(*PARTITION_COLUMNS).agg(
-        F.count(F.lit(1)).alias("source_docs"),
-        F.count(F.col(CORRUPT)).alias("bad_docs"))
-    pub = published.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("published_rows"))
+    whether every document is published or set aside exactly once.
+
+    ``documents`` are those of the landing before any schema is applied, ``bad`` the
+    quarantined ones, so what the parse loses shows. All sides are aggregated to
+    one row per hour before they meet, so the joins are small.
+    """
+    keys = list(PARTITION_COLUMNS)
+    count = lambda df, name: df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
     zero = F.lit(0).cast("bigint")
-    out = src.join(pub, on=list(PARTITION_COLUMNS), how="full_outer").select(
-        *PARTITION_COLUMNS,
-        F.coalesce("source_docs", zero).alias("source_docs"),
-        F.coalesce("bad_docs", zero).alias("bad_docs"),
-        F.coalesce("published_rows", zero).alias("published_rows"))
+    names = ["source_docs", "bad_docs", "published_rows"]
+    out = count(documents, names[0])
+    for df, name in ((bad, names[1]), (published, names[2])):
+        out = out.join(count(df, name), on=keys, how="full_outer")
+    out = out.select(*keys, *[F.coalesce(n, zero).alias(n) for n in names])
     return out.withColumn(
         "matches", (F.col("source_docs") - F.col("bad_docs")) == F.col("published_rows"))

@@ -12,11 +12,21 @@ _NUMERIC_RANK = {T.ByteType: 0, T.ShortType: 1, T.IntegerType: 2, T.LongType: 3,
                  T.FloatType: 4, T.DoubleType: 5}
 
 
+def quoted(name: str) -> str:
+    """``name`` as an expression, whatever signs it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def widen(a: T.DataType, b: T.DataType) -> T.DataType:
     """Common type of two columns: equal types stay, numbers widen to the
-    larger (integers with fractions to double), anything else to string."""
+    larger (integers with fractions to double), structs and arrays merge, and
+    anything else goes to string."""
     if a == b:
         return a
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return common_schema([a, b])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(widen(a.elementType, b.elementType))
     if isinstance(a, T.NullType):
         return b
     if isinstance(b, T.NullType):
@@ -44,11 +54,14 @@ def common_schema(schemas: list[T.StructType]) -> T.StructType:
 
 
 def _cast(col: str, src: T.DataType, dst: T.DataType):
+    value = F.col(quoted(col))
     if src == dst:
-        return F.col(col)
+        return value
     if isinstance(dst, T.StringType) and isinstance(src, (T.StructType, T.ArrayType, T.MapType)):
-        return F.to_json(F.col(col))
-    return F.col(col).cast(dst)
+        return F.to_json(value)
+    if isinstance(dst, (T.StructType, T.ArrayType)):
+        return F.from_json(F.to_json(value), dst)  # by name at every level, as casts are not
+    return value.cast(dst)
 
 
 def align_by_name(frames: list[DataFrame]) -> DataFrame:

@@ -10,20 +10,24 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourlake.functions.hours import PARTITION_COLUMNS, HourRange, HourSpec, hour_columns_from_ts
+from hourlake.functions.hours import PARTITION_COLUMNS, HourRange, HourSpec, hour_columns_from_ts, hour_predicate
 from hourlake.operators.files import bytes_per_hour
 from hourlake.operators.ledger import append_ledger, run_entries
 from hourlake.operators.parse import (
-    CORRUPT, MODES, as_struct, bad_records, good_records, infer_schema, parse_documents,
+    CORRUPT, MODES, bad_records, good_records, infer_schema, output_struct, parse_documents,
 )
 from hourlake.plans.publish import layout_for_write, write_hours
 from hourlake.sources.inventory import list_files
-from hourlake.sources.landing import SOURCE_FILE, read_documents
-from hourlake.sources.published import add_hours, clear_hours, register_table
+from hourlake.sources.landing import SOURCE_FILE, documents, read_documents, read_lines
+from hourlake.sources.published import add_hours, clear_hours, register_table, table_schema
 
 
 @dataclass
 class IngestReport:
+    """What a run did. ``status``: ``running``, ``failed``, ``succeeded``, or ``incomplete`` if some
+    hours landed nothing but bad documents (``all_bad_hours``) and so keep what
+    an earlier run published."""
+
     run_id: str
     source: str
     dest: str
@@ -33,25 +37,51 @@ class IngestReport:
     published: int = 0
     quarantined: int = 0
     status: str = "running"
+    all_bad_hours: list[tuple[str, str, str, str]] = field(default_factory=list)
     start_time: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
     end_time: datetime | None = None
 
 
+def parse_landing(docs: DataFrame, schema: T.StructType | str | None = None, mode: str = "PERMISSIVE",
+                  json_options: dict | None = None, sampling_ratio: float = 1.0, clash_suffix: str | None = None,
+                  known: T.StructType | None = None) -> tuple[DataFrame, T.StructType | None]:
+    """Documents parsed with ``schema``, and the published fields. Without a schema it is
+    inferred over the same documents; fields that ``known`` has keep the types they have there."""
+    if schema is None:
+        schema = infer_schema(docs, sampling_ratio, json_options)
+        if known is not None:
+            types = {f.name: f.dataType for f in known.fields}
+            names = output_struct(schema, clash_suffix).names
+            fields = [T.StructField(f.name, types.get(n, f.dataType)) for f, n in zip(schema.fields, names)]
+            gone = [f for f in known.fields if f.name not in names]
+            schema = T.StructType(fields + gone)
+        if not schema.fields:
+            return docs, None
+    return parse_documents(docs, schema, mode, json_options, clash_suffix), output_struct(schema, clash_suffix)
+
+
 def parsed_landing(spark: SparkSession, source: str, hours: HourSpec = "all",
                    schema: T.StructType | str | None = None, layout: str = "plain",
                    mode: str = "PERMISSIVE", json_options: dict | None = None,
-                   sampling_ratio: float = 1.0, file_glob: str | None = None
-                   ) -> tuple[DataFrame, T.StructType | None]:
+                   sampling_ratio: float = 1.0, file_glob: str | None = None,
+                   clash_suffix: str | None = None) -> tuple[DataFrame, T.StructType | None]:
     """Landing documents of ``hours`` parsed with ``schema`` (inferred over
     the same documents when not given). Lazy: nothing is read yet unless the
     schema has to be inferred."""
     docs = read_documents(spark, source, hours, layout, file_glob)
-    if schema is None:
-        schema = infer_schema(docs, sampling_ratio, json_options)
-        if not schema.fields:
-            return docs, None
-    struct = as_struct(schema)
-    return parse_documents(docs, struct, mode, json_options), struct
+    return parse_landing(docs, schema, mode, json_options, sampling_ratio, clash_suffix)
+
+
+def one_listing(spark: SparkSession, source: str, hours: HourRange, layout: str,
+                file_glob: str | None, tries: int = 5) -> tuple[DataFrame, DataFrame]:
+    """The inventory and the lines of the same files: both list the landing when they are made,
+    and are made again if a file came or went in between."""
+    for _ in range(tries):
+        inventory = list_files(spark, source, hours, layout, file_glob)
+        lines = read_lines(spark, source, hours, layout, file_glob)
+        if set(inventory.inputFiles()) == set(lines.inputFiles()):
+            return inventory, lines
+    raise RuntimeError(f"the files of {source} change faster than they can be listed")
 
 
 def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
@@ -61,44 +91,48 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
            row_group_bytes: int | None = None, max_records_per_file: int | None = None,
            json_options: dict | None = None, sampling_ratio: float = 1.0,
            file_glob: str | None = None, table: str | None = None,
-           clear_empty_hours: bool = False) -> IngestReport:
+           clear_empty_hours: bool = False, clear_all: bool = False,
+           clash_suffix: str | None = None) -> IngestReport:
     """Publish the landing hours ``hours`` of ``source`` into ``dest``.
 
     ``hours`` is one hour ('YYYY-MM-DD HH'), an inclusive (start, end) pair,
-    'all', or None for the current UTC hour. Every hour that has landing
-    files is replaced as a whole in one write; hours without files keep what
-    an earlier run published. Bad documents are left out of ``dest``
-    (PERMISSIVE, DROPMALFORMED) or fail the run before anything is replaced
-    (FAILFAST); with ``quarantine`` set, a PERMISSIVE run that met bad
-    documents writes them, with their file and hour, to that table under
-    ``run_id=<run>``.
-    One row per landed hour goes to ``ledger`` if given.
+    'all', or None for the current UTC hour. Every hour with a good document
+    is replaced as a whole in one write; hours without files keep what
+    an earlier run published, and so do hours whose documents are all bad: they
+    are listed in ``all_bad_hours`` and the run ends as ``incomplete``. Bad documents
+    are left out of ``dest`` and counted (PERMISSIVE, DROPMALFORMED) or fail the run
+    before anything is replaced (FAILFAST); with ``quarantine`` set, a PERMISSIVE
+    run that met bad documents writes them, with their file and hour, to that
+    table under ``run_id=<run>``. A missing ``source`` raises FileNotFoundError.
+
+    ``ledger`` gets a row per hour when the run starts and one when it ends, with
+    the files and bytes of exactly the listing that is read.
 
     With ``table`` the published hours are registered in the catalog (see
-    :func:`register_table`); with ``clear_empty_hours`` too, hours of a closed
-    range that have no landing file lose what an earlier run published
-    there (the original job kept it; this is the explicit opt-in).
+    :func:`register_table`), and the columns of a table that exists already keep their
+    types when no ``schema`` is given; documents that do not fit them are bad. With
+    ``clear_empty_hours`` too, hours of a closed range that have no landing file lose
+    what an earlier run published there (the original job kept it; this is
+    the explicit opt-in). A run that finds no file at all clears nothing unless
+    ``clear_all`` says so.
+
+    ``clash_suffix`` is put behind the names of fields called like an hour key.
     """
-    if clear_empty_hours and (table is None or HourRange.parse(hours).everything):
-        raise ValueError("clear_empty_hours needs a table and a closed hour range")
     hr = HourRange.parse(hours)
+    if clear_empty_hours and (table is None or hr.everything):
+        raise ValueError("clear_empty_hours needs a table and a closed hour range")
     mode = mode.upper()
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     report = IngestReport(uuid.uuid4().hex, source, dest, hr, None)
-    listing: list[DataFrame] = []
-
-    def inventory() -> DataFrame:
-        # Spark lists the files when the frame is created and reuses that
-        # index for every action on it: one listing per run.
-        if not listing:
-            listing.append(list_files(spark, source, hr, layout, file_glob))
-        return listing[0]
-
+    inventory, lines = one_listing(spark, source, hr, layout, file_glob)
+    if ledger:
+        record_run(spark, report, inventory, ledger)
     try:
-        parse_mode = "FAILFAST" if mode == "FAILFAST" else "PERMISSIVE"
-        parsed, struct = parsed_landing(spark, source, hr, schema, layout, parse_mode,
-                                        json_options, sampling_ratio, file_glob)
+        existing = table is not None and spark.catalog.tableExists(table)
+        parsed, struct = parse_landing(documents(lines), schema, "FAILFAST" if mode == "FAILFAST" else "PERMISSIVE",
+                                       json_options, sampling_ratio, clash_suffix,
+                                       table_schema(spark, table) if existing else None)
         report.schema = struct
         if struct is not None:
             # Counted after the layout shuffle (if any), in the write's own
@@ -106,44 +140,69 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
             # retried or speculative tasks do not inflate the counts. Bad
             # rows ride through the shuffle and are dropped after counting.
             obs = Observation(f"ingest_{report.run_id}")
-            arranged = layout_for_write(parsed.drop(SOURCE_FILE), strategy, files_per_hour)
+            bad_hour = F.when(F.col(CORRUPT).isNotNull(), F.concat(*[F.col(c) for c in PARTITION_COLUMNS]))
+            tasks = files_per_hour * count_hours(hr, inventory) if files_per_hour else None
+            arranged = layout_for_write(parsed.drop(SOURCE_FILE), strategy, files_per_hour, tasks=tasks)
             observed = arranged.observe(obs, F.count(F.lit(1)).alias("documents"),
-                                        F.count(F.col(CORRUPT)).alias("bad"))
+                                        F.count(F.col(CORRUPT)).alias("bad"),
+                                        F.min(bad_hour).alias("first"), F.max(bad_hour).alias("last"))
             write_hours(good_records(observed), dest, strategy, files_per_hour,
                         row_group_bytes, max_records_per_file, arrange=False)
             counts = obs.get
             report.documents = int(counts.get("documents") or 0)
             report.quarantined = int(counts.get("bad") or 0)
             report.published = report.documents - report.quarantined
-            if quarantine and mode == "PERMISSIVE" and report.quarantined:
-                # Second pass only when the first one met bad documents. One
-                # folder per run, hour keys as columns: a few files per run
-                # rather than one per hour, and a re-run never mixes with or
-                # hides an earlier run's bad documents.
-                (bad_records(parsed).write.mode("overwrite")
-                 .parquet(f"{quarantine.rstrip('/')}/run_id={report.run_id}"))
-        if table and (struct is not None or spark.catalog.tableExists(table)):
-            if hr.everything or not spark.catalog.tableExists(table):
+            if report.quarantined:
+                # A second pass only when the first one met bad documents, and only
+                # over the hours between the first and the last that holds one.
+                some = HourRange.parse(tuple(datetime.strptime(counts[k], "%Y%m%d%H") for k in ("first", "last")))
+                again, _ = parsed_landing(spark, source, some, struct_of(struct, clash_suffix), layout, "PERMISSIVE",
+                                          json_options, 1.0, file_glob, clash_suffix)
+                if quarantine and mode == "PERMISSIVE":
+                    # One folder per run, hour keys as columns: a few files per run
+                    # rather than one per hour, and a re-run never mixes with or
+                    # hides an earlier run's bad documents.
+                    (bad_records(again).write.mode("overwrite")
+                     .parquet(f"{quarantine.rstrip('/')}/run_id={report.run_id}"))
+                hopeless = again.groupBy(*PARTITION_COLUMNS).agg(
+                    F.count(F.lit(1)).alias("n"), F.count(F.col(CORRUPT)).alias("bad")).where("n = bad")
+                report.all_bad_hours = sorted(tuple(r) for r in hopeless.select(*PARTITION_COLUMNS).collect())
+        if table and (struct is not None or existing):
+            if hr.everything or not existing:
                 register_table(spark, table, dest, struct)  # scans every hour folder
             else:
                 register_table(spark, table, dest, struct, recover=False)
-                add_hours(spark, table, landed_hours(inventory()))
-            if clear_empty_hours:
-                clear_hours(spark, table, empty_published_hours(spark, report, inventory(), table))
-        report.status = "succeeded"
+                hopeless = set(report.all_bad_hours)
+                add_hours(spark, table, [h for h in landed_hours(inventory) if h not in hopeless])
+            if clear_empty_hours and (clear_all or inventory.limit(1).count()):
+                clear_hours(spark, table, empty_published_hours(spark, report, inventory, table))
+        report.status = "incomplete" if report.all_bad_hours else "succeeded"
     except Exception:
         report.status = "failed"
         raise
     finally:
         report.end_time = datetime.now(timezone.utc)
         if ledger:
-            record_run(spark, report, inventory(), ledger)
+            record_run(spark, report, inventory, ledger)
     return report
 
 
+def struct_of(published: T.StructType, clash_suffix: str | None) -> T.StructType:
+    """The record fields behind published ones: their names without the suffix for clashes."""
+    if not clash_suffix:
+        return published
+    clash = {c + clash_suffix: c for c in PARTITION_COLUMNS}
+    return T.StructType([T.StructField(clash.get(f.name, f.name), f.dataType) for f in published.fields])
+
+
+def count_hours(hours: HourRange, inventory: DataFrame) -> int:
+    """Hours that a run may write."""
+    return inventory.select(*PARTITION_COLUMNS).distinct().count() if hours.everything else len(hours)
+
+
 def landed_hours(inventory: DataFrame) -> list[tuple[str, str, str, str]]:
     """Hours of a closed range that have landing files (bounded by the range)."""
-    return [tuple(r) for r in inventory.select(*PARTITION_COLUMNS).distinct().collect()]
+    return [tuple(r) for r in inventory.where("length > 0").select(*PARTITION_COLUMNS).distinct().collect()]
 
 
 def empty_published_hours(spark: SparkSession, report: IngestReport, inventory: DataFrame,
@@ -153,7 +212,7 @@ def empty_published_hours(spark: SparkSession, report: IngestReport, inventory:
     driver to drive one delete per hour (whole days and months collapse)."""
     keys = list(PARTITION_COLUMNS)
     landed = inventory.select(*keys)
-    published = spark.table(table).select(*keys).distinct()
+    published = spark.table(table).where(hour_predicate(report.hours)).select(*keys).distinct()
     empty = (requested_hours(spark, report.hours).join(landed, keys, "left_anti")
              .join(published, keys, "left_semi"))
     return [tuple(r) for r in empty.collect()]
@@ -170,19 +229,28 @@ def record_run(spark: SparkSession, report: IngestReport, inventory: DataFrame,
                ledger: str) -> None:
     """Append one ledger row per hour of the run: every requested hour for
     a closed range (0 files where nothing landed, so a run over an empty hour
-    is still recorded), every landed hour for an open one."""
+    is still recorded), every landed hour for an open one. Bytes count as processed
+    once the run has ended; hours of bad documents only have the status ``all_bad``."""
     per_hour = bytes_per_hour(inventory)
+    zero = F.lit(0).cast("bigint")
     if not report.hours.everything:
-        zero = F.lit(0).cast("bigint")
         per_hour = requested_hours(spark, report.hours).join(
             per_hour, on=list(PARTITION_COLUMNS), how="left").select(
             *PARTITION_COLUMNS, F.coalesce("files", zero).alias("files"),
             F.coalesce("total_bytes", zero).alias("total_bytes"))
+    ended = report.status in ("succeeded", "incomplete")
+    per_hour = per_hour.withColumn("bytes_processed", F.col("total_bytes") if ended else zero)
+    status = F.lit("succeeded" if ended else report.status)
+    if report.all_bad_hours:
+        bad = spark.createDataFrame(report.all_bad_hours, ", ".join(f"{c} string" for c in PARTITION_COLUMNS))
+        per_hour = per_hour.join(bad.withColumn("_bad", F.lit(True)), list(PARTITION_COLUMNS), "left")
+        status = F.when(F.col("_bad"), "all_bad").otherwise(status)
+    per_hour = per_hour.withColumn("status", status)
     run = {
         "run_id": report.run_id, "source": report.source, "dest": report.dest,
         "run_documents": report.documents, "run_published": report.published,
-        "run_quarantined": report.quarantined, "status": report.status,
+        "run_quarantined": report.quarantined,
         "start_time": report.start_time.replace(tzinfo=None),
-        "end_time": report.end_time.replace(tzinfo=None),
+        "end_time": report.end_time.replace(tzinfo=None) if report.end_time else None,
     }
     append_ledger(run_entries(per_hour, run), ledger)

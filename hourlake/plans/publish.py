@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourlake.functions.hours import PARTITION_COLUMNS
+from hourlake.operators.schema import quoted
 
 STRATEGIES = ("direct", "rebalance")
 
 
 def layout_for_write(df: DataFrame, strategy: str = "direct",
                      files_per_hour: int | None = None,
-                     keys: tuple[str, ...] = PARTITION_COLUMNS) -> DataFrame:
+                     keys: tuple[str, ...] = PARTITION_COLUMNS, tasks: int | None = None) -> DataFrame:
     """Arrange rows so each writer task holds whole hours.
 
     * ``direct`` (default): no shuffle. Every scan task writes one file per
@@ -25,17 +26,20 @@ def layout_for_write(df: DataFrame, strategy: str = "direct",
       small hours into shared tasks and splits a hot hour over several tasks
       by the advisory partition size, so an hour holding a third of all rows
       is never written by one task.
-    * ``files_per_hour=n``: at most n files per hour: rows are hashed on
-      their own content into n salt buckets (deterministic under task
-      retries) and shuffled on (hour, salt) into
-      ``spark.sql.shuffle.partitions`` tasks.
+    * ``files_per_hour=n``: at most n files per hour: rows are dealt to n
+      salts by a hash of their text form (deterministic under task retries) and
+      shuffled on (hour, salt) into ``tasks`` tasks, by default
+      ``spark.sql.shuffle.partitions``; a caller who knows the hours asks for
+      one task per hour and salt.
     """
     if files_per_hour:
         data_cols = [c for c in df.columns if c not in keys]
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in data_cols]), F.lit(int(files_per_hour)))
+        # Through JSON, since maps have no hash.
+        text = F.to_json(F.struct(*[F.col(quoted(c)) for c in data_cols]))
+        salt = F.pmod(F.xxhash64(text), F.lit(int(files_per_hour)))
         # An explicit count: AQE must not coalesce the (hour, salt) groups into
         # a few tasks, since the cost of this write is per file, not per byte.
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         return df.repartition(n, *[F.col(k) for k in keys], salt)
     if strategy == "rebalance":
         return df.hint("rebalance", *keys)

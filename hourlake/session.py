@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -43,9 +44,10 @@ def build_session(master: str | None = None, app_name: str = "hourlake",
 def shared_root(spark: SparkSession) -> str:
     """The cluster-wide scratch folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be a shared file system (HDFS, object store). Only
-    when the session has none (local tests) is a fresh local folder created
-    and registered as the checkpoint directory.
+    On a cluster this must be a shared file system (HDFS, object store), and
+    a session without one is an error. Only where driver and executors are one
+    process (a ``local`` master) is a fresh local folder created and registered
+    as the checkpoint directory.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -55,8 +57,8 @@ def shared_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        if sc is None:
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        if sc is None or not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir()

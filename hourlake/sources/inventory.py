@@ -5,14 +5,14 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourlake.functions.hours import (
-    PARTITION_COLUMNS, HourSpec, hour_columns_from_path, hour_glob,
+    PARTITION_COLUMNS, HourRange, HourSpec, hour_columns_from_path, hour_glob, in_hour_folder,
 )
-from hourlake.sources.landing import _path_missing
+from hourlake.sources.landing import path_missing, root_depth
 
 INVENTORY_SCHEMA = T.StructType(
     [T.StructField("path", T.StringType()), T.StructField("length", T.LongType()),
@@ -28,32 +28,59 @@ def _listing(spark: SparkSession, paths: str, file_glob: str | None) -> DataFram
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
-    return reader.load(paths).select("path", "length", "modificationTime")
+    return reader.load(paths)
+
+
+def _one_form(uri: Column) -> Column:
+    """file:///x and file:/x are the same file."""
+    return F.regexp_replace(uri, "^file:/+", "file:/")
+
+
+def _with_empty_files(files: DataFrame) -> DataFrame:
+    """path, length, modificationTime of a listing, 0-byte files included: Spark plans no
+    split for those, so they are the names of its index (held on the driver
+    anyway) that make no row. Their modification time is not known."""
+    rows = files.select("path", "length", "modificationTime", _one_form(F.col("_metadata.file_path")).alias("_uri"))
+    names = files.inputFiles()
+    if not names:
+        return rows.drop("_uri")
+    spark = files.sparkSession
+    every = spark.createDataFrame([(n,) for n in names], "_name string").select(_one_form(F.col("_name")).alias("_uri"))
+    empty = every.join(rows.select("_uri"), "_uri", "left_anti").select(
+        F.col("_uri").alias("path"), F.lit(0).cast("bigint").alias("length"),
+        F.lit(None).cast("timestamp").alias("modificationTime"))
+    return rows.drop("_uri").unionByName(empty)
 
 
 def list_files(spark: SparkSession, root: str, hours: HourSpec = "all", layout: str = "plain",
                file_glob: str | None = None) -> DataFrame:
     """One row per landing file in ``hours``: path, bytes, modification time
-    and the hour folder it sits in. Hidden files are not listed, and a
-    0-byte file yields no row (Spark plans no split for it)."""
+    and the hour folder it sits in, or under. Hidden files are not listed. The
+    listing is taken now, actions on the frame reuse it. A missing root raises
+    FileNotFoundError."""
+    root, hr = root.rstrip("/"), HourRange.parse(hours)
+    depth = root_depth(spark, root)
     try:
-        files = _listing(spark, hour_glob(root, hours, layout), file_glob)
+        files = _listing(spark, root if hr.everything else hour_glob(root, hr, layout), file_glob)
     except AnalysisException as err:
-        if not _path_missing(err):
+        if not path_missing(err):
             raise
         return spark.createDataFrame([], INVENTORY_SCHEMA)
-    return files.select("*", *hour_columns_from_path(F.col("path"), "hive" if layout == "hive" else "plain"))
+    found = _with_empty_files(files)
+    return found.select("*", *hour_columns_from_path(F.col("path"), layout, depth)).where(in_hour_folder())
 
 
 def list_published_files(spark: SparkSession, dest: str) -> DataFrame:
     """One row per Parquet file of the published table."""
+    dest = dest.rstrip("/")
     try:
-        files = _listing(spark, dest.rstrip("/"), "*.parquet")
+        files = _listing(spark, dest, "*.parquet")
     except AnalysisException as err:
-        if not _path_missing(err):
+        if not path_missing(err):
             raise
         return spark.createDataFrame([], INVENTORY_SCHEMA)
-    return files.select("*", *hour_columns_from_path(F.col("path"), "hive"))
+    return files.select("path", "length", "modificationTime",
+                        *hour_columns_from_path(F.col("path"), "hive", root_depth(spark, dest)))
 
 
 def modified_since(files: DataFrame, since: datetime | str) -> DataFrame:
@@ -65,28 +92,3 @@ def modified_since(files: DataFrame, since: datetime | str) -> DataFrame:
             since = since.astimezone(timezone.utc).replace(tzinfo=None)
         since = since.strftime("%Y-%m-%dT%H:%M:%S.%fZ")
     return files.where(F.col("modificationTime") >= F.lit(since).cast("timestamp"))
-
-
-FOOTER_SCHEMA = "path string, row_groups bigint, rows bigint"
-
-
-def _footers(batches):
-    import pandas as pd
-    import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
-
-    for pdf in batches:
-        out = []
-        for path in pdf["path"]:
-            fs, inner = pafs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1))
-            with fs.open_input_file(inner) as handle:
-                meta = pq.ParquetFile(handle).metadata
-            out.append((path, meta.num_row_groups, meta.num_rows))
-        yield pd.DataFrame(out, columns=["path", "row_groups", "rows"])
-
-
-def parquet_footers(files: DataFrame) -> DataFrame:
-    """Row groups and rows of each Parquet file in an inventory, read from
-    the footers by the executors (one small read per file, no data pages)."""
-    return files.select("path", *PARTITION_COLUMNS).join(
-        files.select("path").mapInPandas(_footers, FOOTER_SCHEMA), on="path")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourlake.functions.hours import PARTITION_COLUMNS, hour_columns_from_ts
 from hourlake.operators.parse import json_options
+from hourlake.operators.schema import quoted
 
 STYLES = ("lines", "concat", "array")
 # Fixed value: timestamps are written with microseconds.
@@ -15,7 +16,7 @@ WRITE_TIMESTAMP_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 def to_documents(df: DataFrame, columns: list[str] | None = None) -> Column:
     cols = columns or [c for c in df.columns if c not in PARTITION_COLUMNS]
-    return F.to_json(F.struct(*[F.col(c) for c in cols]),
+    return F.to_json(F.struct(*[F.col(quoted(c)) for c in cols]),
                      json_options({"timestampNTZFormat": WRITE_TIMESTAMP_NTZ_FORMAT}))
 
 
@@ -68,3 +69,25 @@ def write_landing(df: DataFrame, root: str, hour_from: Column | str | None = Non
         out = grouped.select(line.alias("value"), *keys)
     (out.write.mode(mode).option("maxRecordsPerFile", int(rows_per_file))
      .partitionBy(*PARTITION_COLUMNS).text(root.rstrip("/")))
+
+
+def to_plain_layout(spark: SparkSession, root: str) -> None:
+    """Rename the folders year=YYYY/month=MM/day=DD/hour=HH under ``root`` to YYYY/MM/DD/HH.
+
+    Spark's partitioned writers only make named folders; this turns a landing written
+    by :func:`write_landing` into the layout without names, one rename per folder.
+    """
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    fs = make(root).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def rename(folder, level: int) -> None:
+        for status in fs.listStatus(folder):
+            name = status.getPath().getName()
+            if status.isDirectory() and name.startswith(PARTITION_COLUMNS[level] + "="):
+                target = make(folder, name.split("=", 1)[1])
+                if level < len(PARTITION_COLUMNS) - 1:
+                    rename(status.getPath(), level + 1)
+                if not fs.rename(status.getPath(), target):
+                    raise OSError(f"could not rename {status.getPath()} to {target}")
+
+    rename(make(root), 0)

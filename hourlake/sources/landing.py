@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourlake.functions.hours import (
-    PARTITION_COLUMNS, HourRange, HourSpec, hour_columns_from_path, hour_glob,
+    PARTITION_COLUMNS, HourRange, HourSpec, hour_columns_from_path, hour_glob, in_hour_folder,
 )
-from hourlake.functions.json_text import array_elements, is_blank, split_documents
+from hourlake.functions.json_text import document_values, is_blank, split_documents
 
 SOURCE_FILE = "_source_file"
 
@@ -21,61 +21,71 @@ LINES_SCHEMA = T.StructType(
 )
 
 
-def _path_missing(err: AnalysisException) -> bool:
+#: Whether ``doc`` is exactly one JSON value.
+WHOLE = "_one_value"
+
+
+def path_missing(err: AnalysisException) -> bool:
     cond = getattr(err, "getCondition", None) or getattr(err, "getErrorClass", None)
     return (cond() if cond else None) == "PATH_NOT_FOUND" or "PATH_NOT_FOUND" in str(err)
 
 
+def root_depth(spark: SparkSession, root: str, must_exist: bool = True) -> int:
+    """Number of folders in the path of ``root``, on whatever file system it is.
+
+    A root that does not exist is an error, not an area without files: a mistyped
+    name must not look like hours that went empty.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if must_exist and not fs.exists(path):
+        raise FileNotFoundError(f"no such landing root: {root}")
+    return len([x for x in fs.makeQualified(path).toUri().getPath().split("/") if x])
+
+
 def read_lines(spark: SparkSession, root: str, hours: HourSpec = "all", layout: str = "plain",
                file_glob: str | None = None) -> DataFrame:
     """Text lines of every landing file in ``hours``, with the hour they were
     landed under and the file they came from.
 
     The hour is the folder's, not a field of the record: a record stamped
-    01:59 that landed in the 02 folder belongs to hour 02. Hidden files
-    (``_x``, ``.x``) are skipped by Spark's listing. Hours without any file
-    yield no rows; if no hour has a file the frame is empty.
+    01:59 that landed in the 02 folder belongs to hour 02. Files in folders below
+    an hour folder belong to that hour. Hidden files (``_x``, ``.x``) are skipped
+    by Spark's listing. Hours without any file yield no rows; if no hour has a
+    file the frame is empty; a missing ``root`` raises FileNotFoundError.
     """
     root = root.rstrip("/")
     hr = HourRange.parse(hours)
-    # A closed range is one glob of hour folders (Spark then lists the
-    # matched folders with a parallel job). For every hour of a hive layout
-    # the root itself is read: partition discovery lists the tree level by
-    # level in parallel, rather than the driver expanding a glob over every
-    # year, month and day folder one call at a time.
-    glob = root if (hr.everything and layout == "hive") else hour_glob(root, hr, layout)
-    reader = spark.read
+    depth = root_depth(spark, root)
+    # A closed range is one glob of hour folders (Spark then lists the matched
+    # folders with a parallel job). For every hour the root itself is read: its
+    # tree is listed level by level in parallel, rather than the driver expanding
+    # a glob over every year, month and day folder one call at a time.
+    reader = spark.read.option("recursiveFileLookup", "true")
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
     try:
-        if layout == "hive":
-            # Spark's partition discovery appends the hour keys per file, typed
-            # as strings by the declared schema (keeps the zero padding).
-            schema = "value string, " + ", ".join(f"{c} string" for c in PARTITION_COLUMNS)
-            raw = reader.schema(schema).option("basePath", root).text(glob)
-            lines = raw.select("value", *PARTITION_COLUMNS,
-                               F.col("_metadata.file_path").alias(SOURCE_FILE))
-        else:
-            raw = reader.text(glob)
-            path = F.col("_metadata.file_path")
-            lines = raw.select("value", *hour_columns_from_path(path, layout),
-                               path.alias(SOURCE_FILE))
+        raw = reader.text(root if hr.everything else hour_glob(root, hr, layout))
     except AnalysisException as err:
-        if not _path_missing(err):
+        if not path_missing(err):
             raise
         return spark.createDataFrame([], LINES_SCHEMA)
-    return lines
+    path = F.col("_metadata.file_path")
+    lines = raw.select("value", *hour_columns_from_path(path, layout, depth), path.alias(SOURCE_FILE))
+    return lines.where(in_hour_folder())
 
 
 def documents(lines: DataFrame) -> DataFrame:
     """One row per JSON document: lines are split where documents were
-    written back to back, and top-level arrays give one row per element.
-    Blank fragments are dropped, as Spark's JSON reader drops blank lines.
-    Columns: ``doc`` plus the hour keys and source file of ``lines``."""
+    written back to back or with commas, and top-level arrays give one row per
+    element. Blank fragments are dropped, as Spark's JSON reader drops blank lines.
+    Columns: ``doc``, whether it is one JSON value, and the hour keys and source
+    file of ``lines``."""
     keep = [c for c in lines.columns if c != "value"]
     frags = lines.select(F.explode(split_documents(F.col("value"))).alias("frag"), *keep)
     frags = frags.where(~is_blank(F.col("frag")))
-    return frags.select(F.explode(array_elements(F.col("frag"))).alias("doc"), *keep)
+    values = frags.select(F.explode(document_values(F.col("frag"))).alias("_v"), *keep)
+    return values.select(F.col("_v.doc").alias("doc"), F.col("_v.whole").alias(WHOLE), *keep)
 
 
 def read_documents(spark: SparkSession, root: str, hours: HourSpec = "all",

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import calendar
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourlake.functions.hours import PARTITION_COLUMNS, HourSpec, hour_predicate
+from hourlake.functions.hours import PARTITION_COLUMNS, HourRange, HourSpec, hour_glob, hour_predicate
+from hourlake.sources.landing import path_missing, root_depth
 
 
 def published_schema(spark: SparkSession, dest: str, data_schema: T.StructType | None = None,
@@ -21,22 +24,34 @@ def published_schema(spark: SparkSession, dest: str, data_schema: T.StructType |
 
 def read_published(spark: SparkSession, dest: str, hours: HourSpec = "all",
                    schema: T.StructType | None = None, merge_schema: bool = False) -> DataFrame:
-    """The published table; ``hours`` prunes hour folders at planning time
-    (``PartitionFilters`` in the scan), so only those folders are read."""
-    dest = dest.rstrip("/")
+    """The published table. A closed range lists and reads its own hour folders
+    only, however many the lake holds; within them the predicate on the hour
+    keys is a ``PartitionFilter``. Hours that were never published give no rows."""
+    dest, hr = dest.rstrip("/"), HourRange.parse(hours)
     full = published_schema(spark, dest, schema, merge_schema)
-    df = (spark.read.schema(full)
-          .option("mergeSchema", str(merge_schema).lower())
-          .parquet(dest))
-    cond = hour_predicate(hours)
-    return df if cond is None else df.where(cond)
+    reader = spark.read.schema(full).option("mergeSchema", str(merge_schema).lower()).option("basePath", dest)
+    if hr.everything:
+        return reader.parquet(dest)
+    try:
+        return reader.parquet(hour_glob(dest, hr, "hive")).where(hour_predicate(hr))
+    except AnalysisException as err:
+        if not path_missing(err):
+            raise
+        root_depth(spark, dest)
+        return spark.createDataFrame([], full)
+
+
+def table_schema(spark: SparkSession, table: str) -> T.StructType:
+    """The data columns of a registered table."""
+    return T.StructType([f for f in spark.table(table).schema.fields if f.name not in PARTITION_COLUMNS])
 
 
 def register_table(spark: SparkSession, name: str, dest: str, schema: T.StructType | None = None,
                    recover: bool = True) -> None:
     """Expose the published table in the session catalog as an external,
     partitioned Parquet table (``year/month/day/hour`` as string partition
-    columns) and register the hour folders as catalog partitions.
+    columns) and register the hour folders as catalog partitions. Columns that
+    ``schema`` has and an existing table lacks are added to it.
 
     Queries on the table then prune hours in the catalog before any listing:
     a one-hour query lists one folder, however many hours the lake holds.
@@ -44,26 +59,31 @@ def register_table(spark: SparkSession, name: str, dest: str, schema: T.StructTy
     published; the recovery scans the folders with a parallel Spark job.
     """
     full = published_schema(spark, dest.rstrip("/"), schema)
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.fields)
     keys = ", ".join(PARTITION_COLUMNS)
     location = dest.rstrip("/").replace("'", "\\'")
-    # Static overwrite for SQL inserts into the table (clear_hours relies on
-    # it); the publish itself writes by path with dynamic overwrite.
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
-              f"OPTIONS (partitionOverwriteMode 'static') "
-              f"PARTITIONED BY ({keys}) LOCATION '{location}'")
+    if not spark.catalog.tableExists(name):
+        # Static overwrite for SQL inserts into the table (clear_hours relies on
+        # it); the publish itself writes by path with dynamic overwrite.
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({full.toDDL()}) USING parquet "
+                  f"OPTIONS (partitionOverwriteMode 'static') "
+                  f"PARTITIONED BY ({keys}) LOCATION '{location}'")
+    else:
+        have = {f.name.lower() for f in spark.table(name).schema.fields}
+        new = T.StructType([f for f in full.fields if f.name.lower() not in have])
+        if new.fields:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({new.toDDL()})")
     if recover:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
-def add_hours(spark: SparkSession, table: str, hours: list[tuple[str, str, str, str]]) -> None:
+def add_hours(spark: SparkSession, table: str, hours: list[tuple[str, str, str, str]],
+              batch: int = 500) -> None:
     """Register (year, month, day, hour) keys as catalog partitions of
-    ``table``, in one statement, without scanning any folder."""
-    if not hours:
-        return
-    specs = " ".join("PARTITION (" + ", ".join(f"{c} = '{v}'" for c, v in zip(PARTITION_COLUMNS, key)) + ")"
-                     for key in hours)
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+    ``table``, ``batch`` to a statement, without scanning any folder."""
+    for at in range(0, len(hours), batch):
+        specs = " ".join("PARTITION (" + ", ".join(f"{c} = '{v}'" for c, v in zip(PARTITION_COLUMNS, key)) + ")"
+                         for key in hours[at: at + batch])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
 
 
 def _collapse(hours: list[tuple[str, str, str, str]]) -> list[tuple[str, ...]]:
@@ -95,11 +115,13 @@ def clear_hours(spark: SparkSession, table: str, hours: list[tuple[str, str, str
     are one statement each.
     """
     data = [f for f in spark.table(table).schema.fields if f.name not in PARTITION_COLUMNS]
-    nulls = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in data]
+    # Only the columns matter: nothing is inserted.
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in data]
+    empty = spark.range(0)
     for key in _collapse(hours):
         spec = ", ".join(f"{c} = '{v}'" for c, v in zip(PARTITION_COLUMNS, key))
         dynamic = PARTITION_COLUMNS[len(key):]
-        rest = [f"CAST(NULL AS STRING) AS {c}" for c in dynamic]
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({', '.join([spec, *dynamic])}) "
-                  f"SELECT {', '.join(nulls + rest)} WHERE false")
+        rest = [F.lit(None).cast("string").alias(c) for c in dynamic]
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({', '.join([spec, *dynamic])}) SELECT * FROM {{nothing}}",
+                  nothing=empty.select(*nulls, *rest))
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")

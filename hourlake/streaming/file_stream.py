@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from hourlake.functions.hours import PARTITION_COLUMNS, level_wildcard, hour_columns_from_path
+from hourlake.functions.hours import PARTITION_COLUMNS, hour_columns_from_path, in_hour_folder
 from hourlake.operators.parse import CORRUPT, parse_documents
-from hourlake.sources.landing import SOURCE_FILE, documents
+from hourlake.sources.landing import SOURCE_FILE, documents, root_depth
+
+MAX_FILE_AGE = "36500d"
 
 
 def landing_stream(spark: SparkSession, root: str, layout: str = "plain",
@@ -18,16 +20,26 @@ def landing_stream(spark: SparkSession, root: str, layout: str = "plain",
                    source_options: dict | None = None) -> DataFrame:
     """Streaming lines of every landing file not seen before, with the hour
     cut from each file's folder. ``source_options`` go to the file source
-    as they are (``maxFileAge``, ``latestFirst``, ``pathGlobFilter`` ...)."""
-    glob = root.rstrip("/") + "/" + "/".join(level_wildcard(layout, i) for i in range(4))
-    reader = spark.readStream.format("text").options(**(source_options or {}))
+    as they are (``maxFileAge``, ``latestFirst``, ``pathGlobFilter`` ...).
+
+    Files are taken whatever their modification time (``maxFileAge`` is a
+    hundred years unless given): with Spark's own week, a backfilled file that
+    kept an older time would never be read. The price is that the checkpoint's
+    log of seen files never forgets a name, about a hundred bytes each; give a
+    ``maxFileAge`` where all files are known to land in time.
+    """
+    root = root.rstrip("/")
+    depth = root_depth(spark, root)
+    options = {"maxFileAge": MAX_FILE_AGE, "recursiveFileLookup": "true", **(source_options or {})}
+    reader = spark.readStream.format("text").options(**options)
     if max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    raw = reader.load(glob)
+    raw = reader.load(root)
     path = F.col("_metadata.file_path")
-    return raw.select("value", *hour_columns_from_path(path, layout), path.alias(SOURCE_FILE))
+    return raw.select("value", *hour_columns_from_path(path, layout, depth), path.alias(SOURCE_FILE)) \
+        .where(in_hour_folder())
 
 
 def ingest_stream(spark: SparkSession, source: str, dest: str, checkpoint: str,

@@ -13,7 +13,10 @@ from hourlake.plans import cli
 from hourlake.sources.published import read_published
 
 CHECKED = ["events_hour_ingest", "text_with_braces_roundtrip", "nested_struct_roundtrip",
-           "type_widening_drift", "quarantine_records", "ledger_latest_run", "new_and_removed_files"]
+           "type_widening_drift", "quarantine_records", "ledger_latest_run", "new_and_removed_files",
+           "separated_documents", "array_line_decimal", "dotted_and_empty_keys", "clashing_field_names",
+           "nested_folder_scan", "plain_layout_ingest", "all_bad_hour_rerun", "ledger_bytes_exact", "table_gains_column",
+           "drift_between_runs", "stream_late_old_file"]
 
 
 def _canon(rows, cols):

@@ -86,3 +86,9 @@ def test_glob_matches_exactly_the_range(offset, length, layout):
 
     matched = [h for h in universe if any(fnmatchcase(folder(h), p) for p in pats)]
     assert matched == [h for h in universe if start <= h <= end]
+
+
+def test_a_pair_of_days_ends_with_its_last_hour():
+    assert len(HourRange.parse(("2024-01-01", "2024-01-31"))) == 744
+    assert HourRange.parse(("2024-01-01", "2024-01-01")) == HourRange.parse("2024-01-01")
+    assert len(HourRange.parse(("2024-01-01 05", "2024-01-02"))) == 43

@@ -45,10 +45,12 @@ def test_ledger_records_runs(spark, workdir):
     ingest(spark, src, dest, "all", schema="id bigint", ledger=ledger)
     second = ingest(spark, src, dest, "2024-01-01 01", schema="id bigint", ledger=ledger)
     entries = read_ledger(spark, ledger)
-    assert entries.count() == 3
+    assert entries.count() == 6  # a row per hour when a run starts, one when it ends
+    assert sorted(r.status for r in entries.collect()) == ["running"] * 3 + ["succeeded"] * 3
     latest = {r.hour: r for r in latest_runs(entries).collect()}
     assert latest["01"].run_id == second.run_id and latest["01"].run_documents == 1
     assert latest["00"].run_documents == 3 and latest["00"].status == "succeeded"
+    assert (latest["00"].total_bytes, latest["00"].bytes_processed) == (17, 17)
 
 
 def test_latest_per_key_ties_and_a_hot_key(spark):
@@ -65,7 +67,8 @@ def test_ledger_records_empty_hours(spark, workdir):
     src, dest, ledger = (os.path.join(workdir, n) for n in ("l", "lake", "ledger"))
     write_plain(src, "2024-01-31 23", "a.json", ['{"id":1}'])
     ingest(spark, src, dest, ("2024-01-31 22", "2024-02-01 00"), schema="id bigint", ledger=ledger)
+    os.makedirs(os.path.join(workdir, "none"))
     ingest(spark, os.path.join(workdir, "none"), dest, "2024-02-01 05", schema="id bigint", ledger=ledger)
-    rows = sorted((r.month, r.day, r.hour, r.files, r.run_documents) for r in read_ledger(spark, ledger).collect())
+    rows = sorted((r.month, r.day, r.hour, r.files, r.run_documents) for r in latest_runs(read_ledger(spark, ledger)).collect())
     assert rows == [("01", "31", "22", 0, 1), ("01", "31", "23", 1, 1), ("02", "01", "00", 0, 1),
                     ("02", "01", "05", 0, 0)]

@@ -1,5 +1,6 @@
 import os
 
+import pytest
 
 from conftest import write_plain
 from hourlake.plans.ingest import ingest
@@ -25,13 +26,21 @@ def test_plain_layout_hours_come_from_folders(spark, workdir):
                    ('{"id":3,"ts":"y"}', "03"), ('{"id":4,"ts":"z"}', "03")]
     one = read_lines(spark, src, "2024-03-05 03", "plain")
     assert one.count() == 2
-    # Hidden files are not listed; a 0-byte file has no split, so it has no row either.
+    # Hidden files are not listed; a 0-byte file is, although it has no line.
     files = list_files(spark, src, "all", "plain").collect()
-    assert sorted((r.hour, r.path.rsplit("/", 1)[1]) for r in files) == [("02", "a.json"), ("03", "b.json")]
+    assert sorted((r.hour, r.path.rsplit("/", 1)[1], r.length > 0) for r in files) == [
+        ("02", "a.json", True), ("03", "b.json", True), ("04", "empty.json", False)]
 
 
-def test_no_files_at_all_is_empty(spark, workdir):
-    assert read_lines(spark, os.path.join(workdir, "nothing"), "2024-03-05 02").count() == 0
+def test_no_files_at_all_is_empty_but_no_root_is_an_error(spark, workdir):
+    src = os.path.join(workdir, "nothing")
+    for call in (read_lines, list_files):
+        with pytest.raises(FileNotFoundError):
+            call(spark, src, "2024-03-05 02")
+    os.makedirs(src)
+    for call in (read_lines, list_files):
+        assert call(spark, src, "2024-03-05 02").count() == 0
+        assert call(spark, src, "all").count() == 0
 
 
 def test_ingest_plain_layout_end_to_end(spark, workdir):
@@ -90,11 +99,19 @@ def test_hour_ranges_select_exactly_their_folders(spark, workdir):
         assert all(r.value == f'{{"h":"{r.year}{r.month}{r.day}{r.hour}"}}' for r in lines.collect())
 
 
-def test_file_in_a_sub_folder_is_not_read(spark, workdir):
-    src = os.path.join(workdir, "landing")
-    folder = write_plain(src, "2024-03-05 02", "a.json", ['{"id":1,"ts":"a"}'])
-    os.makedirs(os.path.join(folder, "sub"))
-    with open(os.path.join(folder, "sub", "x.json"), "w") as handle:
-        handle.write('{"id":3,"ts":"c"}\n')
-    got = [(r.value, r.hour) for r in read_lines(spark, src, "2024-03-05 02", "plain").collect()]
-    assert got == [('{"id":1,"ts":"a"}', "02")]
+@pytest.mark.parametrize("layout", ["plain", "hive"])
+def test_files_below_an_hour_folder_belong_to_the_hour(spark, workdir, layout):
+    names = ("2024", "03", "05", "02") if layout == "plain" else ("year=2024", "month=03", "day=05", "hour=02")
+    src = os.path.join(workdir, "a b", "2023", "01", "01", "00")  # the root may look like an hour itself
+    for sub in ("", "sub dir", os.path.join("x", "y")):
+        folder = os.path.join(src, *names, sub)
+        os.makedirs(folder)
+        with open(os.path.join(folder, f"p {len(sub)}.json"), "w") as handle:
+            handle.write(f'{{"id":{len(sub)}}}\n')
+    with open(os.path.join(src, "readme.txt"), "w") as handle:
+        handle.write("no hour\n")
+    for hours in ("2024-03-05 02", "all"):
+        got = sorted((r.value, r.year, r.month, r.day, r.hour) for r in read_lines(spark, src, hours, layout).collect())
+        assert got == [(f'{{"id":{n}}}', "2024", "03", "05", "02") for n in (0, 3, 7)]
+        files = list_files(spark, src, hours, layout).collect()
+        assert [(r.length, r.hour) for r in files] == [(9, "02")] * 3

@@ -2,7 +2,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from hourlake.operators.parse import CORRUPT, bad_records, good_records, parse_documents
+from hourlake.operators.parse import CORRUPT, bad_records, good_records, infer_schema, parse_documents
 from hourlake.sources.landing import documents
 
 SCHEMA = "a bigint, b string"
@@ -39,6 +39,50 @@ def test_timestamps_keep_microseconds(spark):
     assert parsed.select(F.date_format("t", "ss.SSSSSS")).first()[0] == "07.179575"
 
 
-def test_hour_columns_in_schema_are_refused(spark):
+def test_hour_columns_in_schema_are_refused_or_renamed(spark):
+    docs = documents(_lines(spark, ['{"hour":5,"a":1}']))
     with pytest.raises(ValueError, match="collide"):
-        parse_documents(documents(_lines(spark, ["{}"])), "hour int")
+        parse_documents(docs, "hour int")
+    row = good_records(parse_documents(docs, "hour int, a int", clash_suffix="_f")).first()
+    assert (row.hour_f, row.a, row.hour) == (5, 1, "00")
+    with pytest.raises(ValueError, match="same name"):
+        parse_documents(docs, "hour int, hour_f int", clash_suffix="_f")
+
+
+@pytest.mark.parametrize("line,good,bad", [
+    ('{"a":1},{"a":2}', [1, 2], []),
+    ('{"a":1} , {"a":2}\t,{"a":3}', [1, 2, 3], []),
+    ('{"a":1}xyz}', [], ['{"a":1}xyz}']),
+    ('{"a":3}}', [], ['{"a":3}}']),
+    ('{"a":1}garbage{"a":2}', [], ['{"a":1}garbage{"a":2}']),
+    ('{"a":1},', [], ['{"a":1},']),
+    ('{"a":1}{"a":2}}', [1], ['{"a":2}}']),
+    ("{'a':1,'b':'p}{q'}{'a':2}", [1, 2], []),
+    ('{"a":1,"b":"it\'s }{ fine"}{"a":2}', [1, 2], []),
+    ('[{"a":1},{"a":2}]', [1, 2], []),
+    ('[{"a":1}', [], ['[{"a":1}']),
+    ('[{"a":1,"a":2}]', [2], []),
+    ('{"a":1,"c":{"d":{}}}', [1], []),
+    ('{"a":1,"c":{"d":{}}}} {"a":4}', [4], ['{"a":1,"c":{"d":{}}}}']),
+])
+def test_no_document_is_lost(spark, line, good, bad):
+    parsed = parse_documents(documents(_lines(spark, [line])), SCHEMA).collect()
+    assert sorted(r.a for r in parsed if r[CORRUPT] is None) == good
+    assert [r[CORRUPT] for r in parsed if r[CORRUPT] is not None] == bad
+
+
+def test_decimals_in_arrays_are_exact(spark):
+    text = "1.123456789012345678"
+    parsed = parse_documents(documents(_lines(spark, [f'[{{"d":{text}}},{{"d":2}}]', f'{{"d":{text}}},{{"d":{text}}}'])), "d decimal(38,18)")
+    assert sorted(str(r.d) for r in parsed.collect()) == [text] * 3 + ["2.000000000000000000"]
+
+
+def test_inference_with_odd_names_and_documents(spark):
+    lines = ['{"user.id":1,"m":{},"e":[{}],"x":null,"b`t":{"p q":1.5},"z":[1,"a"]}', '{"x":true,"k":[{"u-v":2}]}',
+             '{"a":1,"a":2,"only":7}', "{'single':'q'}", "5", "[1,2]", '{"broken":', '{"cut":1}junk}']
+    schema = infer_schema(documents(_lines(spark, lines)))
+    assert schema.simpleString() == ("struct<a:bigint,b`t:struct<p q:double>,k:array<struct<u-v:bigint>>,only:bigint,"
+                                     "single:string,user.id:bigint,x:boolean,z:array<string>>")
+    good = good_records(parse_documents(documents(_lines(spark, lines)), schema)).collect()
+    assert len(good) == 4 and {r["user.id"] for r in good} == {1, None} and {r["b`t"]["p q"] for r in good if r["b`t"]} == {1.5}
+    assert infer_schema(documents(_lines(spark, ["{}", "7"]))).fields == []

@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 
 from conftest import plan_text, write_plain
 from hourlake.plans.ingest import ingest
-from hourlake.sources.inventory import list_published_files, parquet_footers
+from hourlake.sources.inventory import list_published_files
 from hourlake.sources.published import read_published
 
 SCHEMA = "id bigint, v string"
@@ -88,14 +88,86 @@ def test_files_per_hour_bounds_files(spark, workdir):
 
 
 def test_row_group_size_option(spark, workdir):
-    src, dest = os.path.join(workdir, "l"), os.path.join(workdir, "lake")
+    import pyarrow.parquet as pq
+
+    src = os.path.join(workdir, "l")
     rng = random.Random(1)
     write_plain(src, "2024-01-01 00", "p.json",
                 [f'{{"id":{i},"v":"{rng.getrandbits(8000):x}"}}' for i in range(3000)])
-    ingest(spark, src, dest, "all", schema=SCHEMA, row_group_bytes=1024 * 1024, files_per_hour=1)
-    footers = parquet_footers(list_published_files(spark, dest)).collect()
-    assert sum(r.rows for r in footers) == 3000
-    assert max(r.row_groups for r in footers) > 1
+    groups = {}
+    for size in (512 * 1024, 2 * 1024 * 1024):
+        dest = os.path.join(workdir, f"lake{size}")
+        ingest(spark, src, dest, "all", schema=SCHEMA, row_group_bytes=size, files_per_hour=1)
+        files = [pq.ParquetFile(r.path.replace("file:", "")).metadata for r in list_published_files(spark, dest).collect()]
+        assert sum(m.num_rows for m in files) == 3000
+        groups[size] = sum(m.num_row_groups for m in files)
+    assert groups[512 * 1024] > 1.5 * groups[2 * 1024 * 1024] > 1
+
+
+def test_missing_root_clears_nothing(spark, workdir):
+    src, dest, empty = (os.path.join(workdir, n) for n in ("l", "lake", "empty"))
+    _land(src, "2024-01-01 00", [1])
+    name = "missing_" + os.path.basename(workdir).replace("-", "_")
+    day = ("2024-01-01", "2024-01-01")
+    ingest(spark, src, dest, day, schema=SCHEMA, table=name)
+    with pytest.raises(FileNotFoundError):
+        ingest(spark, src + "x", dest, day, schema=SCHEMA, table=name, clear_empty_hours=True)
+    os.makedirs(empty)
+    ingest(spark, empty, dest, day, schema=SCHEMA, table=name, clear_empty_hours=True)
+    assert _rows(spark, dest) == [(1, "a", "00")]
+    ingest(spark, empty, dest, day, schema=SCHEMA, table=name, clear_empty_hours=True, clear_all=True)
+    assert spark.table(name).count() == 0
+
+
+def test_hour_with_a_0_byte_file_is_not_cleared(spark, workdir):
+    src, src2, dest = (os.path.join(workdir, n) for n in ("l", "l2", "lake"))
+    for hour in ("2024-01-01 00", "2024-01-01 01", "2024-01-01 02"):
+        _land(src, hour, [1])
+    name = "zero_" + os.path.basename(workdir).replace("-", "_")
+    ingest(spark, src, dest, "2024-01-01", schema=SCHEMA, table=name)
+    _land(src2, "2024-01-01 01", [9])
+    write_plain(src2, "2024-01-01 02", "empty.json", [])
+    ingest(spark, src2, dest, "2024-01-01", schema=SCHEMA, table=name, clear_empty_hours=True)
+    assert _rows(spark, dest) == [(1, "a", "02"), (9, "a", "01")]
+
+
+def test_hours_of_bad_documents_are_told(spark, workdir):
+    src, src2, dest, ledger = (os.path.join(workdir, n) for n in ("l", "l2", "lake", "ledger"))
+    for hour in ("2024-01-01 00", "2024-01-01 01"):
+        _land(src, hour, [1])
+    ingest(spark, src, dest, "2024-01-01", schema=SCHEMA)
+    write_plain(src2, "2024-01-01 00", "p.json", ['{"id":', "nothing"])
+    write_plain(src2, "2024-01-01 01", "p.json", ['{"id":2,"v":"b"}', "bad"])
+    report = ingest(spark, src2, dest, "2024-01-01", schema=SCHEMA, ledger=ledger)
+    assert (report.status, report.all_bad_hours, report.documents, report.quarantined) == (
+        "incomplete", [("2024", "01", "01", "00")], 4, 3)
+    assert _rows(spark, dest) == [(1, "a", "00"), (2, "b", "01")]
+    from hourlake.operators.ledger import read_ledger
+    ended = {r.hour: r.status for r in read_ledger(spark, ledger).collect() if r.end_time}
+    assert (ended["00"], ended["01"], ended["02"]) == ("all_bad", "succeeded", "succeeded")
+
+
+def test_table_follows_the_schema(spark, workdir):
+    src, dest = os.path.join(workdir, "l"), os.path.join(workdir, "lake")
+    name = "follow_" + os.path.basename(workdir).replace("-", "_")
+    write_plain(src, "2024-01-01 00", "p.json", ['{"id":"x","m":{"user-id":1}}'])
+    write_plain(src, "2024-01-01 01", "p.json", ['{"id":2,"new":{"a b":1.5}}'])
+    write_plain(src, "2024-01-01 02", "p.json", ['{"id":"3","m":{"user-id":"text"}}', '{"id":"4"}'])
+    ingest(spark, src, dest, "2024-01-01 00", table=name)
+    ingest(spark, src, dest, "2024-01-01 01", table=name)
+    assert [(r.id, r.hour) for r in spark.table(name).orderBy("id").collect()] == [("2", "01"), ("x", "00")]
+    assert spark.table(name).where("hour = '01'").first()["new"]["a b"] == 1.5
+    # A document that does not fit the table's types is bad, and counted.
+    report = ingest(spark, src, dest, "2024-01-01 02", table=name)
+    assert (report.published, report.quarantined) == (1, 1)
+    assert spark.table(name).count() == 3
+
+
+def test_map_columns_with_files_per_hour(spark, workdir):
+    src, dest = os.path.join(workdir, "l"), os.path.join(workdir, "lake")
+    write_plain(src, "2024-01-01 00", "p.json", [f'{{"a.b":{{"k":{i}}}}}' for i in range(10)])
+    ingest(spark, src, dest, "all", schema="`a.b` map<string,bigint>", files_per_hour=2)
+    assert sorted(r["a.b"]["k"] for r in read_published(spark, dest).collect()) == list(range(10))
 
 
 def test_pruned_read_plan(spark, workdir):
@@ -108,6 +180,9 @@ def test_pruned_read_plan(spark, workdir):
     assert "PartitionFilters" in plan and [r.id for r in df.collect()] == [2]
     one = read_published(spark, dest, "2024-01-01 00")
     assert [r.id for r in one.collect()] == [1]
+    # Only the hour's own folder is listed.
+    assert len(one.inputFiles()) == 1 and "2024-01-01 00" and "/day=01/" in one.inputFiles()[0]
+    assert read_published(spark, dest, "2030-01-01").count() == 0
 
 
 def test_catalog_table_prunes_hours(spark, workdir):

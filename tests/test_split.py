@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from hourlake.functions.json_text import array_elements, split_documents
+from hourlake.functions.json_text import document_values, split_documents
 from hourlake.operators.parse import parse_documents
 
 PIECES = ["}", "{", '"', "\\", "}{", '"}{"', "} {", "a", " ", "\n", "é", "]", "["]
@@ -52,7 +52,7 @@ def test_split_property_against_python_json(spark):
 
 def test_array_elements(spark):
     df = spark.createDataFrame([('[{"a":1},{"a":"zz"}]',), ('  {"a":2} ',), ("[{\"a\":1}",), ("[]",)], "doc string")
-    got = [r.e for r in df.select(array_elements(F.col("doc")).alias("e")).collect()]
+    got = [r.e for r in df.select(document_values(F.col("doc"))["doc"].alias("e")).collect()]
     assert got == [['{"a":1}', '{"a":"zz"}'], ['{"a":2}'], ['[{"a":1}'], []]
 
 
