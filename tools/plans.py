@@ -16,7 +16,9 @@ from hourlake.functions.hours import PARTITION_COLUMNS  # noqa: E402
 from hourlake.operators.files import bytes_per_hour, new_files  # noqa: E402
 from hourlake.operators.ledger import latest_per_key  # noqa: E402
 from hourlake.operators.parse import CORRUPT, bad_records, good_records  # noqa: E402
-from hourlake.sources.landing import SOURCE_FILE  # noqa: E402
+from hourlake.catalog import Span  # noqa: E402
+from hourlake.functions.hours import hour_predicate  # noqa: E402
+from hourlake.sources.landing import SOURCE_FILE, read_documents, read_lines  # noqa: E402
 from pyspark.sql import Observation  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from hourlake.operators.reconcile import reconcile  # noqa: E402
@@ -25,7 +27,7 @@ from hourlake.plans.publish import layout_for_write  # noqa: E402
 from hourlake.session import build_session, scratch_dir  # noqa: E402
 from hourlake.sources.inventory import list_files, list_published_files  # noqa: E402
 from hourlake.sources.json_writer import write_landing  # noqa: E402
-from hourlake.sources.published import read_published  # noqa: E402
+from hourlake.sources.published import read_published, register_table  # noqa: E402
 from hourlake.plans.ingest import ingest  # noqa: E402
 
 
@@ -43,8 +45,10 @@ def main() -> None:
     events = spark.read.parquet(f"{sf}/events.parquet")
     write_landing(events, f"{ws}/landing", "ts", style="concat")
     ingest(spark, f"{ws}/landing", f"{ws}/published", "all", schema=events.schema, layout="hive")
-    parsed, _ = parsed_landing(spark, f"{ws}/landing", ("2024-01-02 00", "2024-01-03 23"),
-                               events.schema, "hive")
+    span = Span.of(events)
+    parsed, _ = parsed_landing(spark, f"{ws}/landing", (span.day(1)[0], span.day(2)[1]), events.schema, "hive")
+    table = "plans_" + ws.rsplit("-", 1)[-1]
+    register_table(spark, table, f"{ws}/published", events.schema)
     published = read_published(spark, f"{ws}/published", schema=events.schema)
     counted = layout_for_write(parsed.drop(SOURCE_FILE), "rebalance").observe(
         Observation("plans"), F.count(F.lit(1)).alias("documents"), F.count(F.col(CORRUPT)).alias("bad"))
@@ -54,12 +58,15 @@ def main() -> None:
         ("Ingest write input with rebalance: counts (CollectMetrics) after the shuffle, bad rows dropped after",
          good_records(counted)),
         ("Publish input, rebalance strategy", layout_for_write(good_records(parsed), "rebalance")),
-        ("Publish input, files_per_hour=2", layout_for_write(good_records(parsed), files_per_hour=2)),
+        ("Publish input, files_per_hour=2 over 48 hours: one task per hour and salt", layout_for_write(good_records(parsed), files_per_hour=2, tasks=2 * 48)),
         ("Quarantine pass", bad_records(parsed)),
-        ("Pruned read of one day (PartitionFilters, ReadSchema of two columns)",
-         read_published(spark, f"{ws}/published", ("2024-01-03 00", "2024-01-03 23"), schema=events.schema)
-         .select("event_id", "value")),
-        ("Reconcile (both sides aggregated per hour before the join)", reconcile(parsed, published)),
+        ("Pruned read of one day (the day's folders are the location; PartitionFilters, ReadSchema of two columns)",
+         read_published(spark, f"{ws}/published", span.day(2), schema=events.schema).select("event_id", "value")),
+        ("Published hours of a closed range, as clearing looks for them (the range is in PartitionFilters)",
+         spark.table(table).where(hour_predicate(span.day(2))).select(*PARTITION_COLUMNS).distinct()),
+        ("Landing of every hour (the root is listed, no glob)", read_lines(spark, f"{ws}/landing", "all", "hive")),
+        ("Reconcile (all sides aggregated per hour before the joins)",
+         reconcile(read_documents(spark, f"{ws}/landing", "all", "hive"), bad_records(parsed), published)),
         ("Bytes per hour (binaryFile, content pruned)",
          bytes_per_hour(list_files(spark, f"{ws}/landing", "all", "hive"))),
         ("New files (anti join on path)",
