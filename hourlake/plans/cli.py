@@ -1,7 +1,7 @@
 """Command line: publish landing hours as Parquet.
 
 python -m hourlake.plans.cli --source s3a://bucket/landing/ \\
-    --dest s3a://bucket/lake/events/ --date "2018-04-06 16"
+    --dest s3a://bucket/lake/events/ --date "2024-05-17 09"
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--dest", required=True, help="published table root")
     hours = p.add_mutually_exclusive_group()
     hours.add_argument("--date", help="one hour 'YYYY-MM-DD HH' or a day 'YYYY-MM-DD' (default: the current UTC hour)")
-    hours.add_argument("--range", nargs=2, metavar=("START", "END"), help="inclusive hour range")
+    hours.add_argument("--range", nargs=2, metavar=("START", "END"), help="inclusive range of hours or days")
     hours.add_argument("--all", action="store_true", help="every landed hour")
     p.add_argument("--layout", choices=LAYOUTS, default="plain")
     p.add_argument("--schema", help="record schema as DDL, or @file; inferred when absent")
@@ -46,6 +46,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--table", help="register the published hours as this catalog table")
     p.add_argument("--clear-empty-hours", action="store_true",
                    help="with --table and a closed range: delete hours that have no landing file")
+    p.add_argument("--clear-all", action="store_true", help="let --clear-empty-hours clear even if no file at all was found")
+    p.add_argument("--clash-suffix", help="put behind the names of fields called like an hour key (year, month, day, hour)")
     return p
 
 
@@ -58,7 +60,8 @@ def main(argv: list[str] | None = None) -> int:
                     ledger=args.ledger, strategy=args.strategy,
                     files_per_hour=args.files_per_hour, row_group_bytes=args.row_group_bytes,
                     max_records_per_file=args.max_records_per_file, file_glob=args.file_glob,
-                    table=args.table, clear_empty_hours=args.clear_empty_hours)
+                    table=args.table, clear_empty_hours=args.clear_empty_hours,
+                    clear_all=args.clear_all, clash_suffix=args.clash_suffix)
     print(json.dumps({"run_id": report.run_id, "status": report.status,
                       "documents": report.documents, "published": report.published,
                       "quarantined": report.quarantined}))

@@ -4,7 +4,7 @@ from datetime import datetime, timezone
 
 
 from conftest import plan_text, write_plain
-from hourlake.operators.files import bytes_per_hour, new_files
+from hourlake.operators.files import bytes_per_hour, new_files, total_bytes
 from hourlake.operators.ledger import latest_per_key, latest_runs, read_ledger
 from hourlake.plans.ingest import ingest
 from hourlake.sources.inventory import list_files, list_published_files, modified_since
@@ -21,6 +21,7 @@ def test_inventory_bytes_and_modified_since(spark, workdir):
     files = list_files(spark, src, "all")
     per_hour = {r.hour: (r.files, r.total_bytes) for r in bytes_per_hour(files).collect()}
     assert per_hour == {"00": (2, 9 + 18), "01": (1, 9)}
+    assert tuple(total_bytes(files).first()) == (3, 36)
     recent = [r.path.rsplit("/", 1)[1] for r in modified_since(files, mark).collect()]
     assert recent == ["c.json"]
     assert "content" not in plan_text(files).split("ReadSchema")[-1]
