@@ -1,23 +1,23 @@
-"""Token ids of whole texts by the public ``tokenizers`` library, with a cache of space-led units.
+"""Token ids of whole texts by the public ``tokenizers`` library, with a cache of units.
 
-A byte-level BPE never merges over the start of a run of white space, so a text may be cut before
-each space that follows a visible character and the ids of the pieces put behind each other. Words
-repeat a lot, the pieces are looked up in a bounded cache per Python worker and only unknown ones are
-tokenized. Spaces after anything else than an ASCII sign or a letter of the next Unicode blocks are
-not cut at, so unusual white space stays inside its piece.
+A byte-level BPE never merges over the start of a run of white space, so a text may be cut before every
+space or newline that follows a visible sign, and the ids of the units put behind each other. Units repeat
+a lot: those of a slice of texts are hashed and made distinct at once, looked up in a bounded cache per Python
+worker, and only unknown ones are tokenized. Signs count as visible if they are ASCII or a letter of the next
+Unicode blocks; after any other sign nothing is cut, so unusual white space stays inside its unit.
 """
 
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 import pyarrow as pa
 
+from hourlake.llm import words as W
+
 #: Units in each of the two generations of the cache.
-CACHE_UNITS = 600_000
-_UNSAFE = re.compile("[^!-~À-߿] ")
+CACHE_UNITS = 500_000
 _STATE: dict[str, tuple] = {}
 
 
@@ -27,6 +27,23 @@ def public_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class _Cache:
+    """Ids of units by their hash. Of two generations the older goes when the newer is full."""
+
+    def __init__(self):
+        self.new: dict[int, bytes] = {}
+        self.old: dict[int, bytes] = {}
+
+    def get(self, keys: list[int]) -> list[bytes | None]:
+        if len(self.new) + len(keys) > CACHE_UNITS:
+            self.new, self.old = {}, self.new
+        found = list(map(self.new.get, keys))
+        for k in [k for k, x in enumerate(found) if x is None]:
+            if (x := self.old.get(keys[k])) is not None:
+                found[k] = self.new[keys[k]] = x
+        return found
+
+
 def _load(path: str):
     if path not in _STATE:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -38,7 +55,7 @@ def _load(path: str):
         kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         # In a byte-level vocabulary every sign of an id's name is a byte.
         sizes = np.array([len(tokenizer.id_to_token(k) or "") for k in range(size)])
-        _STATE[path] = (tokenizer, kind, sizes, [{}, {}])
+        _STATE[path] = (tokenizer, kind, sizes, _Cache())
     return _STATE[path]
 
 
@@ -47,53 +64,70 @@ def id_type(path: str) -> np.dtype:
     return _load(path)[1]
 
 
-def _learn(state: tuple, new: list[str]) -> dict[str, bytes]:
-    """Ids of unknown units, each behind a space, many in one text: units begin where a text may be cut.
+def _units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of each unit of all texts, and whether each byte ends a visible sign."""
+    two = (data >= 0xC3) & (data <= 0xDF)
+    visible = (data >= 0x21) & (data <= 0x7E)
+    visible[1:] |= two[:-1] & ((data[1:] & 0xC0) == 0x80)
+    cut = (data == 0x20) | (data == 0x0A)
+    cut[1:] &= visible[:-1]
+    cut[offsets[:-1][np.diff(offsets) > 0]] = True
+    begin = np.flatnonzero(cut)
+    return begin, np.append(begin[1:], len(data)), visible
+
 
-    Every id stands for a fixed number of bytes, so the ids of a unit end where its bytes end.
+def _learn(state: tuple, raw: bytes, begin: list[int], end: list[int], visible: np.ndarray) -> list[bytes]:
+    """Ids of unknown units, many of them in one text.
+
+    A unit led by white space may stand behind any that ends with a visible sign. The first unit of a text
+    has no white space before it; put behind a newline, which is an id of its own before a visible sign, it
+    keeps its ids. Others are tokenized by themselves. Every id stands for a fixed number of bytes, so
+    the ids of a unit end where its bytes end.
     """
     tokenizer, kind, sizes = state[:3]
-    out = {}
-    for lo in range(0, len(new), 2_000):
-        part = new[lo: lo + 2_000]
-        ids = np.array(tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, kind)
-        ends = np.cumsum([len(x.encode()) + 1 for x in part])
+    out: list = [b""] * len(begin)
+    joined, parts, heads = [], [], []
+    for k, (a, b) in enumerate(zip(begin, end, strict=True)):
+        first = raw[a]
+        led = first in (0x20, 0x0A)
+        # A visible first sign: ASCII, or the lead byte of one of the next blocks.
+        if visible[b - 1] and (led or 0x21 <= first <= 0x7E or 0xC3 <= first <= 0xDF):
+            joined.append(k)
+            heads.append(not led)
+            parts.append(raw[a:b] if led else b"\n" + raw[a:b])
+        else:
+            out[k] = np.array(tokenizer.encode(raw[a:b].decode(), add_special_tokens=False).ids, kind).tobytes()
+    for lo in range(0, len(joined), 2_000):
+        some = slice(lo, lo + 2_000)
+        ids = np.array(tokenizer.encode_batch_fast([b"".join(parts[some]).decode()], add_special_tokens=False)[0].ids, kind)
+        ends = np.cumsum([len(x) for x in parts[some]])
         cuts = (np.searchsorted(np.cumsum(sizes[ids]), ends, side="right") * kind.itemsize).tolist()
-        raw = ids.tobytes()
-        out.update((unit, raw[a:b]) for unit, a, b in zip(part, [0, *cuts], cuts, strict=False))
+        found = ids.tobytes()
+        for k, head, a, b in zip(joined[some], heads[some], [0, *cuts], cuts, strict=False):
+            out[k] = found[a + head * kind.itemsize: b]
     return out
 
 
-def encode(texts: list[str | None], path: str) -> list[bytes]:
-    """Little-endian ids of each text, in :func:`id_type`; null counts as empty."""
+def encode_column(column: pa.Array, path: str, end_id: int | None = 0) -> list[bytes]:
+    """Little-endian ids of each text, in :func:`id_type`, with ``end_id`` behind each; null counts as empty."""
     state = _load(path)
-    tokenizer, kind, _, caches = state
-    plain = lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, kind).tobytes()
-    out: list = [b""] * len(texts)
-    cut = {}
-    for i, text in enumerate(texts):
-        if not text:
-            continue
-        if _UNSAFE.search(text) or text[0] == " " or text[-1].isspace():
-            out[i] = plain(text)
-        else:
-            cut[i] = text.split(" ")
-    heads = {i: units.pop(0) for i, units in cut.items()}  # the only unit without a space before it
-    known = set().union(*cut.values())
-    # Two generations: what was used since the last change stays when the older one goes.
-    if len(caches[0]) + len(known) > CACHE_UNITS:
-        caches[:] = [{}, caches[0]]
-    cache, older = caches
-    new = known - cache.keys()
-    found = new & older.keys()
-    cache.update((unit, older[unit]) for unit in found)
-    cache.update(_learn(state, list(new - found)))
-    for i, units in cut.items():
-        out[i] = plain(heads[i]) + b"".join(map(cache.__getitem__, units))
-    return out
-
-
-def encode_column(column: pa.Array, path: str, end_id: int = 0) -> list[bytes]:
-    """:func:`encode` for an Arrow column, with ``end_id`` behind each text."""
-    end = np.array([end_id], id_type(path)).tobytes()
-    return [x + end for x in encode(column.to_pylist(), path)]
+    kind, cache = state[1], state[3]
+    data, offsets = W.text_buffers(column)
+    begin, end, visible = _units(data, offsets)
+    keys, first, which = np.unique(W.hash_spans(data, begin, end), return_index=True, return_inverse=True)
+    names = keys.tolist()
+    found = cache.get(names)
+    new = [k for k, x in enumerate(found) if x is None]
+    if new:
+        at = first[new]
+        for k, ids in zip(new, _learn(state, data.tobytes(), begin[at].tolist(), end[at].tolist(), visible), strict=True):
+            found[k] = cache.new[names[k]] = ids
+    flat = np.frombuffer(b"".join(found), kind)
+    size = np.array([len(x) for x in found], np.int64) // kind.itemsize
+    start = np.cumsum(size) - size
+    count = size[which]
+    after = np.concatenate([[0], np.cumsum(count)])
+    ids = flat[np.repeat(start[which] - after[:-1], count) + np.arange(after[-1])] if len(which) else flat
+    bounds = after[np.searchsorted(begin, offsets)].tolist()
+    tail = b"" if end_id is None else np.array([end_id], kind).tobytes()
+    return [ids[a:b].tobytes() + tail for a, b in zip(bounds[:-1], bounds[1:], strict=True)]

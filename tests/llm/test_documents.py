@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -186,20 +187,51 @@ def test_jaccard_order_keeps_links_whatever_is_common():
         common = np.sort(rng.choice(pool, 20, replace=False))
         if jaccard_join.alike(a, b):
             assert set(jaccard_join.first_grams(a, common).tolist()) & set(jaccard_join.first_grams(b, common).tolist())
-            n, m = len(a), len(b)
-            i, _ = jaccard_join.tile_pairs(np.array([n, m]), np.array([0, 1]),
-                                           [jaccard_join.bitmap(a), jaccard_join.bitmap(b)], np.zeros(2), False)
-            assert len(i) == 1
+            n, part = np.array([len(a), len(b)]), np.array([0, 1])
+            maps = jaccard_join.Bitmaps(pa.array([jaccard_join.bitmap(a), jaccard_join.bitmap(b)], pa.binary()))
+            i, _ = jaccard_join.tile_pairs(n, part, maps, np.arange(2), part, False)
+            assert len(i) == 1 and len(jaccard_join.couples(n, part, maps, np.array([0]))) == 1
     both = len(set(a.tolist()) & set(b.tolist()))
     assert jaccard_join.alike(a, b) == (100 * both >= 75 * (len(a) + len(b) - both))
 
 
+def test_tiles_of_bitmaps_match_pair_by_pair():
+    rng = np.random.default_rng(6)
+    sets = []
+    for k in range(150):
+        base = rng.integers(0, 1 << 63, rng.integers(1, 400), dtype=np.uint64) if k % 3 == 0 else sets[-1]
+        keep = rng.random(len(base)) < 0.95
+        sets.append(np.unique(np.concatenate([base[keep], rng.integers(0, 1 << 63, 1 + len(base) // 30, dtype=np.uint64)])))
+    n, part, side = np.array([len(x) for x in sets]), np.arange(150) % 40, np.arange(150) % 2
+    maps = jaccard_join.Bitmaps(pa.array([jaccard_join.bitmap(x) for x in sets], pa.binary()))
+    for crossing in (False, True):
+        a, b = jaccard_join.tile_pairs(n, part, maps, np.arange(150), side, crossing)
+        got = {tuple(sorted(x)) for x in zip(a.tolist(), b.tolist())}
+        assert len(got) == len(a)
+        for i in range(150):
+            for j in range(i):
+                may = part[i] != part[j] and (not crossing or side[i] != side[j])
+                if may and jaccard_join.alike(sets[i], sets[j]):
+                    assert (j, i) in got
+                if (j, i) in got:
+                    assert may and 100 * min(n[i], n[j]) >= 75 * max(n[i], n[j])
+
+
 def test_tokens_equal_the_library(messy):
     texts = [r.text for r in messy.collect()] + [" lead", "tail ", "a  b", "x  y", "don't", "\n\nq r", "a \n b"]
     got = tokens.encode_column(pa.array(texts, pa.string()), tokens.public_path())
     assert [np.frombuffer(x, "<u2").tolist() for x in got] == [plain_ids(t) for t in texts]
 
 
+def test_tokens_of_odd_white_space_and_signs():
+    rng = random.Random(1)
+    signs = [" ", " ", "\n", "\t", "a", "b", "'s", "é", "日", "\u00a0", "\u2003", ".", "1", "<|endoftext|>", "\x1c", "\r", "ñandú", "word", "\u0085"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 14))) for _ in range(4000)]
+    for _ in range(2):  # unknown units, then known ones
+        got = tokens.encode_column(pa.array(texts, pa.string()), tokens.public_path())
+        assert [np.frombuffer(x, "<u2").tolist() for x in got] == [plain_ids(t) for t in texts]
+
+
 @pytest.mark.parametrize("planes", ["bit", "byte"])
 def test_token_files_round_trip(spark, messy, empty, planes):
     path = scratch_dir(spark, "test-planes")
