@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from hourlake.session import scratch_dir
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def save(df: DataFrame, name: str) -> DataFrame:
@@ -32,6 +32,12 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few(df: DataFrame, most: int = 10_000) -> DataFrame:
+    """``df`` for the side of a join that is small as a rule, such as a row per source: broadcast if it has at
+    most ``most`` rows; else Spark joins by sorting, and adaptive execution splits hot keys."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def slices(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive rows with about ``limit`` bytes of text; a longer text is a slice of its own."""
     if not batch.num_rows:
@@ -95,7 +101,7 @@ def entry_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def bucket_count(chunks: DataFrame) -> int:
     """As many key ranges as keep each to a few chunks' worth of keys."""
-    return max(64, chunks.count() // 2)
+    return max(64, chunks.count() // 4)
 
 
 def exchange(asked: DataFrame, types: list[str], answer: Callable[..., np.ndarray]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hourlake.llm.chunks import save
@@ -33,10 +33,12 @@ def components(links: DataFrame) -> DataFrame:
                  .where("u <> v").distinct(), "links")
     mark = None
     while True:
-        edges = save(_small_star(_large_star(edges)), "links")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(now) == mark or not now[0]:
+        seen = Observation()
+        edges = save(_small_star(_large_star(edges)).observe(
+            seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")), "links")
+        now = (seen.get["n"], seen.get["sum"])
+        if now == mark or not now[0]:
             break
-        mark = tuple(now)
+        mark = now
     roots = edges.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(roots)

@@ -119,8 +119,10 @@ class _Firsts:
         self.sizes = np.array([len(s) for s in one.values()], np.int64)
         firsts = [first_grams(s, common, percent) for s in one.values()]
         self.owner = np.repeat(np.arange(len(firsts)), [len(f) for f in firsts]).astype(np.int64)
+        # First n-grams have small hashes; scrambled, they spread evenly over the key ranges.
+        grams = W.mix(np.concatenate([*firsts, np.zeros(0, np.uint64)]))
         self.grams, self.begin, self.which, self.count = np.unique(
-            np.concatenate([*firsts, np.zeros(0, np.uint64)]), return_index=True, return_inverse=True, return_counts=True)
+            grams, return_index=True, return_inverse=True, return_counts=True)
 
 
 def _shared(keys: np.ndarray, holder: np.ndarray, owner: np.ndarray, many: np.ndarray) -> np.ndarray:
@@ -188,74 +190,108 @@ def _decide(pairs: DataFrame, rows: DataFrame, chunks: DataFrame, length: int, p
     return save(pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(check, "a long, b long"), "alike")
 
 
-def _groups(batches, keys: list[str]) -> Iterator[pa.Table]:
-    """Tables of the rows of one key after the other, from sorted batches."""
-    held: list[pa.RecordBatch] = []
+def _whole_groups(batches, keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups of sorted rows with equal keys, and where each group begins and the last ends."""
+    held: pa.Table | None = None
+
+    def cuts(table: pa.Table) -> np.ndarray:
+        columns = [table.column(k).to_numpy() for k in keys]
+        return np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(k).to_numpy() for k in keys]
-        cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
-        if held and any(held[-1].column(k)[-1].as_py() != batch.column(k)[0].as_py() for k in keys):
-            yield pa.Table.from_batches(held)
-            held = []
-        begin = 0
-        for end in cuts.tolist():
-            held.append(batch.slice(begin, end - begin))
-            yield pa.Table.from_batches(held)
-            held, begin = [], end
-        held.append(batch.slice(begin))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def tile_pairs(n: np.ndarray, part: np.ndarray, bits: list[bytes], side: np.ndarray, crossing: bool,
+        table = pa.Table.from_batches([batch])
+        table = (table if held is None else pa.concat_tables([held, table])).combine_chunks()
+        at = cuts(table)
+        if len(at):
+            yield table.slice(0, at[-1]), np.concatenate([[0], at])
+            held = table.slice(at[-1])
+        else:
+            held = table
+    if held is not None and held.num_rows:
+        yield held.combine_chunks(), np.array([0, held.num_rows])
+
+
+class Bitmaps:
+    """Parity bitmaps of many sets as 64-bit words behind each other; row r is words[begin[r]: begin[r] + size[r]]."""
+
+    def __init__(self, column: pa.Array):
+        column = column.cast(pa.large_binary())
+        offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset: column.offset + len(column) + 1]
+        raw = column.buffers()[2]
+        self.words = np.frombuffer(raw, np.uint64, raw.size // 8) if raw is not None else np.zeros(0, np.uint64)
+        self.begin, self.size = offsets[:-1] // 8, np.diff(offsets) // 8
+
+    def rows(self, at: np.ndarray, size: int) -> np.ndarray:
+        """The bitmaps of rows that have ``size`` words, or twice as many: those with their halves laid over
+        each other, which is the bitmap that the set has at the smaller size."""
+        out = self.words[self.begin[at][:, None] + np.arange(size)]
+        large = np.flatnonzero(self.size[at] > size)
+        if len(large):
+            out[large] ^= self.words[(self.begin[at[large]] + size)[:, None] + np.arange(size)]
+        return out
+
+
+def _passes(n: np.ndarray, m: np.ndarray, apart: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of n and m, that differ in ``apart`` elements at least, may be alike."""
+    return (100 + percent) * ((n + m - apart) // 2) >= percent * (n + m)
+
+
+def couples(n: np.ndarray, part: np.ndarray, maps: Bitmaps, first: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Those of ``first`` whose row and the next one are of different parts and may be alike."""
+    small = first + (n[first] > n[first + 1])
+    large = 2 * first + 1 - small
+    ok = (part[first] != part[first + 1]) & (100 * n[small] >= percent * n[large])
+    out = []
+    for size in np.unique(maps.size[small[ok]]).tolist():
+        at = np.flatnonzero(ok & (maps.size[small] == size))
+        for k in range(0, len(at), max(1, (1 << 20) // size)):
+            some = at[k: k + max(1, (1 << 20) // size)]
+            a, b = small[some], large[some]
+            apart = np.bitwise_count(maps.rows(a, size) ^ maps.rows(b, size)).sum(axis=1, dtype=np.int64)
+            out.append(first[some[_passes(n[a], n[b], apart, percent)]])
+    return np.concatenate([*out, np.zeros(0, np.int64)])
+
+
+def tile_pairs(n: np.ndarray, part: np.ndarray, maps: Bitmaps, rows: np.ndarray, side: np.ndarray, crossing: bool,
                percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of different parts whose sizes and bitmaps leave the similarity possible.
+    """Pairs of ``rows`` of different parts whose sizes and bitmaps leave the similarity possible.
 
+    Rows go by size, a block at a time against the band of sizes that any of the block may be alike to.
     ``crossing``: only pairs of different sides.
     """
-    order = np.argsort(n, kind="stable")
-    n, part, side = n[order], part[order], side[order]
-    maps: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    width = np.array([len(bits[k]) for k in order])
-    for size in np.unique(width).tolist():
-        at = np.flatnonzero(width == size)
-        maps[size] = at, np.frombuffer(b"".join(bits[order[k]] for k in at), np.uint64).reshape(len(at), size // 8)
-    last = np.searchsorted(n, n * 100 // percent, side="right")
+    rows = rows[np.argsort(n[rows], kind="stable")]
+    size_of, last = maps.size[rows], np.searchsorted(n[rows], n[rows] * 100 // percent, side="right")
     left, right = [], []
-    for size, (at, own) in maps.items():
-        others = [(at, own)]
-        if 2 * size in maps:
-            # Halves laid over each other: the bitmap that the larger set has at the smaller size.
-            where, twice = maps[2 * size]
-            half = twice.shape[1] // 2
-            others.append((where, twice[:, :half] ^ twice[:, half:]))
-        for k, i in enumerate(at.tolist()):
-            for where, other in others:
-                a, b = np.searchsorted(where, [i + 1, last[i]])
-                if a >= b:
-                    continue
-                j = where[a:b]
-                ok = part[j] != part[i]
-                if crossing:
-                    ok &= side[j] != side[i]
-                if not ok.any():
-                    continue
-                j, sums = j[ok], n[i] + n[j[ok]]
-                apart = np.bitwise_count(other[a:b][ok] ^ own[k]).sum(axis=1, dtype=np.int64)
-                j = j[(100 + percent) * ((sums - apart) // 2) >= percent * sums]
-                left.append(np.full(len(j), i))
-                right.append(j)
-    if not left:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return order[np.concatenate(left)], order[np.concatenate(right)]
+    begin = 0
+    while begin < len(rows):
+        words = int(size_of[begin])
+        # Rows of one bitmap size, so many that the block's table of words stays at some megabytes.
+        band = int(last[begin]) - begin
+        end = min(int(np.searchsorted(size_of, words, side="right")), begin + max(1, (1 << 19) // (words * max(1, band))))
+        stop = int(last[end - 1])
+        i, j = np.arange(begin, end), np.arange(begin + 1, stop)
+        a, b = rows[i], rows[j]
+        ok = (j[None] > i[:, None]) & (j[None] < last[i][:, None]) & (part[a][:, None] != part[b][None])
+        if crossing:
+            ok &= side[a][:, None] != side[b][None]
+        x, y = np.nonzero(ok)
+        if len(x):
+            own, other = maps.rows(a, words), maps.rows(b, words)
+            for k in range(0, len(x), max(1, (1 << 20) // words)):
+                xs, ys = x[k: k + max(1, (1 << 20) // words)], y[k: k + max(1, (1 << 20) // words)]
+                apart = np.bitwise_count(own[xs] ^ other[ys]).sum(axis=1, dtype=np.int64)
+                hit = _passes(n[a[xs]], n[b[ys]], apart, percent)
+                left.append(a[xs[hit]])
+                right.append(b[ys[hit]])
+        begin = end
+    return np.concatenate([*left, np.zeros(0, np.int64)]), np.concatenate([*right, np.zeros(0, np.int64)])
 
 
 def _candidates(meetings: DataFrame, parts: DataFrame | None, classes: DataFrame, percent: int) -> DataFrame:
     """Distinct class pairs (a < b) of different parts that meet in a tile and pass its bounds.
 
-    A tile of more than TILE_ROWS classes is split into blocks, and every two blocks meet in a task of their own.
+    A tile of more than TILE_ROWS classes is split into blocks, and every two blocks meet in a group of their own. Tiles
+    report the partners of a class in one row.
     """
     met = meetings.select("gram", "class").distinct()
     if parts is None:
@@ -272,18 +308,33 @@ def _candidates(meetings: DataFrame, parts: DataFrame | None, classes: DataFrame
                          "block", "class", "part").join(classes, "class")
 
     def run(batches):
-        for group in _groups(batches, ["gram", "p", "q"]):
-            group = group.combine_chunks()
-            a, b = tile_pairs(group.column("n").to_numpy(), group.column("part").to_numpy(),
-                              group.column("bits").to_pylist(), group.column("block").to_numpy(),
-                              group.column("p")[0].as_py() != group.column("q")[0].as_py(), percent)
+        for table, cuts in _whole_groups(batches, ["gram", "p", "q"]):
+            n, part, side, p, q, names = (table.column(c).to_numpy() for c in ("n", "part", "block", "p", "q", "class"))
+            maps = Bitmaps(table.column("bits").chunk(0))
+            size = np.diff(cuts)
+            # Two rows with different blocks in a tile of two blocks, or any two in a tile of one.
+            two = cuts[:-1][size == 2]
+            two = couples(n, part, maps, two[(p[two] == q[two]) | (side[two] != side[two + 1])], percent)
+            left, right = [two], [two + 1]
+            for begin, end in zip(cuts[:-1][size > 2].tolist(), cuts[1:][size > 2].tolist(), strict=True):
+                a, b = tile_pairs(n, part, maps, np.arange(begin, end), side, p[begin] != q[begin], percent)
+                left.append(a)
+                right.append(b)
+            x, y = names[np.concatenate(left)], names[np.concatenate(right)]
+            a, b = np.minimum(x, y), np.maximum(x, y)
+            order = np.lexsort((b, a))
+            a, b = a[order], b[order]
+            new = np.concatenate([np.ones(min(1, len(a)), bool), (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+            a, b = a[new], b[new]
             if len(a):
-                names = group.column("class").to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(names[a], names[b])),
-                                                  pa.array(np.maximum(names[a], names[b]))], ["a", "b"])
+                begins = np.concatenate([[0], np.flatnonzero(a[1:] != a[:-1]) + 1])
+                ends = np.append(begins, len(a)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(a[begins]), pa.ListArray.from_arrays(pa.array(ends), pa.array(b))], ["a", "bs"])
 
     keys = ["gram", "p", "q"]
-    return tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long").distinct()
+    met = tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, bs array<long>")
+    # A pair that met in many tiles is one.
+    return met.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("bs"))).alias("bs")).select("a", F.explode("bs").alias("b"))
 
 
 def _prepared(docs: DataFrame, length: int, percent: int):
@@ -319,10 +370,13 @@ def groups(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT) -> Da
 
     def bound(batches):
         for batch in batches:
-            ok = []
-            for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("n", "m", "x", "y")), strict=True):
-                ok.append(len(tile_pairs(np.array([n, m]), np.array([0, 1]), [y, x], np.zeros(2), False, percent)[0]) > 0)
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            # The two of a pair as neighbours.
+            both = pa.concat_arrays([batch.column("x"), batch.column("y")])
+            order = np.arange(2 * batch.num_rows).reshape(2, -1).T.ravel()
+            n = np.concatenate([batch.column("m").to_numpy(), batch.column("n").to_numpy()])[order]
+            first = np.arange(0, len(order), 2)
+            hit = couples(n, np.arange(len(order)), Bitmaps(both.take(pa.array(order))), first, percent) // 2
+            yield batch.select(["a", "b"]).take(pa.array(hit))
 
     first = _decide(near.select("a", "b", "n", "m", "x", "y").mapInArrow(bound, "a long, b long"), rows, chunks, length, percent)
     parts = save(components(first).select(F.col("node").alias("class"), F.col("component").alias("part")), "parts")

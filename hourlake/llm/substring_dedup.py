@@ -61,9 +61,12 @@ class _Chunk:
         return np.flatnonzero(cover == short), short
 
     def keys(self, length: int) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Distinct keys of a level and whether the chunk itself holds them twice."""
+        """Distinct keys of a level and whether the chunk itself holds them twice.
+
+        Least hashes are small ones; scrambled, the keys spread evenly over the key ranges.
+        """
         at, short = self.ask(length)
-        keys, count = np.unique(short[at], return_counts=True)
+        keys, count = np.unique(W.mix(short[at]), return_counts=True)
         return keys, [(count > 1).astype(np.uint8)]
 
     def drop_unique(self, length: int, bits: np.ndarray | None) -> None:
@@ -72,7 +75,8 @@ class _Chunk:
         if bits is None or not len(at):
             self.alive[:] = False
             return
-        twice = bits[np.searchsorted(np.unique(short[at]), short[at])] > 0
+        asked = W.mix(short[at])
+        twice = bits[np.searchsorted(np.unique(asked), asked)] > 0
         span = self.window - length + 1
         seen = np.full(len(short), _HIGH, np.uint64)
         seen[at[twice]] = short[at[twice]]
