@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourlake.llm import tokens
-from hourlake.llm.chunks import save, slices
+from hourlake.llm.chunks import few, save, slices
 
 LENGTH = 1024
 SEGMENT_IDS = 1 << 20
@@ -136,7 +136,7 @@ def pack(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = None, en
     # Segment g holds the places [g * queue div segments, (g + 1) * queue div segments) of a queue.
     first = F.expr(f"((at + 1) * {segments}L - 1) div queue")
     last = F.expr(f"((at + n_tokens) * {segments}L - 1) div queue")
-    cut = places.join(queues, "source").withColumn("segment", F.explode(F.sequence(first, last)))
+    cut = places.join(few(queues), "source").withColumn("segment", F.explode(F.sequence(first, last)))
     lo = F.greatest("at", F.expr(f"segment * queue div {segments}L"))
     hi = F.least(F.col("at") + F.col("n_tokens"), F.expr(f"(segment + 1) * queue div {segments}L"))
     cut = cut.select("segment", "source", "queue", "row", "at", (lo - F.col("at")).alias("start"), (hi - lo).alias("n"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourlake.llm import words as W
-from hourlake.llm.chunks import save, slices
+from hourlake.llm.chunks import few, save, slices
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -122,7 +122,7 @@ def judge(docs: DataFrame, limit_docs: int = LIMIT_DOCS, limit_share: float = LI
     # Distinct texts of a host; sums of one row per host and text.
     hosts = rows.groupBy("host").agg(F.count("*").alias("docs")).select(
         F.col("host").alias("h"), F.greatest(F.lit(limit_docs), (F.col("docs") * limit_share).cast("long")).alias("limit"))
-    held = rows.join(hosts, F.col("host") == F.col("h")).select(
+    held = rows.join(few(hosts), F.col("host") == F.col("h")).select(
         "row", "host", "sig", "limit", F.explode(F.arrays_zip("hashes", "counts")).alias("l"))
     held = held.select("row", "sig", "limit", F.xxhash64("host", "l.hashes").alias("key"), "l.hashes", "l.counts")
     common = (held.select("key", "sig", "limit").distinct().groupBy("key")
