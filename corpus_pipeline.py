@@ -22,10 +22,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by their word 5-grams the one with the least doc_id stays."""
+    """Of texts linked by their word 5-grams one row stays, that of the least doc_id.
+
+    A null doc_id comes after all others, and of rows that share a doc_id each unlinked text stays.
+    """
     ship(spark)
-    first = jaccard_join.groups(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(first, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
+    return jaccard_join.firsts(docs)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,7 +75,7 @@ def alike(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return bool(len(a)) and 100 * both >= percent * (len(a) + len(b) - both)
 
 
-_ROWS = ("doc_id long, n long, class long, bits binary, chunk long, grams array<long>, held array<int>")
+_ROWS = ("doc_id long, sig long, n long, class long, bits binary, chunk long, at int, grams array<long>, held array<int>")
 
 
 def _describe(chunks: DataFrame, length: int) -> DataFrame:
@@ -91,11 +91,12 @@ def _describe(chunks: DataFrame, length: int) -> DataFrame:
                 n = rows.num_rows
                 lists = [[x[count > 1].tolist()] + [None] * (n - 1) for x in (grams.view(np.int64), count)]
                 yield pa.RecordBatch.from_arrays([
-                    rows.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()),
+                    rows.column("_id"), rows.column("_sig"), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(keys, pa.int64()),
                     pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([batch.column("chunk")[i].as_py()] * n, pa.int64()),
+                    pa.array([batch.column("chunk")[i].as_py()] * n, pa.int64()), pa.array(np.arange(n), pa.int32()),
                     pa.array(lists[0], pa.list_(pa.int64())), pa.array(lists[1], pa.list_(pa.int32()))],
-                    ["doc_id", "n", "class", "bits", "chunk", "grams", "held"])
+                    ["doc_id", "sig", "n", "class", "bits", "chunk", "at", "grams", "held"])
 
     return save(chunks.mapInArrow(run, _ROWS), "sets")
 
@@ -337,8 +338,10 @@ def _candidates(meetings: DataFrame, parts: DataFrame | None, classes: DataFrame
     return met.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("bs"))).alias("bs")).select("a", F.explode("bs").alias("b"))
 
 
-def _prepared(docs: DataFrame, length: int, percent: int):
-    chunks = write_chunks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+def _prepared(docs: DataFrame, length: int, percent: int, columns: tuple[str, ...] = ("text",)):
+    # A hash of the whole row decides between rows of one doc_id, so reruns agree.
+    sig = F.xxhash64(*[c for c, kind in docs.dtypes if c in ("text", *columns) and "map<" not in kind])
+    chunks = write_chunks(docs.select(*columns, F.col("doc_id").cast("long").alias("_id"), sig.alias("_sig")))
     rows = _describe(chunks, length)
     meetings = _meetings(chunks, _common(rows), length, percent)
     classes = rows.where("class is not null").select("class", "n", "bits").dropDuplicates(["class"])
@@ -352,16 +355,9 @@ def links(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT) -> tup
     return found, rows.select("doc_id", F.col("n").alias("n_shingles"), "class")
 
 
-def groups(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document (doc_id, text); other columns are not read.
-
-    First every class is compared with the least class of each of its tiles, and what is alike is joined.
-    Then tiles look for links between classes not joined yet, so a large group of copies is not compared pair
-    by pair, and no link that matters is lost. Null and empty texts have an empty set and are linked with nothing;
-    rows with the same doc_id are one document for component_id; null doc_ids are no component's least, so a
-    group of them alone has a null component_id. An empty table gives no rows.
-    """
-    chunks, rows, meetings, classes = _prepared(docs, length, percent)
+def _joined(prepared, length: int, percent: int) -> DataFrame:
+    """Written table (class, least, group): the least doc_id of each class, and the least class that it is linked with."""
+    chunks, rows, meetings, classes = prepared
     center = meetings.groupBy("gram").agg(F.min("class").alias("a"))
     star = meetings.join(center, "gram").where("class <> a").select("a", F.col("class").alias("b"), "n").distinct()
     sizes = classes.select(F.col("class").alias("a"), F.col("n").alias("m"), F.col("bits").alias("x"))
@@ -385,8 +381,46 @@ def groups(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT) -> Da
                         .unionByName(rest)).select(F.col("node").alias("class"), F.col("component").alias("group"))
     ids = rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least")) \
         .join(joined, "class", "left").select("class", "least", F.coalesce("group", "class").alias("group"))
-    ids = save(ids, "groups")
+    return save(ids, "groups")
+
+
+def groups(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document (doc_id, text); other columns are not read.
+
+    First every class is compared with the least class of each of its tiles, and what is alike is joined.
+    Then tiles look for links between classes not joined yet, so a large group of copies is not compared pair
+    by pair, and no link that matters is lost. Null and empty texts have an empty set and are linked with nothing;
+    rows with the same doc_id are one document for component_id; null doc_ids are no component's least, so a
+    group of them alone has a null component_id. An empty table gives no rows.
+    """
+    prepared = _prepared(docs, length, percent)
+    rows, ids = prepared[1], _joined(prepared, length, percent)
     named = ids.join(ids.groupBy("group").agg(F.min("least").alias("component_id")), "group").select("class", "component_id")
     return rows.join(named, "class", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(
             F.col("component_id")).alias("component_id"))
+
+
+def firsts(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The first row of every group of linked texts, all columns of ``docs`` (doc_id, text, any others).
+
+    A group is one of texts, whatever their doc_ids: rows that share a doc_id, or have none, stay if their texts
+    are in different groups. First is the least doc_id, nulls last, then the least hash of the row. Rows whose set
+    is empty are linked with nothing and all stay.
+    """
+    prepared = _prepared(docs, length, percent, tuple(docs.columns))
+    chunks, rows = prepared[:2]
+    ids = _joined(prepared, length, percent)
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sig", "chunk", "at").alias("key")
+    best = rows.where("class is not null").groupBy("class").agg(F.min(key).alias("key")).join(ids, "class")
+    best = best.groupBy("group").agg(F.min("key").alias("key")).select("key.chunk", "key.at")
+    kept = best.unionByName(rows.where("class is null").select("chunk", "at")).groupBy("chunk").agg(
+        F.sort_array(F.collect_list("at")).alias("kept"))
+    names = docs.columns
+
+    def run(batches):
+        for batch in batches:
+            for blob, at in zip(batch.column("rows"), batch.column("kept"), strict=True):
+                yield unpack(blob).select(names).take(at.values)
+
+    return chunks.join(kept, "chunk").select("rows", "kept").mapInArrow(run, docs.schema)
