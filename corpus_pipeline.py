@@ -9,16 +9,13 @@ from hourlake.llm import jaccard_join, language_id, mixing, packing, substring_d
 from hourlake.llm.queries import ship
 from hourlake.session import scratch_dir
 
-#: Texts whose most likely language has a lower pooled probability are no language that was learned.
-LEAST_SCORE = 0.5
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language learned from the labelled ones go on; ``und`` and doubtful ones go."""
+    """Every text with a letter goes on, however unsure its language; ``und`` goes."""
     ship(spark)
     languages, weights = language_id.learn(docs)
     found = language_id.predict(docs, languages, weights)
-    return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
+    return found.where(F.col("lang_pred") != language_id.UNKNOWN).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,9 @@
 """Cases of the pipeline's stages: what must not be lost."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
+from conftest import SF
 from hourlake.llm import jaccard_join
 from llm.test_documents import jaccard_sets, reachable
 
@@ -30,3 +33,15 @@ def test_near_copies_of_messy_rows_match_brute_force(spark, messy, empty):
     assert out.schema == messy.schema and set(got) <= set(rows)
     assert sorted((r.doc_id for r in got), key=repr) == sorted(want, key=repr)
     assert jaccard_join.firsts(empty).count() == 0
+
+
+def test_language_stage_loses_no_text_with_letters(spark):
+    real = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    some = {r.lang: r.text[:300] for r in real.orderBy("doc_id").collect() if r.lang and len(r.text) > 300}
+    mixed = [(10_000 + k, x, "en") for k, x in enumerate(["Von.", "That it.", "a", "Ok!", " ".join(some.values())])]
+    none = [(20_000, None, "en"), (20_001, "", "de"), (20_002, "12 34 ... !!", "fr")]
+    docs = real.unionByName(spark.createDataFrame(mixed + none, real.schema))
+    out = corpus_pipeline.identify_language(spark, docs, "")
+    assert sorted(r.doc_id for r in out.collect()) == sorted(
+        r.doc_id for r in docs.where(F.col("text").rlike(r"\p{L}")).collect())
+    assert not {r[0] for r in none} & {r.doc_id for r in out.collect()}
