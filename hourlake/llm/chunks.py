@@ -104,12 +104,12 @@ def bucket_count(chunks: DataFrame) -> int:
     return max(64, chunks.count() // 4)
 
 
-def exchange(asked: DataFrame, types: list[str], answer: Callable[..., np.ndarray]) -> DataFrame:
+def exchange(asked: DataFrame, types: list[str], answer: Callable[..., np.ndarray], kind: str = "u1") -> DataFrame:
     """Bring equal keys of all chunks together and send the answers back.
 
     ``asked`` has the rows of :func:`entries`; ``types`` are the numpy types of the extra columns.
     ``answer(keys, holder, *columns)`` sees all entries of a key range (``holder`` tells chunks apart)
-    and returns one uint8 for each. Result: ``chunk``, ``answers`` array of (bucket, bits).
+    and returns one number of type ``kind`` for each. Result: ``chunk``, ``answers`` array of (bucket, bits).
     """
     def reduce(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -122,7 +122,7 @@ def exchange(asked: DataFrame, types: list[str], answer: Callable[..., np.ndarra
                 part.append(np.frombuffer(blob, t, n, at))
                 at += n * np.dtype(t).itemsize
         columns = [np.concatenate(p) for p in parts]
-        bits = answer(columns[0], np.repeat(np.arange(len(sizes)), sizes), *columns[1:]).astype(np.uint8)
+        bits = answer(columns[0], np.repeat(np.arange(len(sizes)), sizes), *columns[1:]).astype(kind)
         ends = np.cumsum(sizes)
         return pa.table({"bucket": table.column("bucket"), "chunk": table.column("chunk"),
                          "bits": pa.array([bits[e - n: e].tobytes() for n, e in zip(sizes, ends, strict=True)], pa.binary())})
@@ -131,8 +131,8 @@ def exchange(asked: DataFrame, types: list[str], answer: Callable[..., np.ndarra
     return answered.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("answers"))
 
 
-def joined_bits(answers) -> np.ndarray | None:
+def joined_bits(answers, kind: str = "u1") -> np.ndarray | None:
     """The answers of one chunk in the order of its keys; None if it asked nothing."""
     if answers is None:
         return None
-    return np.frombuffer(b"".join(a["bits"] for a in sorted(answers, key=lambda a: a["bucket"])), np.uint8)
+    return np.frombuffer(b"".join(a["bits"] for a in sorted(answers, key=lambda a: a["bucket"])), kind)
