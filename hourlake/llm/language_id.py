@@ -20,11 +20,9 @@ from hourlake.llm.chunks import slices
 
 WINDOW = 64
 HIDDEN = 8
-#: The bounded sample that is learned from: so many documents per language, so many windows of each, and
-#: the languages with the most documents.
+#: The bounded sample that is learned from: so many documents per language and so many windows of each.
 SAMPLE_DOCS = 300
 SAMPLE_WINDOWS = 8
-MAX_LANGUAGES = 64
 STEPS = 120
 BATCH = 384
 UNKNOWN = "und"
@@ -178,11 +176,11 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> tuple[list[str], d
     """Languages and weights learned from a bounded sample of the labelled documents that are not held out.
 
     The sample is drawn by a hash of the document's id; it holds about ``sample_docs`` documents per language and
-    SAMPLE_WINDOWS windows, spread evenly, of each. Texts without letters are not learned from.
+    SAMPLE_WINDOWS windows, spread evenly, of each, and every language that a label names. Texts without letters are not learned from.
     """
     usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text").where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").isNotNull())
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = usable.groupBy("lang").count().collect()
     if not counts:
         return [], {}
     languages = sorted(r["lang"] for r in counts)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF
-from hourlake.llm import jaccard_join
+from hourlake.llm import jaccard_join, language_id
 from llm.test_documents import jaccard_sets, reachable
 
 
@@ -45,3 +45,13 @@ def test_language_stage_loses_no_text_with_letters(spark):
     assert sorted(r.doc_id for r in out.collect()) == sorted(
         r.doc_id for r in docs.where(F.col("text").rlike(r"\p{L}")).collect())
     assert not {r[0] for r in none} & {r.doc_id for r in out.collect()}
+
+
+def test_every_labelled_language_is_learned(spark):
+    names = [f"l{k:03d}" for k in range(70)]
+    rows = [(k * 20 + j, f"{x} text {j}", x) for k, x in enumerate(names) for j in range(2 + 18 * (k < 64))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = sorted({r.lang for r in docs.where(~language_id.held_out(F.col("doc_id"))).collect()})
+    assert len(want) > 64
+    languages, weights = language_id.learn(docs)
+    assert languages == want and len(weights["c"]) == len(want)
