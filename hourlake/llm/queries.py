@@ -9,7 +9,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourlake.llm import chat_format, embedding_dedup, jaccard_join, language_id, lm_score, mixing, packing, quality_lines, sql, substring_dedup, token_planes
+from hourlake.llm import chat_format, embedding_dedup, jaccard_join, language_id, lm_score, merkle, mixing, packing, quality_lines, sql, substring_dedup, token_planes
 from hourlake.session import scratch_dir
 
 _SHIPPED: set[str] = set()
@@ -83,6 +83,10 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.groups(_table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_frequency": op1_line_frequency,
     "op3_substring_dedup": op3_substring_dedup,
@@ -94,6 +98,7 @@ QUERIES = {
     "op8_mix": op8_mix,
     "op9_token_planes": op9_token_planes,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_line_frequency": sql.OP1,
@@ -101,4 +106,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_embedding_dedup": sql.OP4,
     "op6_chat_format": sql.OP6,
     "op10_ngram_jaccard": sql.OP10,
+    "op13_merkle_manifest": sql.OP13,
 }

@@ -89,3 +89,41 @@ l AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(component, d.doc_id) AS component_id
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN top ON top.node = d.doc_id
 """
+
+#: CRC-32 of the bytes of a decimal number, a bit at a time.
+CRC32 = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST({} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda a, c: list_reduce(list_prepend(xor(a, c), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(f) for f in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+OP13 = f"""
+WITH RECURSIVE l AS (SELECT doc_id, {_field('lang')} AS tree, lang, {_leaf('n_chars')} AS leaf,
+  CASE WHEN n_chars IS NOT NULL AND {CRC32.format('doc_id')} % 7 = 0 THEN {_leaf('(CAST(n_chars AS HUGEINT) + 1)')} END AS changed FROM documents),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY tree) AS size FROM l),
+up AS (SELECT 0 AS level, tree, place, size, leaf AS node FROM leaves
+  UNION ALL SELECT level + 1, tree, place // 2, (size + 1) // 2, sha256(string_agg(node, '' ORDER BY place)) FROM up WHERE size > 1 GROUP BY level, tree, place // 2, size),
+subs AS (SELECT u.tree, u.level, u.node, row_number() OVER (ORDER BY l.lang NULLS FIRST) - 1 AS place, count(*) OVER () AS size
+  FROM up u JOIN (SELECT DISTINCT tree, lang FROM leaves) l USING (tree) WHERE u.size = 1),
+top AS (SELECT 0 AS level, place, size, node FROM subs
+  UNION ALL SELECT level + 1, place // 2, (size + 1) // 2, sha256(string_agg(node, '' ORDER BY place)) FROM top WHERE size > 1 GROUP BY level, place // 2, size),
+sides AS (SELECT u.tree, u.level, u.place, s.node AS other FROM up u LEFT JOIN up s ON s.tree = u.tree AND s.level = u.level AND s.place = xor(u.place, 1) WHERE u.size > 1
+  UNION ALL SELECT b.tree, b.level + t.level, NULL, o.node FROM subs b JOIN top t ON t.size > 1 AND t.place = b.place >> t.level
+  LEFT JOIN top o ON o.level = t.level AND o.place = xor(t.place, 1)),
+walk AS (SELECT leaves.doc_id, leaves.tree, leaves.leaf, leaves.place AS seat, b.level AS height, b.place AS branch, 0 AS level, '' AS proof, coalesce(changed, leaf) AS folded, leaves.place
+    FROM leaves JOIN subs b USING (tree)
+  UNION ALL SELECT w.doc_id, w.tree, w.leaf, w.seat, w.height, w.branch, w.level + 1, w.proof || coalesce(s.other, ''),
+    CASE WHEN s.other IS NULL THEN sha256(w.folded)
+      WHEN (CASE WHEN w.level < w.height THEN w.seat >> w.level ELSE w.branch >> (w.level - w.height) END) % 2 = 1 THEN sha256(s.other || w.folded) ELSE sha256(w.folded || s.other) END, w.place
+    FROM walk w JOIN sides s ON s.tree = w.tree AND s.level = w.level AND (s.place IS NULL OR s.place = w.seat >> w.level)),
+done AS (SELECT *, row_number() OVER (PARTITION BY tree, seat ORDER BY level DESC) AS last FROM walk),
+root AS (SELECT node AS root FROM top WHERE size = 1)
+SELECT d.doc_id, d.leaf, b.node AS subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM done d JOIN subs b USING (tree), root WHERE last = 1
+"""
