@@ -9,7 +9,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourlake.llm import chat_format, embedding_dedup, jaccard_join, language_id, lm_score, merkle, mixing, packing, quality_lines, sql, substring_dedup, token_planes
+from hourlake.llm import chat_format, embedding_dedup, jaccard_join, language_id, lm_score, merkle, mixing, packing, prefix_trie, quality_lines, sql, substring_dedup, token_planes
 from hourlake.session import scratch_dir
 
 _SHIPPED: set[str] = set()
@@ -83,6 +83,10 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.groups(_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuild(_table(spark, sf_dir, "conversations")))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(_table(spark, sf_dir, "documents"))
 
@@ -98,6 +102,7 @@ QUERIES = {
     "op8_mix": op8_mix,
     "op9_token_planes": op9_token_planes,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLE_SQL: dict[str, str] = {
@@ -106,5 +111,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_embedding_dedup": sql.OP4,
     "op6_chat_format": sql.OP6,
     "op10_ngram_jaccard": sql.OP10,
+    "op11_prefix_trie": sql.OP11,
     "op13_merkle_manifest": sql.OP13,
 }

@@ -127,3 +127,23 @@ root AS (SELECT node AS root FROM top WHERE size = 1)
 SELECT d.doc_id, d.leaf, b.node AS subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
 FROM done d JOIN subs b USING (tree), root WHERE last = 1
 """
+
+OP11 = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(sha256(strlen(role) || ':' || role || text) ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text)) AS names,
+  list(length(text) ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text)) AS sizes FROM t GROUP BY 1),
+h AS (SELECT *, {CRC32.format('conv_id')} % 6 AS h FROM own),
+r AS (SELECT h.conv_id, coalesce(b.names[:h], []) || h.names[h + 1:] AS names, coalesce(b.sizes[:h], []) || h.sizes[h + 1:] AS sizes
+  FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 100),
+places AS (SELECT conv_id, names, sizes, unnest(range(0, len(names) + 1)) AS depth FROM r),
+nodes AS (SELECT array_to_string(names[:depth], ' ') AS p, array_to_string(names[:greatest(depth - 1, 0)], ' ') AS up, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+  any_value(CASE WHEN depth > 0 THEN names[:depth - 1] END) AS above, (count(*) - 1) * coalesce(any_value(CASE WHEN depth > 0 THEN sizes[depth] END), 0) AS saved,
+  sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = len(names)), '')) AS ends_sha256 FROM places GROUP BY ALL),
+kids AS (SELECT up AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+every AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN kids k USING (p)),
+sums AS (SELECT a AS p, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT n_children, saved, unnest(list_append(list_transform(range(0, depth), lambda k: array_to_string(above[:k], ' ')), p)) AS a FROM every) GROUP BY 1)
+SELECT e.conv_id, e.depth, CASE WHEN e.depth > 0 THEN u.conv_id END AS parent_conv_id, e.n_convs, e.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, e.ends_sha256
+FROM every e JOIN sums USING (p) LEFT JOIN every u ON u.p = e.up AND u.depth = e.depth - 1
+"""
