@@ -9,7 +9,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourlake.llm import chat_format, embedding_dedup, jaccard_join, language_id, lm_score, merkle, mixing, packing, prefix_trie, quality_lines, sql, substring_dedup, token_planes
+from hourlake.llm import chat_format, embedding_dedup, jaccard_join, language_id, lm_score, merkle, mixing, neighbour_graph, packing, prefix_trie, quality_lines, sql, substring_dedup, token_planes
 from hourlake.session import scratch_dir
 
 _SHIPPED: set[str] = set()
@@ -87,6 +87,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(prefix_trie.rebuild(_table(spark, sf_dir, "conversations")))
 
 
+def op12_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_graph.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(_table(spark, sf_dir, "documents"))
 
@@ -103,6 +107,7 @@ QUERIES = {
     "op9_token_planes": op9_token_planes,
     "op10_ngram_jaccard": op10_ngram_jaccard,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_nn_descent": op12_nn_descent,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLE_SQL: dict[str, str] = {
