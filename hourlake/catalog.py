@@ -8,10 +8,11 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 from typing import Callable
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourlake.functions.hours import PARTITION_COLUMNS, hour_columns_from_ts
@@ -25,8 +26,9 @@ from hourlake.session import scratch_dir
 from hourlake.sources.inventory import list_files, list_published_files, modified_since
 from hourlake.sources.json_writer import to_documents, to_plain_layout, write_landing
 from hourlake.sources.landing import read_documents, read_lines
-from hourlake.sources.published import read_published, register_table
-from hourlake.streaming.file_stream import ingest_stream
+from hourlake.plans.publish import write_hours
+from hourlake.sources.published import drop_old_runs, read_published, register_table, rows_per_file, run_folder
+from hourlake.streaming.file_stream import BATCH, ingest_stream, publish_batch
 
 EVENTS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 PUBLISHED = EVENTS + list(PARTITION_COLUMNS)
@@ -475,6 +477,56 @@ def separated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                      read_published(spark, f"{ws}/published", schema=events.schema))
 
 
+def _mixed_landing(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """Land events in blocks of six, a line each, in six forms by the block's number: [..][..], [..],[..], [..]{..}..,
+    {..}..[..], {..},[..] and [..] junk."""
+    events = _events(spark, sf_dir)
+    keys = list(PARTITION_COLUMNS)
+    at = F.row_number().over(Window.partitionBy(*keys).orderBy("event_id")) - 1
+    docs = events.select(to_documents(events, EVENTS).alias("doc"), *hour_columns_from_ts(F.col("ts")), "event_id").select(
+        "doc", *keys, "event_id", F.floor(at / 6).alias("block"), F.pmod(at, F.lit(2)).alias("half"))
+    # An hour has few events; the halves of a block are its even and odd rows.
+    lines = docs.groupBy(*keys, "block").agg(F.min("event_id").alias("least"), *[
+        F.sort_array(F.collect_list(F.when(F.col("half") == h, F.struct("event_id", "doc")))).alias(f"h{h}") for h in (0, 1)])
+    joined = [F.array_join(F.transform(f"h{h}", lambda e: e["doc"]), ",") for h in (0, 1)]
+    plain = [F.array_join(F.transform(f"h{h}", lambda e: e["doc"]), "") for h in (0, 1)]
+    a, b = (F.concat(F.lit("["), j, F.lit("]")) for j in joined)
+    form = F.col("least") % 6
+    value = (F.when(form == 0, F.concat(a, b)).when(form == 1, F.concat(a, F.lit(" , "), b)).when(form == 2, F.concat(a, plain[1]))
+             .when(form == 3, F.concat(plain[0], F.lit(" "), b)).when(form == 4, F.concat(joined[0], F.lit(","), b))
+             .otherwise(F.concat(a, F.lit(" junk "), b)))
+    lines.select(value.alias("value"), *keys).write.partitionBy(*keys).text(root)
+    return events
+
+
+def mixed_values_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays and objects behind each other on one line, with and without commas, and with junk between: all are
+    published or, the junk and the array before it, quarantined as one text; nothing of the landed text is missing."""
+    ws = scratch_dir(spark, "mixed_values_lines")
+    events = _mixed_landing(spark, sf_dir, f"{ws}/landing")
+    ingest(spark, f"{ws}/landing", f"{ws}/published", "all", schema=events.schema, layout=HIVE, quarantine=f"{ws}/bad")
+    keys = list(PARTITION_COLUMNS)
+    bad = spark.read.schema(f"{CORRUPT} string, run_id string, " + ", ".join(f"{c} string" for c in keys)).parquet(f"{ws}/bad")
+    audit = reconcile(read_documents(spark, f"{ws}/landing", "all", HIVE), bad, _published(spark, f"{ws}/published", events),
+                      read_lines(spark, f"{ws}/landing", "all", HIVE))
+    return audit.select(*keys, "bad_docs", "published_rows", "matches")
+
+
+def landed_tokens_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names, values and objects of the landed text against those of the documents cut from it, by patterns that do not cut;
+    and whether the audit tells a splitter that loses every seventh document."""
+    ws, events = _landed_events(spark, sf_dir, "landed_tokens_reconcile", style="array")
+    landing, keys = f"{ws}/landing", list(PARTITION_COLUMNS)
+    ingest(spark, landing, f"{ws}/published", "all", schema=events.schema, layout=HIVE)
+    lines, docs = read_lines(spark, landing, "all", HIVE), read_documents(spark, landing, "all", HIVE)
+    published = _published(spark, f"{ws}/published", events)
+    none = docs.limit(0)
+    lossy = docs.where(F.get_json_object("doc", "$.event_id").cast("bigint") % 7 != 0)
+    missing = reconcile(lossy, none, published.where("event_id % 7 <> 0"), lines).select(*keys, F.col("matches").alias("lossy_matches"))
+    return reconcile(docs, none, published, lines).join(missing, keys, "left").select(
+        *keys, "source_docs", "published_rows", "landed_tokens", "document_tokens", "matches", "lossy_matches")
+
+
 def array_line_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decimals with 18 places in array lines come back digit by digit."""
     ws = scratch_dir(spark, "array_line_decimal")
@@ -585,6 +637,113 @@ def drift_between_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table).select(*EVENTS)
 
 
+# ------------------------------------------------------- what a lake remembers of its runs
+
+def schema_log_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs whose columns differ; an hour of each and then all hours read without a schema. Every read has every column."""
+    ws = _drift_landing(spark, sf_dir, "schema_log_read", _without_props)
+    span = Span.of(_events(spark, sf_dir))
+    for hours in (span.first_part, span.second_part):
+        ingest(spark, f"{ws}/landing", f"{ws}/published", hours, layout=HIVE)
+    one = [read_published(spark, f"{ws}/published", (h, h)).select(*PUBLISHED, "extra") for h in (span.start, span.middle)]
+    every = read_published(spark, f"{ws}/published").select(*PUBLISHED, "extra")
+    return one[0].withColumn("read", F.lit("first")).unionByName(one[1].withColumn("read", F.lit("second"))) \
+        .unionByName(every.withColumn("read", F.lit("all")))
+
+
+def swap_publish_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours published by swapping the table's partitions. A second run that fails between its write and the swap
+    changes nothing; a third one, over the first part of the hours, is seen whole, and the folder of the failed one is cleared."""
+    ws, events = _landed_events(spark, sf_dir, "swap_publish_failure")
+    dest, table = f"{ws}/published", "hourlake_swap_" + ws.rsplit("-", 1)[-1]
+    ingest(spark, f"{ws}/landing", dest, "all", schema=events.schema, layout=HIVE, table=table, swap=True)
+    changed = lambda by: events.withColumn("value", F.col("value") + F.lit(by))
+    write_hours(changed(1.0).select("*", *hour_columns_from_ts(F.col("ts"))), run_folder(dest, "failed"))
+    before = spark.table(table).select(*PUBLISHED).withColumn("seen", F.lit("before")).checkpoint()
+    write_landing(changed(2.0), f"{ws}/corrected", "ts", style="concat")
+    ingest(spark, f"{ws}/corrected", dest, Span.of(events).first_part, schema=events.schema, layout=HIVE, table=table, swap=True)
+    gone = drop_old_runs(spark, table, dest, datetime.now(timezone.utc) + timedelta(hours=1))
+    assert gone == ["failed"], gone
+    return before.unionByName(spark.table(table).select(*PUBLISHED).withColumn("seen", F.lit("after")))
+
+
+def changed_hours_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over what changed: all hours the first time, then one hour that got another file, then none. The
+    ledger's runs per hour, and the rows of the last."""
+    ws, events = _landed_events(spark, sf_dir, "changed_hours_ingest")
+    landing, dest, ledger = f"{ws}/landing", f"{ws}/published", f"{ws}/ledger"
+    run = lambda: ingest(spark, landing, dest, "changed", schema=events.schema, layout=HIVE, ledger=ledger)
+    run()
+    start = Span.of(events).start
+    write_landing(events.where(F.date_trunc("hour", "ts").cast("timestamp_ntz") == F.lit(start).cast("timestamp_ntz")), landing, "ts", style="array")
+    run()
+    assert run().documents == 0
+    ended = read_ledger(spark, ledger).where("end_time is not null")
+    runs = ended.groupBy(*PARTITION_COLUMNS).agg(F.count_distinct("run_id").alias("runs"), F.max_by("hour_rows", "start_time").alias("hour_rows"))
+    rows = read_published(spark, dest).groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("rows"))
+    return runs.join(rows, list(PARTITION_COLUMNS), "full_outer")
+
+
+def ledger_rows_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows published and bad documents of every hour, as the ledger has them."""
+    ws = scratch_dir(spark, "ledger_rows_per_hour")
+    events = _events(spark, sf_dir)
+    _land_truncated(events, f"{ws}/landing")
+    ingest(spark, f"{ws}/landing", f"{ws}/published", "all", schema=events.schema, layout=HIVE, quarantine=f"{ws}/bad", ledger=f"{ws}/ledger")
+    return latest_runs(read_ledger(spark, f"{ws}/ledger")).select(*PARTITION_COLUMNS, "hour_rows", "hour_bad")
+
+
+def publish_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hot hour (two thirds of all rows) and cold ones published in files by landed bytes: rows per hour, whether the hot hour
+    got several files of about the goal, and whether each cold one got two at most."""
+    ws = scratch_dir(spark, "publish_by_bytes")
+    events = _events(spark, sf_dir)
+    hot = F.when(F.col("event_id") % 3 > 0, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).otherwise(F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    write_landing(events, f"{ws}/landing", hot, style="concat")
+    total = list_files(spark, f"{ws}/landing", "all", HIVE).agg(F.sum("length")).first()[0]
+    goal = max(1, total // 16)
+    ingest(spark, f"{ws}/landing", f"{ws}/published", "all", schema=events.schema, layout=HIVE, target_file_bytes=goal)
+    per_hour = rows_per_file(spark, f"{ws}/published").groupBy(*PARTITION_COLUMNS).agg(
+        F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"), F.max("rows").alias("most"))
+    share = per_hour.withColumn("goal_rows", F.lit(events.count() / 16))
+    hot_hour = F.col("rows") > 4 * F.col("goal_rows")
+    return share.select(*PARTITION_COLUMNS, "rows", F.when(hot_hour, (F.col("files") > 8) & (F.col("most") < 2 * F.col("goal_rows")))
+                        .otherwise(F.col("files") <= 2).alias("files_fit"))
+
+
+def empty_file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inventory and the ledger count files of 0 bytes."""
+    ws, events = _landed_events(spark, sf_dir, "empty_file_inventory")
+    first = Span.of(events).start
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    path = make(f"{ws}/landing/year={first:%Y}/month={first:%m}/day={first:%d}/hour={first:%H}/empty+ %20.json")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path).close()
+    files = list_files(spark, f"{ws}/landing", "all", HIVE)
+    return files.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("files"), F.count(F.when(F.col("length") == 0, 1)).alias("empty_files"))
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that sets bad documents aside in the same pass, some batches of it run a second time as after a failure:
+    good and bad documents per hour, each once."""
+    ws = scratch_dir(spark, "stream_quarantine")
+    events = _events(spark, sf_dir)
+    _land_truncated(events, f"{ws}/landing")
+    dest, bad = f"{ws}/published", f"{ws}/bad"
+    for query in ingest_stream(spark, f"{ws}/landing", dest, f"{ws}/checkpoint", events.schema, layout=HIVE,
+                               max_files_per_trigger=300, quarantine=bad):
+        query.awaitTermination()
+    keys = list(PARTITION_COLUMNS)
+    # What a restart does with a batch whose commit was lost: the files of that batch under the same id once more.
+    hours = reduce(DataFrame.unionAll, [spark.read.parquet(path).where(f"{BATCH} = 0").select(*[F.col(c).cast("int").alias(c) for c in keys])
+                                        for path in (dest, bad)]).distinct()
+    again = parsed_landing(spark, f"{ws}/landing", "all", events.schema, HIVE)[0]
+    publish_batch(again.join(hours, [again[c].cast("int") == hours[c] for c in keys], "left_semi"), 0, dest, bad)
+    good = read_published(spark, dest).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids"))
+    wrong = spark.read.schema(f"{CORRUPT} string, {BATCH} int, " + ", ".join(f"{c} string" for c in keys)).parquet(bad) \
+        .groupBy(*keys).agg(F.count(F.lit(1)).alias("bad_documents"))
+    return good.join(wrong, keys, "full_outer")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         events_hour_ingest, events_jsonl_scan, events_inferred_scan, concat_json_rows_per_hour,
@@ -595,9 +754,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         published_rows_reconcile, row_group_size, publish_two_files_per_hour, publish_rebalanced,
         files_per_hour, new_and_removed_files,
         modified_since_hours, ledger_latest_run, ingest_ledger_latest,
-        stream_ingest_available_now, stream_late_old_file, separated_documents, array_line_decimal,
+        stream_ingest_available_now, stream_late_old_file, separated_documents, mixed_values_lines, landed_tokens_reconcile, array_line_decimal,
         dotted_and_empty_keys, clashing_field_names, nested_folder_scan, plain_layout_ingest,
         all_bad_hour_rerun, ledger_bytes_exact, table_gains_column, drift_between_runs,
+        schema_log_read, swap_publish_failure, changed_hours_ingest, ledger_rows_per_hour, publish_by_bytes, empty_file_inventory,
+        stream_quarantine,
     )
 }
 
@@ -614,6 +775,8 @@ _DRIFT = (f"SELECT event_id, {_TS_TEXT} AS ts, user_id, event_type, value, props
           f"CAST(NULL AS VARCHAR) AS props, event_type || '-x' AS extra FROM events WHERE NOT {_FIRST}")
 _SCAN_IN_ONE_HOUR = ("SELECT event_id, ts, user_id, event_type, value, props, '2024' AS year, '01' AS month, '01' AS day, "
                      "'00' AS hour FROM events")
+#: An object and, of each field that is not null, its name and its value.
+_TOKENS = "CAST(sum(1 + 2 * (" + " + ".join(f"CAST({c} IS NOT NULL AS INTEGER)" for c in EVENTS) + ")) AS BIGINT)"
 _PER_HOUR = f"SELECT {_HOURS} FROM events"
 
 ORACLE_SQL: dict[str, str] = {
@@ -664,6 +827,15 @@ ORACLE_SQL: dict[str, str] = {
     "separated_documents": f"SELECT year, month, day, hour, count(*) AS source_docs, count(*) FILTER (event_id % 4 IN (1, 2)) AS bad_docs, "
                            f"count(*) FILTER (event_id % 4 IN (0, 3)) AS published_rows, true AS matches "
                            f"FROM (SELECT event_id, {_HOURS} FROM events) GROUP BY ALL",
+    "mixed_values_lines": f"SELECT year, month, day, hour, CAST(coalesce(sum(bad), 0) AS BIGINT) AS bad_docs, "
+                          f"CAST(coalesce(sum(n) FILTER (bad = 0), 0) AS BIGINT) AS published_rows, true AS matches FROM ("
+                          f"SELECT year, month, day, hour, count(*) AS n, CASE WHEN min(event_id) % 6 = 5 THEN 1 ELSE 0 END AS bad FROM ("
+                          f"SELECT event_id, year, month, day, hour, (row_number() OVER (PARTITION BY year, month, day, hour ORDER BY event_id) - 1) // 6 AS block "
+                          f"FROM (SELECT event_id, {_HOURS} FROM events)) GROUP BY year, month, day, hour, block) GROUP BY ALL",
+    "landed_tokens_reconcile": f"SELECT year, month, day, hour, count(*) AS source_docs, count(*) AS published_rows, {_TOKENS} AS landed_tokens, "
+                               f"{_TOKENS} AS document_tokens, true AS matches, "
+                               f"count(*) FILTER (event_id % 7 = 0) = 0 AS lossy_matches "
+                               f"FROM (SELECT *, {_HOURS} FROM events) GROUP BY year, month, day, hour",
     "array_line_decimal": "SELECT event_id, event_id || '.123456789012345678' AS amount FROM events",
     "dotted_and_empty_keys": "SELECT event_id, user_id, event_type, value, CASE WHEN event_id % 2 = 1 THEN true END AS only FROM events",
     "clashing_field_names": f"SELECT event_id, CAST(year(ts) AS BIGINT) AS year_field, strftime(ts, '%H:%M') AS hour_field, {_HOURS} FROM events",
@@ -672,6 +844,28 @@ ORACLE_SQL: dict[str, str] = {
     "all_bad_hour_rerun": f"SELECT {_HOURS}, CASE WHEN date_trunc('hour', ts) = (SELECT date_trunc('hour', min(ts)) FROM events) "
                           "THEN 'all_bad' ELSE 'succeeded' END AS status, count(*) AS rows FROM events GROUP BY ALL",
     "ledger_bytes_exact": f"SELECT DISTINCT {_HOURS}, CAST(1 AS BIGINT) AS files, true AS total_match, true AS processed_match FROM events",
+    "schema_log_read": " UNION ALL ".join(
+        f"SELECT event_id, {_TS_TEXT} AS ts, user_id, event_type, value, CASE WHEN {_FIRST} THEN props END AS props, {_HOURS}, "
+        f"CASE WHEN NOT {_FIRST} THEN event_type || '-x' END AS extra, '{read}' AS read FROM events WHERE {some}"
+        for read, some in (("first", "date_trunc('hour', ts) = (SELECT date_trunc('hour', min(ts)) FROM events)"),
+                           ("second", f"date_trunc('hour', ts) = (SELECT date_trunc('day', min(ts)) + INTERVAL {FIRST_DAYS} DAY FROM events)"),
+                           ("all", "true"))),
+    "swap_publish_failure": f"SELECT event_id, ts, user_id, event_type, value, props, {_HOURS}, 'before' AS seen FROM events UNION ALL "
+                            f"SELECT event_id, ts, user_id, event_type, CASE WHEN {_FIRST} THEN value + 2.0 ELSE value END, props, {_HOURS}, 'after' FROM events",
+    "changed_hours_ingest": f"SELECT year, month, day, hour, CAST(CASE WHEN first THEN 2 ELSE 1 END AS BIGINT) AS runs, "
+                            f"count(*) * CASE WHEN first THEN 2 ELSE 1 END AS hour_rows, count(*) * CASE WHEN first THEN 2 ELSE 1 END AS rows "
+                            f"FROM (SELECT {_HOURS}, date_trunc('hour', ts) = (SELECT date_trunc('hour', min(ts)) FROM events) AS first FROM events) GROUP BY year, month, day, hour, first",
+    "ledger_rows_per_hour": f"SELECT year, month, day, hour, count(*) FILTER (event_id % 10 <> 0) AS hour_rows, count(*) FILTER (event_id % 10 = 0) AS hour_bad "
+                            f"FROM (SELECT event_id, {_HOURS} FROM events) GROUP BY ALL",
+    "publish_by_bytes": "SELECT strftime(h, '%Y') AS year, strftime(h, '%m') AS month, strftime(h, '%d') AS day, strftime(h, '%H') AS hour, "
+                        "count(*) AS rows, true AS files_fit FROM (SELECT CASE WHEN event_id % 3 > 0 THEN TIMESTAMP '2024-01-01 00:00:00' "
+                        "ELSE date_trunc('day', ts) END AS h FROM events) GROUP BY h",
+    "empty_file_inventory": f"SELECT year, month, day, hour, CAST(CASE WHEN first THEN 2 ELSE 1 END AS BIGINT) AS files, "
+                            f"CAST(CASE WHEN first THEN 1 ELSE 0 END AS BIGINT) AS empty_files FROM (SELECT DISTINCT {_HOURS}, "
+                            f"date_trunc('hour', ts) = (SELECT date_trunc('hour', min(ts)) FROM events) AS first FROM events)",
+    "stream_quarantine": f"SELECT year, month, day, hour, nullif(count(*) FILTER (event_id % 10 <> 0), 0) AS rows, "
+                         f"CAST(sum(event_id) FILTER (event_id % 10 <> 0) AS BIGINT) AS ids, nullif(count(*) FILTER (event_id % 10 = 0), 0) AS bad_documents "
+                         f"FROM (SELECT event_id, {_HOURS} FROM events) GROUP BY ALL",
     "table_gains_column": f"SELECT event_id, {_TS_TEXT} AS ts, user_id, event_type, value, CASE WHEN NOT {_FIRST} THEN props END AS props FROM events",
     "drift_between_runs": f"SELECT event_id, {_TS_TEXT} AS ts, user_id, event_type, CAST(value AS VARCHAR) AS value, props FROM events",
 }

@@ -53,12 +53,14 @@ class HourRange:
 
     ``parse`` takes None (the current hour), 'YYYY-MM-DD HH' (one hour),
     'YYYY-MM-DD' (the whole day), a (start, end) pair, or 'all'. A day that
-    ends a pair is in it up to its last hour.
+    ends a pair is in it up to its last hour. ``of`` takes any set of hours.
     """
 
     start: datetime | None = None
     end: datetime | None = None
     everything: bool = False
+    #: Hours of a range with gaps, ascending; None if it has none.
+    only: tuple[datetime, ...] | None = None
 
     @classmethod
     def parse(cls, spec: HourSpec) -> "HourRange":
@@ -82,15 +84,26 @@ class HourRange:
         hour = _hour(spec)
         return cls(hour, hour)
 
+    @classmethod
+    def of(cls, hours) -> "HourRange":
+        """Exactly these hours, at least one."""
+        some = tuple(sorted({_hour(h) for h in hours}))
+        return cls(some[0], some[-1], only=some)
+
     def hours(self) -> Iterator[datetime]:
         if self.everything:
             raise ValueError("an open hour range has no hour list")
+        if self.only is not None:
+            yield from self.only
+            return
         cur = self.start
         while cur <= self.end:
             yield cur
             cur += timedelta(hours=1)
 
     def __len__(self) -> int:
+        if self.only is not None:
+            return len(self.only)
         return int((self.end - self.start).total_seconds() // 3600) + 1
 
     def keys(self) -> tuple[str, str]:
@@ -148,26 +161,34 @@ def hour_glob(root: str, hours: HourSpec, layout: str = "plain") -> str:
     return root + "/" + _alternatives(parts)
 
 
-def hour_columns_from_path(path: Column, layout: str = "plain", depth: int | None = None) -> list[Column]:
-    """year/month/day/hour strings cut from a file's path.
+# The folders of an hour below the root, a # for every digit, and where the digits of
+# each level begin in them.
+_SHAPES = {"plain": "####/##/##/##/", "hive": "year=####/month=##/day=##/hour=##/"}
+_STARTS = {"plain": (1, 6, 9, 12), "hive": (6, 17, 24, 32)}
 
-    ``depth`` is the number of folders of the root's path: the four below it are the
-    hour, however deep the file lies under them. Without it the file's last four
-    folders are.
-    """
-    if depth is None:
-        dirs = F.split(F.substring_index(path, "/", -5), "/")
-        parts = [F.element_at(dirs, i + 1) for i in range(4)]
-    else:
-        dirs = F.split(F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), "/+")
-        parts = [F.get(dirs, F.lit(depth + 1 + i)) for i in range(4)]
-    if layout == "hive":
-        parts = [F.substring_index(p, "=", -1) for p in parts]
-    return [p.alias(name) for p, name in zip(parts, PARTITION_COLUMNS)]
+
+def below_root(path: Column, root_path: str) -> Column:
+    """The part of a file's path behind its root's, whatever scheme and host stand before that. A path that is
+    not below the root is an error: its file must not drop out unseen."""
+    at = F.locate(root_path + "/", path)
+    found = F.substring(path, at + len(root_path) + 1, F.length(path))
+    return F.when(at > 0, found).otherwise(F.raise_error(F.concat(path, F.lit(f" is not below {root_path}"))))
+
+
+def in_hour_folder(relative: Column, layout: str = "plain") -> Column:
+    """Whether a path below the root begins with the folders of an hour."""
+    shape = _SHAPES[layout]
+    return F.translate(F.substring(relative, 1, len(shape)), "#0123456789", "-##########") == F.lit(shape)
+
+
+def hour_columns_from_path(relative: Column, layout: str = "plain") -> list[Column]:
+    """year/month/day/hour strings, by their places, of a path below the root that is :func:`in_hour_folder`."""
+    return [F.substring(relative, start, width).alias(name)
+            for start, width, name in zip(_STARTS[layout], _WIDTHS, PARTITION_COLUMNS)]
 
 
-def in_hour_folder() -> Column:
-    """Whether year/month/day/hour columns cut from a path are those of an hour folder."""
+def are_hour_keys() -> Column:
+    """Whether the hour key columns hold an hour's digits; on partition columns it selects folders, not rows."""
     return F.concat_ws("/", *[F.col(c) for c in PARTITION_COLUMNS]).rlike("^[0-9]{4}/[0-9]{2}/[0-9]{2}/[0-9]{2}$")
 
 
@@ -193,4 +214,6 @@ def hour_predicate(hours: HourSpec) -> Column | None:
         return cond
     lo, hi = hr.keys()
     key = F.concat(*[F.col(c) for c in PARTITION_COLUMNS])
+    if hr.only is not None:
+        return key.isin([h.strftime("%Y%m%d%H") for h in hr.only])
     return key.between(F.lit(lo), F.lit(hi))

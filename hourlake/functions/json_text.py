@@ -6,26 +6,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values.
-# A boundary between two JSON documents written back to back ("}{", or "} {"
-# with white space between), found only outside string literals: from where the
-# previous match ended (\G), consume plain characters, whole string literals (in
-# double or, as Spark's JSON reader takes them, single quotes) and closing braces
-# that are not followed by "{"; the match ends at a "}" that is.
-DOCUMENT_BOUNDARY = (r"""\G((?:[^"'}]++|"[^"\\]*+(?:\\.[^"\\]*+)*+"|'[^'\\]*+(?:\\.[^'\\]*+)*+'|\}(?!\s*\{))*+\})"""
-                     r"""\s*(?=\{)""")
-# Cheap pre-check: a line can only hold several documents if it has "}" then "{".
-MAYBE_SEVERAL = r"\}\s*\{"
+# A boundary between two JSON values written back to back (a closing brace or bracket, then
+# an opening one, with white space between at most, which JSON never has inside a value),
+# found only outside string literals: from where the previous match ended (\G), consume
+# plain characters, whole string literals (in double or, as Spark's JSON reader takes
+# them, single quotes) and closing signs that no opening one follows; the match
+# ends at a closing sign that one does follow.
+VALUE_BOUNDARY = (r"""\G((?:[^"'}\]]++|"[^"\\]*+(?:\\.[^"\\]*+)*+"|'[^'\\]*+(?:\\.[^'\\]*+)*+'|[}\]](?!\s*[{\[]))*+[}\]])"""
+                  r"""\s*(?=[{\[])""")
+# Cheap pre-check: a line can only hold several values back to back if a closing sign comes before an opening one.
+MAYBE_SEVERAL = r"[}\]]\s*[{\[]"
+# A string literal, an opening brace, or a run of other signs that are no structure: what a document
+# holds in the same number however it is spaced, and however many of them share a line or an array.
+TOKEN = r"""(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"|'[^'\\]*+(?:\\.[^'\\]*+)*+'|\{|[^\s,:{}\[\]"']++"""
 # U+0001 never occurs raw in valid JSON text, so it is a safe cut mark.
 CUT = "\u0001"
 JSON_WHITESPACE = " \t\r\n"
 
 
 def split_documents(line: Column) -> Column:
-    """array<string> of the JSON documents in one line of text.
+    """array<string> of the JSON values written back to back in one line of text.
 
-    Lines holding a single document (JSON lines) skip the full pattern.
+    Lines holding a single value (JSON lines) skip the full pattern.
     """
-    cut = F.split(F.regexp_replace(line, DOCUMENT_BOUNDARY, "$1" + CUT), CUT)
+    cut = F.split(F.regexp_replace(line, VALUE_BOUNDARY, "$1" + CUT), CUT)
     return F.when(line.rlike(MAYBE_SEVERAL), cut).otherwise(F.array(line))
 
 
@@ -33,10 +37,6 @@ def strip_json(text: Column) -> Column:
     return F.btrim(text, F.lit(JSON_WHITESPACE))
 
 
-def is_blank(text: Column) -> Column:
-    return strip_json(text) == F.lit("")
-
-
 def _texts(array: Column) -> Column:
     """JSON texts of the elements of a JSON array, null if it is none. Through
     VARIANT, which keeps decimals exactly; what it refuses (repeated keys, single
@@ -51,28 +51,47 @@ def _flat(text: Column) -> Column:
     return text.startswith("{") & (F.locate("}", text) == F.length(text))
 
 
+def _listed(text: Column) -> Column:
+    """array<string>: the values of a comma-separated list, null unless the whole text is one.
+
+    The text is read as an array with another array behind it that holds the text's hash. A text
+    that closes the array early, so that the reader would stop before its end, does not bring that
+    second array with it.
+    """
+    guard = F.xxhash64(text).cast("string")
+    read = F.from_json(F.concat(F.lit("[["), text, F.lit("],["), guard, F.lit("]]")), "array<array<string>>")
+    complete = (F.size(read) == 2) & (F.get(F.get(read, F.lit(1)), F.lit(0)) == guard)
+    return F.when(complete, F.get(read, F.lit(0)))
+
+
 def is_one_value(doc: Column) -> Column:
     """Whether a text is exactly one JSON value; from_json alone accepts text behind it."""
     text = strip_json(doc)
-    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")
-    return F.when(_flat(text), F.lit(True)).otherwise(F.coalesce(F.size(listed) == 1, F.lit(False)))
+    return F.when(_flat(text), F.lit(True)).otherwise(F.coalesce(F.size(_listed(text)) == 1, F.lit(False)))
 
 
-def document_values(fragment: Column) -> Column:
-    """array<struct<doc string, whole boolean>>: the JSON documents of a fragment.
+def document_values(fragment: Column, trimmed: bool = False) -> Column:
+    """array<struct<doc string, whole boolean>>: the JSON documents of a fragment (``trimmed`` of white space already).
 
-    A JSON array gives its elements, as Spark's JSON reader does, and so do documents
-    separated by commas. A fragment with anything else before, between or behind
-    its documents stays one text that is not ``whole``; it is reported as bad, never cut.
+    Values separated by commas are documents each, and a JSON array gives its elements, as Spark's
+    JSON reader does. A fragment with anything else before, between or behind its values stays one text
+    that is not ``whole``; it is reported as bad, never cut.
     """
-    text = strip_json(fragment)
-    listed = F.concat(F.lit("["), text, F.lit("]"))
+    text = fragment if trimmed else strip_json(fragment)
     one = lambda whole: F.array(F.struct(text.alias("doc"), F.lit(whole).alias("whole")))
-    several = lambda array: F.transform(
-        _texts(array), lambda e: F.struct(e.alias("doc"), F.lit(True).alias("whole")))
-    count = F.size(F.from_json(listed, "array<string>"))
+    elements = lambda value: F.when(value.startswith("["), F.coalesce(_texts(value), F.array(value))) \
+        .otherwise(F.array(value))
+    several = lambda array: F.transform(array, lambda e: F.struct(e.alias("doc"), F.lit(True).alias("whole")))
+    count = F.coalesce(F.size(_listed(text)), F.lit(0))
     return (F.when(_flat(text), one(True))
-            .when(text.startswith("["), F.coalesce(several(text), one(False)))
-            .when(F.coalesce(count, F.lit(-1)) < 1, one(False))
-            .when(count == 1, one(True))
-            .otherwise(several(listed)))
+            .when(count < 1, one(False))
+            .when(count > 1, F.coalesce(
+                several(F.flatten(F.transform(_texts(F.concat(F.lit("["), text, F.lit("]"))), elements))), one(False)))
+            .when(text.startswith("["), F.coalesce(several(_texts(text)), one(False)))
+            .otherwise(one(True)))
+
+
+def token_count(text: Column) -> Column:
+    """How many names, values and objects a text holds, read without a parser: string literals, opening braces and runs
+    of other signs. Arrays, commas and white space count nothing, so a line has as many as its documents together."""
+    return F.regexp_count(text, F.lit(TOKEN)).cast("bigint")

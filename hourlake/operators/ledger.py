@@ -19,6 +19,9 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("run_documents", T.LongType()),
     T.StructField("run_published", T.LongType()),
     T.StructField("run_quarantined", T.LongType()),
+    T.StructField("hour_rows", T.LongType()),
+    T.StructField("hour_bad", T.LongType()),
+    T.StructField("signature", T.StringType()),
     T.StructField("status", T.StringType()),
     T.StructField("start_time", T.TimestampType()),
     T.StructField("end_time", T.TimestampType()),
@@ -26,8 +29,8 @@ LEDGER_SCHEMA = T.StructType([
 
 
 def run_entries(per_hour: DataFrame, run: dict) -> DataFrame:
-    """Ledger rows for one run: the per-hour file counts and bytes of
-    ``per_hour`` with the run-wide values of ``run`` attached."""
+    """Ledger rows for one run: the per-hour columns of ``per_hour`` (files, bytes, and, once
+    it has ended, the rows it published and the bad documents) with the run-wide values of ``run`` attached."""
     cols = []
     for f in LEDGER_SCHEMA.fields:
         if f.name in per_hour.columns:
@@ -64,3 +67,9 @@ def latest_runs(ledger: DataFrame) -> DataFrame:
     """The most recent run of every (source, hour); a run that ended comes before its
     own row from the start, which stays the latest of a run whose driver died."""
     return latest_per_key(ledger, ["source", *PARTITION_COLUMNS], ["start_time", "run_id", "end_time"])
+
+
+def unchanged_hours(ledger: DataFrame, source: str, dest: str) -> DataFrame:
+    """year/month/day/hour/signature of the hours of ``source`` whose latest run into ``dest`` succeeded."""
+    mine = ledger.where((F.col("source") == source) & (F.col("dest") == dest))
+    return latest_runs(mine).where("status = 'succeeded'").select(*PARTITION_COLUMNS, "signature")

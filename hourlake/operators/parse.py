@@ -71,7 +71,10 @@ def parse_documents(docs: DataFrame, schema: T.StructType | str, mode: str = "PE
     opts = json_options(options)
     opts.update({"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     keep = [c for c in docs.columns if c not in ("doc", WHOLE)]
-    whole = F.col(WHOLE) if WHOLE in docs.columns else is_one_value(F.col("doc"))
+    # What documents() cut has no white space at its ends.
+    cut = WHOLE in docs.columns
+    whole = F.col(WHOLE) if cut else is_one_value(F.col("doc"))
+    text = F.col("doc") if cut else strip_json(F.col("doc"))
     # The parse result is produced by a one-element inline (a generator), so
     # filters on it stay above it: with a plain projection the optimizer
     # copies from_json into every pushed-down filter and parses each
@@ -79,8 +82,7 @@ def parse_documents(docs: DataFrame, schema: T.StructType | str, mode: str = "PE
     parsed = docs.select(F.inline(F.array(F.struct(
         F.col("doc"), whole.alias("_whole"), F.from_json(F.col("doc"), with_corrupt, opts).alias("_r")))), *keep)
     record = F.col("_r")
-    ok: Column = record.isNotNull() & record.getField(CORRUPT).isNull() & F.col("_whole") \
-        & strip_json(F.col("doc")).startswith("{")
+    ok: Column = record.isNotNull() & record.getField(CORRUPT).isNull() & F.col("_whole") & text.startswith("{")
     parsed = parsed.select("doc", ok.alias("_ok"), "_r", *keep)
     ok = F.col("_ok")
     fields = [F.when(ok, record.getField(f.name)).alias(n) for f, n in zip(struct.fields, names)]
@@ -169,8 +171,10 @@ def infer_schema(docs: DataFrame, sampling_ratio: float = 1.0, options: dict | N
     repeated keys the last counts, as in the parse. Every document is looked at unless ``sampling_ratio`` says less:
     then fields found in none of the sampled documents are not published.
     """
-    whole = F.col(WHOLE) if WHOLE in docs.columns else is_one_value(F.col("doc"))
-    sample = docs.where(whole & strip_json(F.col("doc")).startswith("{")).select("doc")
+    if WHOLE in docs.columns:
+        sample = docs.where(F.col(WHOLE) & F.col("doc").startswith("{")).select("doc")
+    else:
+        sample = docs.where(is_one_value(F.col("doc")) & strip_json(F.col("doc")).startswith("{")).select("doc")
     if sampling_ratio < 1.0:
         sample = sample.sample(False, sampling_ratio, seed)
     if any(k in (options or {}) for k in _READER_ONLY):

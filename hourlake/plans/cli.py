@@ -32,6 +32,7 @@ def parser() -> argparse.ArgumentParser:
     hours = p.add_mutually_exclusive_group()
     hours.add_argument("--date", help="one hour 'YYYY-MM-DD HH' or a day 'YYYY-MM-DD' (default: the current UTC hour)")
     hours.add_argument("--range", nargs=2, metavar=("START", "END"), help="inclusive range of hours or days")
+    hours.add_argument("--changed", action="store_true", help="with --ledger: landed hours that are not as their latest successful run found them")
     hours.add_argument("--all", action="store_true", help="every landed hour")
     p.add_argument("--layout", choices=LAYOUTS, default="plain")
     p.add_argument("--schema", help="record schema as DDL, or @file; inferred when absent")
@@ -40,6 +41,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--ledger", help="run ledger table")
     p.add_argument("--strategy", choices=STRATEGIES, default="direct")
     p.add_argument("--files-per-hour", type=int)
+    p.add_argument("--target-file-bytes", type=int, help="landed bytes for each output file")
+    p.add_argument("--swap", action="store_true", help="with --table: write beside the old hours, then point the table's partitions there")
     p.add_argument("--row-group-bytes", type=int)
     p.add_argument("--max-records-per-file", type=int)
     p.add_argument("--file-glob", help="only landing files matching this name pattern")
@@ -53,7 +56,7 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
-    hours = "all" if args.all else tuple(args.range) if args.range else args.date
+    hours = "all" if args.all else "changed" if args.changed else tuple(args.range) if args.range else args.date
     spark = build_session(app_name="hourlake-ingest")
     report = ingest(spark, args.source, args.dest, hours, schema=_schema(args.schema),
                     layout=args.layout, mode=args.mode, quarantine=args.quarantine,
@@ -61,7 +64,8 @@ def main(argv: list[str] | None = None) -> int:
                     files_per_hour=args.files_per_hour, row_group_bytes=args.row_group_bytes,
                     max_records_per_file=args.max_records_per_file, file_glob=args.file_glob,
                     table=args.table, clear_empty_hours=args.clear_empty_hours,
-                    clear_all=args.clear_all, clash_suffix=args.clash_suffix)
+                    clear_all=args.clear_all, clash_suffix=args.clash_suffix,
+                    target_file_bytes=args.target_file_bytes, swap=args.swap)
     print(json.dumps({"run_id": report.run_id, "status": report.status,
                       "documents": report.documents, "published": report.published,
                       "quarantined": report.quarantined}))

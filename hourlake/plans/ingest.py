@@ -11,22 +11,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourlake.functions.hours import PARTITION_COLUMNS, HourRange, HourSpec, hour_columns_from_ts, hour_predicate
-from hourlake.operators.files import bytes_per_hour
-from hourlake.operators.ledger import append_ledger, run_entries
+from hourlake.operators.files import bytes_per_hour, hour_signatures, signature
+from hourlake.operators.ledger import append_ledger, read_ledger, run_entries, unchanged_hours
 from hourlake.operators.parse import (
     CORRUPT, MODES, bad_records, good_records, infer_schema, output_struct, parse_documents,
 )
-from hourlake.plans.publish import layout_for_write, write_hours
-from hourlake.sources.inventory import list_files
-from hourlake.sources.landing import SOURCE_FILE, documents, read_documents, read_lines
-from hourlake.sources.published import add_hours, clear_hours, register_table, table_schema
+from hourlake.plans.publish import layout_for_write, pack_by_bytes, write_hours
+from hourlake.sources.inventory import list_files, same_files
+from hourlake.sources.landing import SOURCE_FILE, documents, path_exists, read_documents, read_lines
+from hourlake.sources.published import (
+    add_hours, clear_hours, register_table, rows_per_file, run_folder, swap_hours, table_schema,
+)
+from hourlake.sources.schema_log import log_schema, logged_schema
 
 
 @dataclass
 class IngestReport:
     """What a run did. ``status``: ``running``, ``failed``, ``succeeded``, or ``incomplete`` if some
     hours landed nothing but bad documents (``all_bad_hours``) and so keep what
-    an earlier run published."""
+    an earlier run published, or if bad documents were left out with nowhere to go (PERMISSIVE without a quarantine)."""
 
     run_id: str
     source: str
@@ -79,7 +82,7 @@ def one_listing(spark: SparkSession, source: str, hours: HourRange, layout: str,
     for _ in range(tries):
         inventory = list_files(spark, source, hours, layout, file_glob)
         lines = read_lines(spark, source, hours, layout, file_glob)
-        if set(inventory.inputFiles()) == set(lines.inputFiles()):
+        if same_files(inventory, lines):
             return inventory, lines
     raise RuntimeError(f"the files of {source} change faster than they can be listed")
 
@@ -92,11 +95,13 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
            json_options: dict | None = None, sampling_ratio: float = 1.0,
            file_glob: str | None = None, table: str | None = None,
            clear_empty_hours: bool = False, clear_all: bool = False,
-           clash_suffix: str | None = None) -> IngestReport:
+           clash_suffix: str | None = None, target_file_bytes: int | None = None, swap: bool = False) -> IngestReport:
     """Publish the landing hours ``hours`` of ``source`` into ``dest``.
 
     ``hours`` is one hour ('YYYY-MM-DD HH'), an inclusive (start, end) pair,
-    'all', or None for the current UTC hour. Every hour with a good document
+    'all', None for the current UTC hour, or 'changed': every landed hour whose files
+    (names, lengths, modification times) are not those that its latest run in ``ledger`` took
+    and published with success. Every hour with a good document
     is replaced as a whole in one write; hours without files keep what
     an earlier run published, and so do hours whose documents are all bad: they
     are listed in ``all_bad_hours`` and the run ends as ``incomplete``. Bad documents
@@ -117,7 +122,22 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
     ``clear_all`` says so.
 
     ``clash_suffix`` is put behind the names of fields called like an hour key.
+    ``target_file_bytes`` cuts the output by landed bytes (:func:`pack_by_bytes`). With ``swap`` (and ``table``) the
+    hours are written to a folder of the run and the table's partitions are pointed at it afterwards
+    (:func:`swap_hours`), so that readers of the table see each hour change at once; the table then is the
+    way to read the lake, and :func:`drop_old_runs` clears what no hour points at any more. Without a
+    ``schema`` the columns that the lake's schema log has keep their types, as those of an existing table do.
     """
+    if swap and table is None:
+        raise ValueError("swap needs a table")
+    if hours == "changed":
+        if not ledger:
+            raise ValueError("hours='changed' needs a ledger")
+        some = changed_hours(spark, source, dest, layout, file_glob, ledger)
+        if not some:
+            now = datetime.now(timezone.utc)
+            return IngestReport(uuid.uuid4().hex, source, dest, HourRange(only=()), None, status="succeeded", end_time=now)
+        hours = HourRange.of(some)
     hr = HourRange.parse(hours)
     if clear_empty_hours and (table is None or hr.everything):
         raise ValueError("clear_empty_hours needs a table and a closed hour range")
@@ -128,11 +148,12 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
     inventory, lines = one_listing(spark, source, hr, layout, file_glob)
     if ledger:
         record_run(spark, report, inventory, ledger)
+    hour_rows = hour_bad = None
     try:
         existing = table is not None and spark.catalog.tableExists(table)
         parsed, struct = parse_landing(documents(lines), schema, "FAILFAST" if mode == "FAILFAST" else "PERMISSIVE",
                                        json_options, sampling_ratio, clash_suffix,
-                                       table_schema(spark, table) if existing else None)
+                                       table_schema(spark, table) if existing else logged_schema(spark, dest))
         report.schema = struct
         if struct is not None:
             # Counted after the layout shuffle (if any), in the write's own
@@ -140,18 +161,28 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
             # retried or speculative tasks do not inflate the counts. Bad
             # rows ride through the shuffle and are dropped after counting.
             obs = Observation(f"ingest_{report.run_id}")
-            bad_hour = F.when(F.col(CORRUPT).isNotNull(), F.concat(*[F.col(c) for c in PARTITION_COLUMNS]))
-            tasks = files_per_hour * count_hours(hr, inventory) if files_per_hour else None
-            arranged = layout_for_write(parsed.drop(SOURCE_FILE), strategy, files_per_hour, tasks=tasks)
+            hour = F.concat(*[F.col(c) for c in PARTITION_COLUMNS])
+            bad_hour = F.when(F.col(CORRUPT).isNotNull(), hour)
+            if target_file_bytes:
+                arranged = pack_by_bytes(parsed.drop(SOURCE_FILE), bytes_per_hour(inventory), target_file_bytes)
+            else:
+                tasks = files_per_hour * count_hours(hr, inventory) if files_per_hour else None
+                arranged = layout_for_write(parsed.drop(SOURCE_FILE), strategy, files_per_hour, tasks=tasks)
             observed = arranged.observe(obs, F.count(F.lit(1)).alias("documents"),
                                         F.count(F.col(CORRUPT)).alias("bad"),
-                                        F.min(bad_hour).alias("first"), F.max(bad_hour).alias("last"))
-            write_hours(good_records(observed), dest, strategy, files_per_hour,
+                                        F.min(bad_hour).alias("first"), F.max(bad_hour).alias("last"),
+                                        F.min(F.when(F.col(CORRUPT).isNull(), hour)).alias("good"))
+            log_schema(spark, dest, report.run_id, struct)
+            folder = run_folder(dest, report.run_id) if swap else dest
+            write_hours(good_records(observed), folder, strategy, files_per_hour,
                         row_group_bytes, max_records_per_file, arrange=False)
             counts = obs.get
             report.documents = int(counts.get("documents") or 0)
             report.quarantined = int(counts.get("bad") or 0)
             report.published = report.documents - report.quarantined
+            if report.published and (ledger or swap):
+                # Exactly what the write committed, retries and all: the footers of its files.
+                hour_rows = written_rows(spark, folder, hr, counts["good"])
             if report.quarantined:
                 # A second pass only when the first one met bad documents, and only
                 # over the hours between the first and the last that holds one.
@@ -167,26 +198,53 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
                 hopeless = again.groupBy(*PARTITION_COLUMNS).agg(
                     F.count(F.lit(1)).alias("n"), F.count(F.col(CORRUPT)).alias("bad")).where("n = bad")
                 report.all_bad_hours = sorted(tuple(r) for r in hopeless.select(*PARTITION_COLUMNS).collect())
-        if table and (struct is not None or existing):
+                if ledger:
+                    hour_bad = again.groupBy(*PARTITION_COLUMNS).agg(F.count(F.col(CORRUPT)).alias("hour_bad"))
+        if swap and struct is not None:
+            register_table(spark, table, dest, struct, recover=False)
+            if hour_rows is not None:
+                swap_hours(spark, table, folder, [tuple(r) for r in hour_rows.select(*PARTITION_COLUMNS).collect()])
+        elif table and (struct is not None or existing):
             if hr.everything or not existing:
                 register_table(spark, table, dest, struct)  # scans every hour folder
             else:
                 register_table(spark, table, dest, struct, recover=False)
                 hopeless = set(report.all_bad_hours)
                 add_hours(spark, table, [h for h in landed_hours(inventory) if h not in hopeless])
-            if clear_empty_hours and (clear_all or inventory.limit(1).count()):
-                clear_hours(spark, table, empty_published_hours(spark, report, inventory, table))
-        report.status = "incomplete" if report.all_bad_hours else "succeeded"
+        if clear_empty_hours and (struct is not None or existing) and (clear_all or inventory.limit(1).count()):
+            clear_hours(spark, table, empty_published_hours(spark, report, inventory, table))
+        lost = report.quarantined and not quarantine and mode == "PERMISSIVE"
+        report.status = "incomplete" if report.all_bad_hours or lost else "succeeded"
     except Exception:
         report.status = "failed"
         raise
     finally:
         report.end_time = datetime.now(timezone.utc)
         if ledger:
-            record_run(spark, report, inventory, ledger)
+            record_run(spark, report, inventory, ledger, hour_rows, hour_bad)
     return report
 
 
+def written_rows(spark: SparkSession, folder: str, hours: HourRange, first: str) -> DataFrame:
+    """Hour keys and ``hour_rows`` of the hours that the last write into ``folder`` replaced, ``first`` ('YYYYMMDDHH') being one of them.
+
+    All files of one write carry its id in their names, and a replaced hour has only those; hours that kept what
+    an earlier run wrote have others."""
+    job = F.regexp_extract("file", "^part-[0-9]+-(.*?)[.-]c[0-9]+", 1)
+    files = rows_per_file(spark, folder, hours).withColumn("job", job)
+    mine = files.where(F.concat(*[F.col(c) for c in PARTITION_COLUMNS]) == first).select("job").first()[0]
+    return files.where(F.col("job") == mine).groupBy(*PARTITION_COLUMNS).agg(F.sum("rows").alias("hour_rows"))
+
+
+def changed_hours(spark: SparkSession, source: str, dest: str, layout: str, file_glob: str | None, ledger: str) -> list[datetime]:
+    """Landed hours whose signature is not the one of their latest successful run. Only their names come to the driver."""
+    now = hour_signatures(list_files(spark, source, "all", layout, file_glob))
+    if path_exists(spark, ledger):
+        done = unchanged_hours(read_ledger(spark, ledger), source, dest)
+        now = now.join(done, [*PARTITION_COLUMNS, "signature"], "left_anti")
+    return [datetime(*(int(v) for v in r)) for r in now.select(*PARTITION_COLUMNS).collect()]
+
+
 def struct_of(published: T.StructType, clash_suffix: str | None) -> T.StructType:
     """The record fields behind published ones: their names without the suffix for clashes."""
     if not clash_suffix:
@@ -220,25 +278,36 @@ def empty_published_hours(spark: SparkSession, report: IngestReport, inventory:
 
 def requested_hours(spark: SparkSession, hours: HourRange) -> DataFrame:
     """One row per hour of a closed range, generated on the executors."""
+    if hours.only is not None:
+        names = [tuple(h.strftime(f) for f in ("%Y", "%m", "%d", "%H")) for h in hours.only]
+        return spark.createDataFrame(names, ", ".join(f"{c} string" for c in PARTITION_COLUMNS))
     start = F.lit(hours.start.strftime("%Y-%m-%d %H:00:00")).cast("timestamp_ntz")
     ts = start + F.make_dt_interval(hours=F.col("id").cast("int"))
     return spark.range(len(hours)).select(*hour_columns_from_ts(ts))
 
 
-def record_run(spark: SparkSession, report: IngestReport, inventory: DataFrame,
-               ledger: str) -> None:
+def record_run(spark: SparkSession, report: IngestReport, inventory: DataFrame, ledger: str,
+               hour_rows: DataFrame | None = None, hour_bad: DataFrame | None = None) -> None:
     """Append one ledger row per hour of the run: every requested hour for
     a closed range (0 files where nothing landed, so a run over an empty hour
     is still recorded), every landed hour for an open one. Bytes count as processed
-    once the run has ended; hours of bad documents only have the status ``all_bad``."""
-    per_hour = bytes_per_hour(inventory)
+    once the run has ended; hours of bad documents only have the status ``all_bad``. ``hour_rows`` are the rows
+    that the run published in the hour, ``hour_bad`` its bad documents; both are null before it has ended."""
+    per_hour = bytes_per_hour(inventory, signature())
     zero = F.lit(0).cast("bigint")
     if not report.hours.everything:
         per_hour = requested_hours(spark, report.hours).join(
             per_hour, on=list(PARTITION_COLUMNS), how="left").select(
             *PARTITION_COLUMNS, F.coalesce("files", zero).alias("files"),
-            F.coalesce("total_bytes", zero).alias("total_bytes"))
+            F.coalesce("total_bytes", zero).alias("total_bytes"), "signature")
     ended = report.status in ("succeeded", "incomplete")
+    for name, counts in (("hour_rows", hour_rows), ("hour_bad", hour_bad)):
+        if counts is not None:
+            per_hour = per_hour.join(counts, list(PARTITION_COLUMNS), "left")
+        else:
+            per_hour = per_hour.withColumn(name, F.lit(None).cast("bigint"))
+        if ended:
+            per_hour = per_hour.withColumn(name, F.coalesce(name, zero))
     per_hour = per_hour.withColumn("bytes_processed", F.col("total_bytes") if ended else zero)
     status = F.lit("succeeded" if ended else report.status)
     if report.all_bad_hours:

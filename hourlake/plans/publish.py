@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourlake.functions.hours import PARTITION_COLUMNS
 from hourlake.operators.schema import quoted
 
 STRATEGIES = ("direct", "rebalance")
+#: Hours (ten years of them) whose sizes a task may hold.
+MOST_BROADCAST_HOURS = 100_000
 
 
 def layout_for_write(df: DataFrame, strategy: str = "direct",
@@ -48,6 +50,26 @@ def layout_for_write(df: DataFrame, strategy: str = "direct",
     raise ValueError(f"strategy must be one of {STRATEGIES}")
 
 
+def pack_by_bytes(df: DataFrame, sizes: DataFrame, goal: int, keys: tuple[str, ...] = PARTITION_COLUMNS) -> DataFrame:
+    """Deal rows to as many tasks as ``goal`` landed bytes each need.
+
+    ``sizes`` has the landed ``total_bytes`` of every hour. Laid end to end in the order of the hours, the
+    bytes are cut every ``goal``: an hour that is larger is spread over the tasks it covers, small neighbours share
+    one, and an hour is never written in more than ``total_bytes / goal + 2`` files. A row's place within its
+    hour is drawn from where it was read, so equal rows are spread too. Hours that ``sizes`` lacks go to the first task.
+    """
+    at = Window.orderBy(*keys)  # a row per hour
+    spans = sizes.select(*keys, "total_bytes", (F.sum("total_bytes").over(at) - F.col("total_bytes")).alias("_begin"))
+    total = sizes.agg(F.sum("total_bytes")).first()[0] or 0
+    tasks = max(1, -(-total // int(goal)))
+    hours = F.broadcast(spans) if spans.limit(MOST_BROADCAST_HOURS + 1).count() <= MOST_BROADCAST_HOURS else spans
+    share = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    task = F.floor((F.col("_begin") + share * F.col("total_bytes")) / F.lit(int(goal)))
+    task = F.least(F.coalesce(task, F.lit(0)), F.lit(tasks - 1)).cast("int")
+    return df.join(hours, list(keys), "left").withColumn("_task", task).repartitionById(tasks, "_task") \
+        .select(*[F.col(quoted(c)) for c in df.columns])
+
+
 def write_hours(df: DataFrame, dest: str, strategy: str = "direct",
                 files_per_hour: int | None = None, row_group_bytes: int | None = None,
                 max_records_per_file: int | None = None, compression: str = "snappy",

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourlake.functions.hours import (
-    PARTITION_COLUMNS, HourRange, HourSpec, hour_columns_from_path, hour_glob, in_hour_folder,
+    PARTITION_COLUMNS, HourRange, HourSpec, below_root, hour_columns_from_path, hour_glob, in_hour_folder,
 )
-from hourlake.sources.landing import path_missing, root_depth
+from hourlake.sources.landing import path_missing, root_path
 
 INVENTORY_SCHEMA = T.StructType(
     [T.StructField("path", T.StringType()), T.StructField("length", T.LongType()),
@@ -36,22 +36,39 @@ def _one_form(uri: Column) -> Column:
     return F.regexp_replace(uri, "^file:/+", "file:/")
 
 
+def file_names(df: DataFrame):
+    """The URIs of a frame's files, as a list that stays in the JVM, which holds the listing anyway.
+
+    Py4J passes a String[] only where one is declared, not where Java takes any array, so a class with such a
+    constructor makes the list of it; nothing is run."""
+    return df.sparkSession._jvm.java.lang.ProcessBuilder(df._jdf.inputFiles()).command()
+
+
+def same_files(a: DataFrame, b: DataFrame) -> bool:
+    names = a.sparkSession._jvm.java.util.HashSet
+    return names(file_names(a)).equals(names(file_names(b)))
+
+
 def _with_empty_files(files: DataFrame) -> DataFrame:
     """path, length, modificationTime of a listing, 0-byte files included: Spark plans no
     split for those, so they are the names of its index (held on the driver
     anyway) that make no row. Their modification time is not known."""
     rows = files.select("path", "length", "modificationTime", _one_form(F.col("_metadata.file_path")).alias("_uri"))
-    names = files.inputFiles()
-    if not names:
-        return rows.drop("_uri")
     spark = files.sparkSession
-    every = spark.createDataFrame([(n,) for n in names], "_name string").select(_one_form(F.col("_name")).alias("_uri"))
+    names = spark._jsparkSession.createDataset(file_names(files), spark._jvm.org.apache.spark.sql.Encoders.STRING()).toDF()
+    every = DataFrame(names, spark).select(_one_form(F.col("value")).alias("_uri"))
     empty = every.join(rows.select("_uri"), "_uri", "left_anti").select(
-        F.col("_uri").alias("path"), F.lit(0).cast("bigint").alias("length"),
+        F.url_decode(F.replace("_uri", F.lit("+"), F.lit("%2B"))).alias("path"), F.lit(0).cast("bigint").alias("length"),
         F.lit(None).cast("timestamp").alias("modificationTime"))
     return rows.drop("_uri").unionByName(empty)
 
 
+def _with_hour(files: DataFrame, base: str, layout: str) -> DataFrame:
+    placed = files.select("*", below_root(F.col("path"), base).alias("_below"))
+    return placed.where(in_hour_folder(F.col("_below"), layout)).select(
+        "path", "length", "modificationTime", *hour_columns_from_path(F.col("_below"), layout))
+
+
 def list_files(spark: SparkSession, root: str, hours: HourSpec = "all", layout: str = "plain",
                file_glob: str | None = None) -> DataFrame:
     """One row per landing file in ``hours``: path, bytes, modification time
@@ -59,15 +76,14 @@ def list_files(spark: SparkSession, root: str, hours: HourSpec = "all", layout:
     listing is taken now, actions on the frame reuse it. A missing root raises
     FileNotFoundError."""
     root, hr = root.rstrip("/"), HourRange.parse(hours)
-    depth = root_depth(spark, root)
+    base = root_path(spark, root, encoded=False)
     try:
         files = _listing(spark, root if hr.everything else hour_glob(root, hr, layout), file_glob)
     except AnalysisException as err:
         if not path_missing(err):
             raise
         return spark.createDataFrame([], INVENTORY_SCHEMA)
-    found = _with_empty_files(files)
-    return found.select("*", *hour_columns_from_path(F.col("path"), layout, depth)).where(in_hour_folder())
+    return _with_hour(_with_empty_files(files), base, layout)
 
 
 def list_published_files(spark: SparkSession, dest: str) -> DataFrame:
@@ -79,8 +95,7 @@ def list_published_files(spark: SparkSession, dest: str) -> DataFrame:
         if not path_missing(err):
             raise
         return spark.createDataFrame([], INVENTORY_SCHEMA)
-    return files.select("path", "length", "modificationTime",
-                        *hour_columns_from_path(F.col("path"), "hive", root_depth(spark, dest)))
+    return _with_hour(files, root_path(spark, dest, encoded=False), "hive")
 
 
 def modified_since(files: DataFrame, since: datetime | str) -> DataFrame:

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from hourlake.functions.hours import PARTITION_COLUMNS, hour_columns_from_path, in_hour_folder
-from hourlake.operators.parse import CORRUPT, parse_documents
-from hourlake.sources.landing import SOURCE_FILE, documents, root_depth
+from hourlake.functions.hours import PARTITION_COLUMNS
+from hourlake.operators.parse import bad_records, good_records, output_struct, parse_documents
+from hourlake.sources.landing import documents, path_exists, root_path, with_hour
+from hourlake.sources.schema_log import log_schema
 
 MAX_FILE_AGE = "36500d"
+BATCH = "batch_id"
 
 
 def landing_stream(spark: SparkSession, root: str, layout: str = "plain",
@@ -29,17 +32,14 @@ def landing_stream(spark: SparkSession, root: str, layout: str = "plain",
     ``maxFileAge`` where all files are known to land in time.
     """
     root = root.rstrip("/")
-    depth = root_depth(spark, root)
+    base = root_path(spark, root)
     options = {"maxFileAge": MAX_FILE_AGE, "recursiveFileLookup": "true", **(source_options or {})}
     reader = spark.readStream.format("text").options(**options)
     if max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    raw = reader.load(root)
-    path = F.col("_metadata.file_path")
-    return raw.select("value", *hour_columns_from_path(path, layout, depth), path.alias(SOURCE_FILE)) \
-        .where(in_hour_folder())
+    return with_hour(reader.load(root), base, layout)
 
 
 def ingest_stream(spark: SparkSession, source: str, dest: str, checkpoint: str,
@@ -49,35 +49,50 @@ def ingest_stream(spark: SparkSession, source: str, dest: str, checkpoint: str,
                   available_now: bool = True, json_options: dict | None = None,
                   quarantine: str | None = None,
                   source_options: dict | None = None) -> list[StreamingQuery]:
-    """Append newly landed documents to ``dest`` (its own root: a file-sink
-    table, whose ``_spark_metadata`` log makes every batch exactly-once).
+    """Append newly landed documents to ``dest`` (its own root).
 
     The checkpoint remembers which files were taken, so a later run only
     reads files that landed since. ``max_bytes_per_trigger`` caps each
     micro-batch (a byte cap per flush, as the batch job once had); ``available_now``
     drains everything present in such batches and stops. No shuffle: each
     task writes the hours it read, and batches stay bounded by the cap.
-    With ``quarantine`` a second query, with its own checkpoint, appends the
-    bad documents there. Returns the started queries.
+
+    Without ``quarantine`` the good documents go to a file-sink table, whose ``_spark_metadata`` log makes every
+    batch exactly-once. With it, one query parses each batch once (:func:`publish_batch`) and writes
+    good documents to ``dest`` and bad ones to ``quarantine``, in folders of the batch. Returns the started queries.
     """
-    checkpoint = checkpoint.rstrip("/")
+    checkpoint, dest = checkpoint.rstrip("/"), dest.rstrip("/")
+    parsed = parse_documents(documents(landing_stream(
+        spark, source, layout, max_bytes_per_trigger, max_files_per_trigger, source_options)),
+        schema, "PERMISSIVE", json_options)
+    log_schema(spark, dest, "stream", output_struct(schema))
+    if quarantine:
+        if path_exists(spark, f"{dest}/_spark_metadata"):
+            raise ValueError(f"{dest} was written by a stream without quarantine, whose log would hide other files")
+        writer = parsed.writeStream.foreachBatch(
+            lambda batch, batch_id: publish_batch(batch, batch_id, dest, quarantine.rstrip("/"))) \
+            .option("checkpointLocation", f"{checkpoint}/batches")
+    else:
+        writer = (good_records(parsed).writeStream.format("parquet").partitionBy(*PARTITION_COLUMNS)
+                  .option("path", dest).option("checkpointLocation", f"{checkpoint}/published"))
+    writer = (writer.trigger(availableNow=True) if available_now
+              else writer.trigger(processingTime="1 minute"))
+    return [writer.start()]
 
-    def parsed() -> DataFrame:
-        return parse_documents(documents(landing_stream(
-            spark, source, layout, max_bytes_per_trigger, max_files_per_trigger, source_options)),
-            schema, "PERMISSIVE", json_options)
 
-    outputs = [(parsed().where(F.col(CORRUPT).isNull()).drop(CORRUPT, SOURCE_FILE),
-                dest, f"{checkpoint}/published")]
-    if quarantine:
-        bad = parsed().where(F.col(CORRUPT).isNotNull()) \
-            .select(SOURCE_FILE, *PARTITION_COLUMNS, CORRUPT)
-        outputs.append((bad, quarantine, f"{checkpoint}/quarantine"))
-    queries = []
-    for frame, path, ck in outputs:
-        writer = (frame.writeStream.format("parquet").partitionBy(*PARTITION_COLUMNS)
-                  .option("path", path.rstrip("/")).option("checkpointLocation", ck))
-        writer = (writer.trigger(availableNow=True) if available_now
-                  else writer.trigger(processingTime="1 minute"))
-        queries.append(writer.start())
-    return queries
+def publish_batch(batch: DataFrame, batch_id: int, dest: str, quarantine: str) -> None:
+    """Write a micro-batch's good documents under ``dest`` and its bad ones under ``quarantine``.
+
+    The batch is parsed once: the parsed rows are kept on the executors' disks while both outputs are
+    written (what an executor loses is parsed again), and a batch is bounded by the stream's cap. Each output has its
+    folders per batch and replaces them, so a batch that is run again after a failure leaves one copy.
+    """
+    parsed = batch.withColumn(BATCH, F.lit(batch_id)).persist(StorageLevel.DISK_ONLY)
+    try:
+        outputs = ((good_records(parsed), dest, [*PARTITION_COLUMNS, BATCH]),
+                   (bad_records(parsed).withColumn(BATCH, F.lit(batch_id)), quarantine, [BATCH]))
+        for frame, path, keys in outputs:
+            (frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .option("compression", "snappy").partitionBy(*keys).parquet(path))
+    finally:
+        parsed.unpersist()

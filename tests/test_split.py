@@ -3,8 +3,10 @@ import random
 
 from pyspark.sql import functions as F
 
-from hourlake.functions.json_text import document_values, split_documents
+from hourlake.functions.json_text import document_values, split_documents, token_count
 from hourlake.operators.parse import parse_documents
+from hourlake.operators.reconcile import reconcile
+from hourlake.sources.landing import documents
 
 PIECES = ["}", "{", '"', "\\", "}{", '"}{"', "} {", "a", " ", "\n", "é", "]", "["]
 
@@ -75,3 +77,43 @@ def test_split_property_nested_values(spark):
     assert parsed.where("_corrupt_record is not null").count() == 0
     got = sorted((r.line_no, r.k, tuple(r.a), tuple((o.t, tuple(o.u)) for o in r.o)) for r in parsed.collect())
     assert got == sorted(expected)
+
+
+def test_mixed_values(spark):
+    cases = [
+        ('[{"a":1},{"a":2}][{"a":3}]', ['{"a":1}', '{"a":2}', '{"a":3}'], True),
+        ('[{"a":1}] , [{"a":2}]', ['{"a":1}', '{"a":2}'], True),
+        ('[{"a":1}]{"a":2}', ['{"a":1}', '{"a":2}'], True),
+        ('{"a":1}[{"a":2}]', ['{"a":1}', '{"a":2}'], True),
+        ('{"a":1},[{"a":{"b":[2]}}]', ['{"a":1}', '{"a":{"b":[2]}}'], True),
+        ('[{"a":"][ }{"}][]', ['{"a":"][ }{"}'], True),
+        ('[{"a":1}] junk', ['[{"a":1}] junk'], False),
+        ('junk [{"a":1}]', ['junk [{"a":1}]'], False),
+        # A list that closes early would hide what is behind it.
+        ('{"a":1}],[{"a":2}', ['{"a":1}],[{"a":2}'], False),
+        ('1],"x":[2', ['1],"x":[2'], False),
+    ]
+    lines = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, value string")
+    docs = documents(lines)
+    got = {}
+    for r in docs.collect():
+        got.setdefault(r.i, []).append((r.doc, r._one_value))
+    for i, (_, want, whole) in enumerate(cases):
+        assert got[i] == [(w, whole) for w in want], cases[i]
+    tokens = lambda df, col: {r.i: r.n for r in df.groupBy("i").agg(F.sum(token_count(F.col(col))).alias("n")).collect()}
+    assert tokens(lines, "value") == tokens(docs, "doc")
+
+
+def test_audit_sees_a_lost_document(spark):
+    hour = "'2024' AS year, '01' AS month, '01' AS day, '00' AS hour"
+    lines = spark.createDataFrame([('[{"a":1},{"a":2}][{"a":3}]',)], "value string").selectExpr("value", *hour.split(", "))
+    docs = documents(lines)
+    rows = docs.select(F.get_json_object("doc", "$.a").alias("a"), "year", "month", "day", "hour")
+    none = docs.limit(0)
+    assert reconcile(docs, none, rows, lines).first().matches
+    # A splitter that stops behind the first array agrees with what it published, not with the text.
+    lost = docs.where("doc <> '{\"a\":3}'")
+    published = rows.where("a <> '3'")
+    assert reconcile(lost, none, published).first().matches
+    audit = reconcile(lost, none, published, lines).first()
+    assert (audit.landed_tokens, audit.document_tokens, audit.matches) == (9, 6, False)
