@@ -34,7 +34,10 @@ def split_documents(line: Column) -> Column:
 
 
 def strip_json(text: Column) -> Column:
-    return F.btrim(text, F.lit(JSON_WHITESPACE))
+    """``text`` without JSON white space at its ends. Trimming walks through a whole text, so one that begins with an
+    opening and ends with a closing sign is left as it is."""
+    closed = (text.startswith("{") & text.endswith("}")) | (text.startswith("[") & text.endswith("]"))
+    return F.when(closed, text).otherwise(F.btrim(text, F.lit(JSON_WHITESPACE)))
 
 
 def _texts(array: Column) -> Column:
@@ -91,6 +94,14 @@ def document_values(fragment: Column, trimmed: bool = False) -> Column:
             .otherwise(one(True)))
 
 
+def line_documents(line: Column) -> Column:
+    """array<struct<doc string, whole boolean>>: the documents of a line without white space at its ends (and so of
+    fragments without any: a cut takes the white space around it). A line that is one flat object, as most are, is told before any pattern is tried."""
+    one = F.array(F.struct(line.alias("doc"), F.lit(True).alias("whole")))
+    return F.when(_flat(line), one).otherwise(
+        F.flatten(F.transform(split_documents(line), lambda f: document_values(f, trimmed=True))))
+
+
 def token_count(text: Column) -> Column:
     """How many names, values and objects a text holds, read without a parser: string literals, opening braces and runs
     of other signs. Arrays, commas and white space count nothing, so a line has as many as its documents together."""

@@ -75,15 +75,13 @@ def parse_documents(docs: DataFrame, schema: T.StructType | str, mode: str = "PE
     cut = WHOLE in docs.columns
     whole = F.col(WHOLE) if cut else is_one_value(F.col("doc"))
     text = F.col("doc") if cut else strip_json(F.col("doc"))
-    # The parse result is produced by a one-element inline (a generator), so
-    # filters on it stay above it: with a plain projection the optimizer
-    # copies from_json into every pushed-down filter and parses each
-    # document several times.
-    parsed = docs.select(F.inline(F.array(F.struct(
-        F.col("doc"), whole.alias("_whole"), F.from_json(F.col("doc"), with_corrupt, opts).alias("_r")))), *keep)
+    # Filters on the result must stay above the parse: the optimizer copies a plain column's expression into
+    # every filter it pushes down, and would parse each document several times. It does not push
+    # filters below a column that depends on where a row is, as the (always true) last condition does.
+    parsed = docs.select("doc", F.from_json(F.col("doc"), with_corrupt, opts).alias("_r"), whole.alias("_whole"), *keep)
     record = F.col("_r")
     ok: Column = record.isNotNull() & record.getField(CORRUPT).isNull() & F.col("_whole") & text.startswith("{")
-    parsed = parsed.select("doc", ok.alias("_ok"), "_r", *keep)
+    parsed = parsed.select("doc", (ok & (F.spark_partition_id() >= 0)).alias("_ok"), "_r", *keep)
     ok = F.col("_ok")
     fields = [F.when(ok, record.getField(f.name)).alias(n) for f, n in zip(struct.fields, names)]
     bad_text = F.when(ok, F.lit(None).cast("string")).otherwise(F.col("doc"))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from hourlake.functions.hours import (
     PARTITION_COLUMNS, HourRange, HourSpec, are_hour_keys, below_root, hour_columns_from_path, hour_glob, in_hour_folder,
 )
-from hourlake.functions.json_text import document_values, split_documents, strip_json
+from hourlake.functions.json_text import line_documents, strip_json
 
 SOURCE_FILE = "_source_file"
 
@@ -116,10 +116,9 @@ def documents(lines: DataFrame) -> DataFrame:
     Columns: ``doc``, whether it is one JSON value, and the hour keys and source
     file of ``lines``."""
     keep = [c for c in lines.columns if c != "value"]
-    # Trimmed once, before the generator: neither the filter nor the branches behind it do so again.
-    frags = lines.select(F.explode(F.transform(split_documents(F.col("value")), strip_json)).alias("frag"), *keep)
-    frags = frags.where(F.col("frag") != "")
-    values = frags.select(F.explode(document_values(F.col("frag"), trimmed=True)).alias("_v"), *keep)
+    # Trimmed once, below the generator: its branches do not do so again.
+    trimmed = lines.select(strip_json(F.col("value")).alias("value"), *keep).where(F.col("value") != "")
+    values = trimmed.select(F.explode(line_documents(F.col("value"))).alias("_v"), *keep)
     return values.select(F.col("_v.doc").alias("doc"), F.col("_v.whole").alias(WHOLE), *keep)
 
 

@@ -12,6 +12,7 @@ import json
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourlake.functions.hours import PARTITION_COLUMNS
@@ -40,5 +41,5 @@ def log_schema(spark: SparkSession, dest: str, run_id: str, schema: T.StructType
     known = logged_schema(spark, dest)
     if known is not None and common_schema([known, data]) == known:
         return
-    line = [(run_id, datetime.now(timezone.utc).isoformat(), json.dumps(data.jsonValue()))]
-    spark.createDataFrame(line, LOG_SCHEMA).coalesce(1).write.mode("append").json(schema_log_path(dest))
+    line = (("run_id", run_id), ("logged_at", datetime.now(timezone.utc).isoformat()), ("fields", json.dumps(data.jsonValue())))
+    spark.range(1).select(*[F.lit(v).alias(n) for n, v in line]).coalesce(1).write.mode("append").json(schema_log_path(dest))
