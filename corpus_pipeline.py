@@ -31,7 +31,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Words that repeat an earlier 20-word window go, and documents of which nothing is left."""
     ship(spark)
     out = substring_dedup.remove_repeats(docs)
-    return out.where(F.length(F.trim("text")) > 0).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    return out.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

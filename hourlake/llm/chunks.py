@@ -10,6 +10,8 @@ answer comes back as one byte per key in the same order.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -38,6 +40,31 @@ def few(df: DataFrame, most: int = 10_000) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def release() -> None:
+    """Give freed memory of this Python worker back to the system.
+
+    Spark reuses a worker for the tasks of other operators, and what the allocators keep then counts against the executor beside
+    what those need. Token caches are dropped too: an operator that tokenizes does not call this before its end.
+    """
+    if (tokens := sys.modules.get("hourlake.llm.tokens")) is not None:
+        tokens.forget()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
+
+
+def tidy(function: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``function`` over the batches of a task, with :func:`release` before and behind it."""
+    def run(batches):
+        release()
+        yield from function(batches)
+        release()
+
+    return run
+
+
 def slices(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive rows with about ``limit`` bytes of text; a longer text is a slice of its own."""
     if not batch.num_rows:
@@ -78,7 +105,7 @@ def write_chunks(docs: DataFrame, text: str = "text", name: str = "chunks") -> D
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array([_pack(p) for p in parts], pa.binary())], ["chunk", "rows"])
 
-    return save(docs.mapInArrow(pack, "chunk long, rows binary"), name)
+    return save(docs.mapInArrow(tidy(pack), "chunk long, rows binary"), name)
 
 
 def entries(batch_chunk: int, keys: np.ndarray, columns: list[np.ndarray], buckets: int) -> list[tuple]:

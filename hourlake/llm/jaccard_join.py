@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourlake.llm import words as W
-from hourlake.llm.chunks import bucket_count, entries, entry_batch, exchange, joined_bits, save, unpack, write_chunks
+from hourlake.llm.chunks import bucket_count, entries, entry_batch, exchange, joined_bits, save, tidy, unpack, write_chunks
 from hourlake.llm.components import components
 from hourlake.llm.quality_lines import span_hashes
 
@@ -98,7 +98,7 @@ def _describe(chunks: DataFrame, length: int) -> DataFrame:
                     pa.array(lists[0], pa.list_(pa.int64())), pa.array(lists[1], pa.list_(pa.int32()))],
                     ["doc_id", "sig", "n", "class", "bits", "chunk", "at", "grams", "held"])
 
-    return save(chunks.mapInArrow(run, _ROWS), "sets")
+    return save(chunks.mapInArrow(tidy(run), _ROWS), "sets")
 
 
 def _common(rows: DataFrame) -> np.ndarray:
@@ -158,8 +158,8 @@ def _meetings(chunks: DataFrame, common: np.ndarray, length: int, percent: int)
                     [pa.array(f.grams[f.which][hit].view(np.int64)), pa.array(f.keys[f.owner[hit]]),
                      pa.array(f.sizes[f.owner[hit]])], ["gram", "class", "n"])
 
-    known = exchange(chunks.mapInArrow(ask, "bucket int, chunk long, n int, blob binary"), ["i8", "u1"], _shared)
-    return save(chunks.join(known, "chunk").mapInArrow(tell, "gram long, class long, n long"), "meetings")
+    known = exchange(chunks.mapInArrow(tidy(ask), "bucket int, chunk long, n int, blob binary"), ["i8", "u1"], _shared)
+    return save(chunks.join(known, "chunk").mapInArrow(tidy(tell), "gram long, class long, n long"), "meetings")
 
 
 def _decide(pairs: DataFrame, rows: DataFrame, chunks: DataFrame, length: int, percent: int) -> DataFrame:
@@ -178,7 +178,7 @@ def _decide(pairs: DataFrame, rows: DataFrame, chunks: DataFrame, length: int, p
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k for k, _ in found], pa.int64()), pa.array([s for _, s in found], pa.binary())], ["class", "grams"])
 
-    sets = save(chunks.join(places, "chunk").mapInArrow(make, "class long, grams binary"), "arrays")
+    sets = save(chunks.join(places, "chunk").mapInArrow(tidy(make), "class long, grams binary"), "arrays")
     left = sets.select(F.col("class").alias("a"), F.col("grams").alias("x"))
     right = sets.select(F.col("class").alias("b"), F.col("grams").alias("y"))
 
@@ -188,7 +188,7 @@ def _decide(pairs: DataFrame, rows: DataFrame, chunks: DataFrame, length: int, p
                   for xy in zip(batch.column("x"), batch.column("y"), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return save(pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(check, "a long, b long"), "alike")
+    return save(pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(tidy(check), "a long, b long"), "alike")
 
 
 def _whole_groups(batches, keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -333,7 +333,7 @@ def _candidates(meetings: DataFrame, parts: DataFrame | None, classes: DataFrame
                 yield pa.RecordBatch.from_arrays([pa.array(a[begins]), pa.ListArray.from_arrays(pa.array(ends), pa.array(b))], ["a", "bs"])
 
     keys = ["gram", "p", "q"]
-    met = tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, bs array<long>")
+    met = tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tidy(run), "a long, bs array<long>")
     # A pair that met in many tiles is one.
     return met.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("bs"))).alias("bs")).select("a", F.explode("bs").alias("b"))
 
@@ -374,7 +374,7 @@ def _joined(prepared, length: int, percent: int) -> DataFrame:
             hit = couples(n, np.arange(len(order)), Bitmaps(both.take(pa.array(order))), first, percent) // 2
             yield batch.select(["a", "b"]).take(pa.array(hit))
 
-    first = _decide(near.select("a", "b", "n", "m", "x", "y").mapInArrow(bound, "a long, b long"), rows, chunks, length, percent)
+    first = _decide(near.select("a", "b", "n", "m", "x", "y").mapInArrow(tidy(bound), "a long, b long"), rows, chunks, length, percent)
     parts = save(components(first).select(F.col("node").alias("class"), F.col("component").alias("part")), "parts")
     rest = _decide(_candidates(meetings, parts, classes, percent), rows, chunks, length, percent)
     joined = components(parts.where("class <> part").select(F.col("class").alias("a"), F.col("part").alias("b"))
@@ -423,4 +423,4 @@ def firsts(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT) -> Da
             for blob, at in zip(batch.column("rows"), batch.column("kept"), strict=True):
                 yield unpack(blob).select(names).take(at.values)
 
-    return chunks.join(kept, "chunk").select("rows", "kept").mapInArrow(run, docs.schema)
+    return chunks.join(kept, "chunk").select("rows", "kept").mapInArrow(tidy(run), docs.schema)

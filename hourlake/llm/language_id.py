@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourlake.llm import words as W
-from hourlake.llm.chunks import slices
+from hourlake.llm.chunks import few, save, slices, tidy
 
 WINDOW = 64
 HIDDEN = 8
@@ -175,17 +175,16 @@ def pooled(w: dict[str, np.ndarray], column: pa.Array, window: int = WINDOW, blo
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> tuple[list[str], dict[str, np.ndarray]]:
     """Languages and weights learned from a bounded sample of the labelled documents that are not held out.
 
-    The sample is drawn by a hash of the document's id; it holds about ``sample_docs`` documents per language and
+    The sample is drawn by a hash of the document's id and text; it holds about ``sample_docs`` documents per language and
     SAMPLE_WINDOWS windows, spread evenly, of each, and every language that a label names. Texts without letters are not learned from.
     """
     usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text").where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").isNotNull())
-    counts = usable.groupBy("lang").count().collect()
-    if not counts:
+    shares = save(usable.groupBy("lang").agg((F.lit(float(sample_docs)) / F.count(F.lit(1))).alias("share")), "languages")
+    count = shares.count()
+    if not count:
         return [], {}
-    languages = sorted(r["lang"] for r in counts)
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, sample_docs / r["count"]))])
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(5)), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
     def cut(batches):
         for batch in batches:
@@ -200,10 +199,11 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> tuple[list[str], d
                     rows.append(raw[at: at + WINDOW])
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(rows, pa.binary())], ["lang", "bytes"])
 
-    drawn = usable.where(draw < share[F.col("lang")]).mapInArrow(cut, "lang string, bytes binary")
-    most = 2 * sample_docs * SAMPLE_WINDOWS * len(languages)
-    # The limit only backs the bound; the draw stays far below it.
-    found = sorted((r["lang"], bytes(r["bytes"])) for r in drawn.limit(most).collect())
+    drawn = usable.join(few(shares), "lang").where(draw < F.col("share")).select("lang", "text").mapInArrow(tidy(cut), "lang string, bytes binary")
+    most = 2 * sample_docs * SAMPLE_WINDOWS * count
+    # The limit only backs the bound, of equal rows say; the draw stays far below it. In the order of a hash it
+    # takes the same rows however they are dealt.
+    found = sorted((r["lang"], bytes(r["bytes"])) for r in drawn.orderBy(F.xxhash64("lang", "bytes"), "lang", "bytes").limit(most).collect())
     if not found:
         return [], {}
     languages = sorted({x for x, _ in found})
@@ -237,7 +237,7 @@ def predict(docs: DataFrame, languages: list[str], weights: dict[str, np.ndarray
                     [*names, "lang_pred", "score"])
 
     schema = type(docs.schema)(fields).add("lang_pred", "string").add("score", "double")
-    return docs.select(names).mapInArrow(run, schema)
+    return docs.select(names).mapInArrow(tidy(run), schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:

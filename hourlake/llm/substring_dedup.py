@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourlake.llm import words as W
-from hourlake.llm.chunks import bucket_count, entries, entry_batch, exchange, joined_bits, save, unpack, write_chunks
+from hourlake.llm.chunks import bucket_count, entries, entry_batch, exchange, joined_bits, save, tidy, unpack, write_chunks
 
 WINDOW = 20
 BASE = 5
@@ -154,7 +154,7 @@ def find_repeats(chunks: DataFrame, window: int = WINDOW, base: int = BASE, text
                         yield entry_batch(entries(batch.column("chunk")[i].as_py(), keys, columns, buckets))
 
         source = chunks if known is None else chunks.join(known, "chunk")
-        asked = source.mapInArrow(run, "bucket int, chunk long, n int, blob binary")
+        asked = source.mapInArrow(tidy(run), "bucket int, chunk long, n int, blob binary")
         if length < window:
             found = exchange(asked, ["u1"], _twice)
         else:
@@ -181,7 +181,7 @@ def _apply(docs: DataFrame, window: int, base: int, text: str, doc_id: str, rows
                 _replay(c, batch, i, steps[:-1])
                 yield rows_of(c, c.repeats(joined_bits(batch.column(f"level{len(steps) - 1}")[i].as_py())))
 
-    return chunks.join(known, "chunk", "left").mapInArrow(run, schema)
+    return chunks.join(known, "chunk", "left").mapInArrow(tidy(run), schema)
 
 
 def kept_words(c: _Chunk, gone: np.ndarray) -> list[bytes]:

@@ -50,15 +50,44 @@ def _load(path: str):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
+        # Units are cut from texts that hold no special token; whole texts that do go another way.
         tokenizer.encode_special_tokens = True
         size = tokenizer.get_vocab_size()
         kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         # In a byte-level vocabulary every sign of an id's name is a byte.
         sizes = np.array([len(tokenizer.id_to_token(k) or "") for k in range(size)])
-        _STATE[path] = (tokenizer, kind, sizes, _Cache())
+        special = [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values() if t.content]
+        _STATE[path] = (tokenizer, kind, sizes, _Cache(), special)
     return _STATE[path]
 
 
+def forget() -> None:
+    """Empty the caches of units."""
+    for state in _STATE.values():
+        state[3].new, state[3].old = {}, {}
+
+
+def _with_special(state: tuple, raw: bytes, offsets: np.ndarray) -> list[tuple[int, bytes]]:
+    """Index and ids of the texts that hold a special token by name, which the library takes for the token: encoded as they are."""
+    tokenizer, kind, _, _, special = state
+    found = set()
+    for name in special:
+        at = raw.find(name)
+        while at >= 0:
+            row = int(np.searchsorted(offsets, at, side="right")) - 1
+            if at + len(name) <= offsets[row + 1]:
+                found.add(row)
+                at = raw.find(name, int(offsets[row + 1]))
+            else:
+                at = raw.find(name, at + 1)
+    tokenizer.encode_special_tokens = False
+    try:
+        return [(k, np.array(tokenizer.encode(raw[offsets[k]: offsets[k + 1]].decode(), add_special_tokens=False).ids, kind).tobytes())
+                for k in sorted(found)]
+    finally:
+        tokenizer.encode_special_tokens = True
+
+
 def id_type(path: str) -> np.dtype:
     """Two bytes where all ids fit, else four."""
     return _load(path)[1]
@@ -109,7 +138,10 @@ def _learn(state: tuple, raw: bytes, begin: list[int], end: list[int], visible:
 
 
 def encode_column(column: pa.Array, path: str, end_id: int | None = 0) -> list[bytes]:
-    """Little-endian ids of each text, in :func:`id_type`, with ``end_id`` behind each; null counts as empty."""
+    """Little-endian ids of each text, in :func:`id_type`, with ``end_id`` behind each; null counts as empty.
+
+    The ids are those of the library with its defaults and add_special_tokens=False: the name of a special token in
+    a text is that token."""
     state = _load(path)
     kind, cache = state[1], state[3]
     data, offsets = W.text_buffers(column)
@@ -130,4 +162,7 @@ def encode_column(column: pa.Array, path: str, end_id: int | None = 0) -> list[b
     ids = flat[np.repeat(start[which] - after[:-1], count) + np.arange(after[-1])] if len(which) else flat
     bounds = after[np.searchsorted(begin, offsets)].tolist()
     tail = b"" if end_id is None else np.array([end_id], kind).tobytes()
-    return [ids[a:b].tobytes() + tail for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    out = [ids[a:b].tobytes() + tail for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    for k, whole in _with_special(state, data.tobytes(), offsets):
+        out[k] = whole + tail
+    return out
