@@ -150,18 +150,19 @@ def repeat(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     gets its part of them, by how many such rows there are, and none takes the place of another.
     """
     rest = [c for c in docs.columns if c not in ("doc_id", "source", "text")]
-    same = ["doc_id", "source", "_sig"]
-    marked = docs.withColumn("_sig", F.xxhash64("text")).withColumn(
-        "_rest", F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in rest]))) if rest else F.lit(0).cast("long"))
-    kinds = marked.groupBy(*same, "_rest").agg(F.count(F.lit(1)).alias("n"))
+    same, kind = ["doc_id", "source", "_sig"], ["_k1", "_k2"]
+    other = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rest])) if rest else F.lit("")
+    # Two hashes of the whole row, never null: whole texts then cross the network once, for both the grouping and the join.
+    whole = [F.col("doc_id").isNull(), "doc_id", F.col("source").isNull(), "source", "text", other]
+    marked = docs.withColumn("_sig", F.xxhash64("text")).withColumns(
+        {"_k1": F.xxhash64(*whole), "_k2": F.xxhash64(F.lit(1), *whole)})
+    kinds = marked.groupBy(*same, *kind).agg(F.count(F.lit(1)).alias("n"))
     every = Window.partitionBy(*same)
-    upto = F.sum("n").over(every.orderBy("_rest").rowsBetween(Window.unboundedPreceding, 0))
-    kinds = kinds.select(*[F.col(c).alias(f"k_{c}") for c in (*same, "_rest")], "n", upto.alias("upto"), F.sum("n").over(every).alias("of"))
+    upto = F.sum("n").over(every.orderBy(*kind).rowsBetween(Window.unboundedPreceding, 0))
+    kinds = kinds.select(*[F.col(c).alias(f"k_{c}") for c in same], *kind, "n", upto.alias("upto"), F.sum("n").over(every).alias("of"))
     copies = mixed.groupBy("doc_id", "source", "sig").agg(F.sum("copies").alias("copies")).where("copies > 0")
     shared = kinds.join(copies, F.col("k_doc_id").eqNullSafe(F.col("doc_id")) & F.col("k_source").eqNullSafe(F.col("source")) & (F.col("k__sig") == F.col("sig")))
     part = F.floor(F.col("copies") * F.col("upto") / F.col("of")) - F.floor(F.col("copies") * (F.col("upto") - F.col("n")) / F.col("of"))
-    shared = shared.select(*[f"k_{c}" for c in (*same, "_rest")], part.cast("int").alias("_copies")).where("_copies > 0")
-    one = marked.dropDuplicates([*same, "_rest"])
-    joined = one.join(shared, F.col("doc_id").eqNullSafe(F.col("k_doc_id")) & F.col("source").eqNullSafe(F.col("k_source"))
-                      & (F.col("_sig") == F.col("k__sig")) & (F.col("_rest") == F.col("k__rest")))
+    shared = shared.select(*kind, part.cast("int").alias("_copies")).where("_copies > 0")
+    joined = marked.dropDuplicates(kind).join(shared, kind)
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
