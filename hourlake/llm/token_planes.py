@@ -30,6 +30,8 @@ from hourlake.llm.chunks import save, slices
 
 BLOCK = 1 << 16
 DOCS_PER_FRAME = 4096
+#: Text of a file; a longer text is a file of its own at most.
+FILE_BYTES = 64 << 20
 
 
 def to_planes(ids: np.ndarray, bits: bool) -> list[bytes]:
@@ -112,10 +114,12 @@ class _FileFrames:
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None, planes: str = "byte",
-                      block: int = BLOCK, level: int = 3, end_id: int = 0) -> None:
+                      block: int = BLOCK, level: int = 3, end_id: int = 0, file_bytes: int = FILE_BYTES) -> None:
     """Write the ids of every whole text of ``docs`` (doc_id, text), each ended by ``end_id``, to new files at ``path``.
 
-    ``planes``: "byte" or "bit". One shuffle ranges the documents by doc_id; a task streams its range into one file.
+    ``planes``: "byte" or "bit". One shuffle ranges the documents by doc_id; a task streams its range into one file, and there
+    are as many ranges as ``file_bytes`` of text need each, so files stay of one size as the table grows. Rows that share a
+    doc_id (or have none) are ranged by their text and by where they were read, so they need not share a file.
     """
     if planes not in ("bit", "byte"):
         raise ValueError(f"planes must be 'bit' or 'byte', not {planes!r}")
@@ -131,8 +135,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
         if out.index or out.docs:
             yield pa.RecordBatch.from_arrays([pa.array(list(out.finish()), pa.binary())], ["frame"])
 
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // file_bytes))
+    order = ["doc_id", "h", "at"]
     (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("h", F.xxhash64("text"))
-     .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "h").drop("h")
+     .withColumn("at", F.monotonically_increasing_id())
+     .repartitionByRange(files, *order).sortWithinPartitions(*order).drop("h", "at")
      .mapInArrow(frames, "frame binary").select(F.col("frame").cast("string").alias("value"))
      .write.option("lineSep", "\n").text(path))
 
@@ -201,7 +209,9 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).where("length > 0")
     read = save(files.select("path", "content").mapInArrow(rows, fields), "token-rows")
     totals = read.groupBy("file").agg(F.sum("n_tokens").alias("n"))
-    before = totals.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before"))
+    # In the order of their tasks' numbers, which the names pad to five digits only.
+    part = F.regexp_extract("file", "part-([0-9]+)[^/]*$", 1).cast("long")
+    before = totals.select("file", (F.sum("n").over(Window.orderBy(part, "file")) - F.col("n")).alias("before"))
     out = read.join(before, "file").select(
         "doc_id", (F.col("before") + F.col("local")).alias("start"), "n_tokens", "ids_crc32", "file", "ids")
     return out if with_ids else out.drop("ids")

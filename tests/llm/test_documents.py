@@ -28,7 +28,6 @@ def plain_ids(text):
 
     if not hasattr(plain_ids, "t"):
         plain_ids.t = Tokenizer.from_file(tokens.public_path())
-        plain_ids.t.encode_special_tokens = True
     return [*plain_ids.t.encode(text or "", add_special_tokens=False).ids, 0]
 
 
@@ -233,6 +232,17 @@ def test_tokens_of_odd_white_space_and_signs():
 
 
 @pytest.mark.parametrize("planes", ["bit", "byte"])
+def test_special_tokens_are_tokens():
+    texts = ["x <|endoftext|> y", "<|endoftext|>", None, "a<|endoftext|><|endoftext|> b\n<|endoftext|>", "<|endoftext", "|>", "x  y", " <|ENDOFTEXT|>",
+             "word " * 3000 + "<|endoftext|>" + " word" * 3000]
+    for column in (pa.array(texts, pa.string()), pa.array(["q", *texts], pa.string()).slice(1)):
+        for _ in range(2):  # with a cache, too
+            got = tokens.encode_column(column, tokens.public_path())
+            assert [np.frombuffer(g, tokens.id_type(tokens.public_path())).tolist() for g in got] == [plain_ids(t) for t in texts]
+    assert plain_ids("x <|endoftext|> y")[:3] == [87, 220, 50256]
+    tokens.forget()
+
+
 def test_token_files_round_trip(spark, messy, empty, planes):
     path = scratch_dir(spark, "test-planes")
     token_planes.write_token_files(messy, path, planes=planes, block=1000)
@@ -250,6 +260,31 @@ def test_token_files_round_trip(spark, messy, empty, planes):
     assert token_planes.read_token_files(spark, path).count() == 0
 
 
+def test_token_files_of_a_hot_id_and_large_numbers(spark, tmp_path_factory):
+    """A third of all rows without an id need not share a file; files go by number, not by name."""
+    rows = [(None, f"text {k} " * 20) for k in range(200)] + [(k, f"other {k}") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    path = str(tmp_path_factory.mktemp("run-planes")) + "/files"
+    token_planes.write_token_files(docs, path, file_bytes=2_000)
+    got = token_planes.read_token_files(spark, path).collect()
+    assert len({r.file for r in got if r.doc_id is None}) > 1 and len({r.file for r in got}) > 8
+    import os
+    names = sorted(n for n in os.listdir(path) if n.startswith("part-") and os.path.getsize(f"{path}/{n}"))
+    for n in names:  # as names are beyond 99,999 tasks
+        os.rename(f"{path}/{n}", f"{path}/" + n.replace(n[:10], f"part-{99_997 + int(n[5:10])}", 1))
+        if os.path.exists(f"{path}/.{n}.crc"):
+            os.rename(f"{path}/.{n}.crc", f"{path}/." + n.replace(n[:10], f"part-{99_997 + int(n[5:10])}", 1) + ".crc")
+    again = token_planes.read_token_files(spark, path).collect()
+    starts = lambda found: sorted(((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in found), key=repr)
+    assert starts(again) == starts(got)
+    at = 0
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+    ids = [r.doc_id for r in sorted(got, key=lambda r: r.start)]
+    assert ids == sorted(ids, key=lambda x: (x is not None, x))
+
+
 def test_planes_of_both_widths():
     for kind in ("<u2", "<u4"):
         ids = np.random.default_rng(1).integers(0, 50_000, 1003).astype(kind)

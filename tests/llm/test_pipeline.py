@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF
-from hourlake.llm import jaccard_join, language_id
+from hourlake.llm import jaccard_join, language_id, mixing
 from llm.test_documents import jaccard_sets, reachable
 
 
@@ -55,3 +55,45 @@ def test_every_labelled_language_is_learned(spark):
     assert len(want) > 64
     languages, weights = language_id.learn(docs)
     assert languages == want and len(weights["c"]) == len(want)
+
+
+def test_mix_keeps_rows_that_differ_in_other_columns(spark):
+    text = " ".join(f"w{k}" for k in range(30))
+    rows = [(1, text, "s", "en"), (1, text, "s", "de"), (1, text, "s", "de"), (2, text + " x", "s", "en"), (None, text, None, "fr"), (3, None, "s", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    mixed = docs.select("doc_id", "source", F.xxhash64("text").alias("sig"), F.lit(1).cast("long").alias("copies"))
+    got = sorted((tuple(r) for r in mixing.repeat(docs, mixed).collect()), key=repr)
+    assert got == sorted(rows, key=repr)
+    twice = sorted((tuple(r) for r in mixing.repeat(docs, mixed.withColumn("copies", F.lit(2).cast("long"))).collect()), key=repr)
+    assert twice == sorted(rows * 2, key=repr)
+
+
+def _written(spark, docs):
+    from hourlake.session import scratch_dir
+    folder = scratch_dir(spark, "pipeline-input")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    return folder
+
+
+def test_whole_run_on_messy_rows(spark, messy):
+    """Null, repeated and odd rows through all stages: pieces of every kept document, each id once, all windows full but the last."""
+    real = spark.read.parquet(f"{SF}/documents.parquet").limit(60).withColumn("doc_id", F.col("doc_id") + 1000)
+    docs = messy.unionByName(real, allowMissingColumns=True)
+    out = corpus_pipeline.run(spark, _written(spark, docs)).collect()
+    per = {}
+    for r in out:
+        assert r.length > 0 and 0 <= r.offset and r.offset + r.length <= 1024
+        per.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for pieces in per.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+    ids = {r.doc_id for r in out}
+    # Texts without a letter are gone, unlinked ones with enough to take are there whatever their id.
+    assert not {40, 41, 42, 48} & ids and 45 in ids
+
+
+def test_whole_run_on_an_empty_table(spark, empty):
+    out = corpus_pipeline.run(spark, _written(spark, empty))
+    assert out.count() == 0 and "sequence_id" in out.columns

@@ -104,7 +104,7 @@ def test_chat_round_trip_and_odd_rows(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')").fetchall()
     want = con.execute(ORACLE_SQL[name])
     columns = [d[0] for d in want.description]
