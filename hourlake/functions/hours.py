@@ -176,9 +176,13 @@ def below_root(path: Column, root_path: str) -> Column:
 
 
 def in_hour_folder(relative: Column, layout: str = "plain") -> Column:
-    """Whether a path below the root begins with the folders of an hour."""
+    """Whether a path below the root begins with the folders of an hour.
+
+    The optimizer hands a condition on one side of a join to the other, whose paths may lie below another root; it
+    leaves one that depends on where a row is, as the (always true) outer one does, where it stands."""
     shape = _SHAPES[layout]
-    return F.translate(F.substring(relative, 1, len(shape)), "#0123456789", "-##########") == F.lit(shape)
+    begins = F.translate(F.substring(relative, 1, len(shape)), "#0123456789", "-##########") == F.lit(shape)
+    return F.when(F.spark_partition_id() >= 0, begins)
 
 
 def hour_columns_from_path(relative: Column, layout: str = "plain") -> list[Column]:

@@ -7,6 +7,7 @@ import pytest
 
 from conftest import plan_text, write_plain
 from hourlake.functions.hours import HourRange, hour_glob
+from hourlake.operators.files import new_files
 from hourlake.operators.ledger import latest_runs, read_ledger
 from hourlake.plans.ingest import ingest
 from hourlake.sources.inventory import list_files, list_published_files
@@ -174,3 +175,12 @@ def test_batch_run_twice_leaves_one_copy(spark, workdir):
     other.awaitTermination()
     with pytest.raises(ValueError):
         ingest_stream(spark, src, dest + "2", ck + "3", SCHEMA, quarantine=bad)
+
+
+def test_inventories_of_two_roots_meet(spark, workdir):
+    a, b = _paths(workdir, "a", "b")
+    write_plain(a, f"{DAY} 00", "p.json", ['{"id":1}'])
+    write_plain(b, f"{DAY} 00", "p.json", ['{"id":1}'])
+    one, two = list_files(spark, a), list_files(spark, b)
+    assert new_files(one, two).count() == 1 and one.join(two, "path").count() == 0
+    assert sorted(r.day for r in one.unionByName(two).collect()) == ["01", "01"]
