@@ -9,7 +9,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from hourlake.functions.hours import PARTITION_COLUMNS
+from hourlake.operators.files import total_bytes
 from hourlake.operators.parse import bad_records, good_records, output_struct, parse_documents
+from hourlake.sources.inventory import list_files
 from hourlake.sources.landing import documents, path_exists, root_path, with_hour
 from hourlake.sources.schema_log import log_schema
 
@@ -48,7 +50,7 @@ def ingest_stream(spark: SparkSession, source: str, dest: str, checkpoint: str,
                   max_files_per_trigger: int | None = None,
                   available_now: bool = True, json_options: dict | None = None,
                   quarantine: str | None = None,
-                  source_options: dict | None = None) -> list[StreamingQuery]:
+                  source_options: dict | None = None, max_batches: int | None = None) -> list[StreamingQuery]:
     """Append newly landed documents to ``dest`` (its own root).
 
     The checkpoint remembers which files were taken, so a later run only
@@ -57,11 +59,16 @@ def ingest_stream(spark: SparkSession, source: str, dest: str, checkpoint: str,
     drains everything present in such batches and stops. No shuffle: each
     task writes the hours it read, and batches stay bounded by the cap.
 
+    A micro-batch costs a second or more whatever it holds, so with a fixed cap a large backlog takes as many of these as it
+    has caps. ``max_batches`` raises the cap to that share of the landed bytes where it is larger (see :func:`batch_bytes`).
+
     Without ``quarantine`` the good documents go to a file-sink table, whose ``_spark_metadata`` log makes every
     batch exactly-once. With it, one query parses each batch once (:func:`publish_batch`) and writes
     good documents to ``dest`` and bad ones to ``quarantine``, in folders of the batch. Returns the started queries.
     """
     checkpoint, dest = checkpoint.rstrip("/"), dest.rstrip("/")
+    if max_bytes_per_trigger and max_batches:
+        max_bytes_per_trigger = batch_bytes(spark, source, layout, max_bytes_per_trigger, max_batches)
     parsed = parse_documents(documents(landing_stream(
         spark, source, layout, max_bytes_per_trigger, max_files_per_trigger, source_options)),
         schema, "PERMISSIVE", json_options)
@@ -80,6 +87,13 @@ def ingest_stream(spark: SparkSession, source: str, dest: str, checkpoint: str,
     return [writer.start()]
 
 
+def batch_bytes(spark: SparkSession, source: str, layout: str, least: int, batches: int) -> int:
+    """Bytes of a micro-batch, ``least`` or more, of which ``batches`` hold everything landed. Batches are filled with whole
+    files, so there are a few more of them, twice as many at most."""
+    landed = total_bytes(list_files(spark, source, "all", layout)).first()["total_bytes"]
+    return max(int(least), -(-landed // int(batches)))
+
+
 def publish_batch(batch: DataFrame, batch_id: int, dest: str, quarantine: str) -> None:
     """Write a micro-batch's good documents under ``dest`` and its bad ones under ``quarantine``.
 

@@ -62,6 +62,16 @@ def test_byte_cap_splits_batches(spark, workdir):
     assert sorted(r.id for r in read_published(spark, dest).collect()) == [0, 1, 2, 3]
 
 
+def test_a_large_backlog_takes_a_bounded_number_of_batches(spark, workdir):
+    src, dest, ck = (os.path.join(workdir, n) for n in ("l", "lake", "ck"))
+    for h in range(9):
+        write_plain(src, f"2024-01-01 0{h}", "a.json", [f'{{"id":{h}}}'])
+    (query,) = ingest_stream(spark, src, dest, ck, "id bigint", max_bytes_per_trigger=1, max_batches=3)
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p["numInputRows"] > 0]) == 3
+    assert sorted(r.id for r in read_published(spark, dest).collect()) == list(range(9))
+
+
 def test_published_hours_with_drifting_columns(spark, workdir):
     from hourlake.plans.ingest import ingest
 
