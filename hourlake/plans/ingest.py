@@ -180,9 +180,9 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
             report.documents = int(counts.get("documents") or 0)
             report.quarantined = int(counts.get("bad") or 0)
             report.published = report.documents - report.quarantined
-            if report.published and (ledger or swap):
-                # Exactly what the write committed, retries and all: the footers of its files.
-                hour_rows = written_rows(spark, folder, hr, counts["good"])
+            if report.published and (ledger or swap or report.quarantined):
+                # Exactly what the write committed, retries and all: the footers of its files, read once (a row per hour).
+                hour_rows = written_rows(spark, folder, hr, counts["good"]).persist()
             if report.quarantined:
                 # A second pass only when the first one met bad documents, and only
                 # over the hours between the first and the last that holds one.
@@ -193,13 +193,16 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
                     # One folder per run, hour keys as columns: a few files per run
                     # rather than one per hour, and a re-run never mixes with or
                     # hides an earlier run's bad documents.
-                    (bad_records(again).write.mode("overwrite")
-                     .parquet(f"{quarantine.rstrip('/')}/run_id={report.run_id}"))
-                hopeless = again.groupBy(*PARTITION_COLUMNS).agg(
-                    F.count(F.lit(1)).alias("n"), F.count(F.col(CORRUPT)).alias("bad")).where("n = bad")
+                    aside = f"{quarantine.rstrip('/')}/run_id={report.run_id}"
+                    bad_records(again).write.mode("overwrite").parquet(aside)
+                    bad = spark.read.schema(", ".join(f"{c} string" for c in PARTITION_COLUMNS)).parquet(aside)
+                else:
+                    bad = bad_records(again)
+                # That pass is the only other parse: bad documents are counted where it wrote them, or kept as a row per
+                # hour, and an hour is hopeless if it has some and the first pass wrote none of its rows.
+                hour_bad = bad.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("hour_bad")).persist()
+                hopeless = hour_bad if hour_rows is None else hour_bad.join(hour_rows, list(PARTITION_COLUMNS), "left_anti")
                 report.all_bad_hours = sorted(tuple(r) for r in hopeless.select(*PARTITION_COLUMNS).collect())
-                if ledger:
-                    hour_bad = again.groupBy(*PARTITION_COLUMNS).agg(F.count(F.col(CORRUPT)).alias("hour_bad"))
         if swap and struct is not None:
             register_table(spark, table, dest, struct, recover=False)
             if hour_rows is not None:
@@ -222,6 +225,9 @@ def ingest(spark: SparkSession, source: str, dest: str, hours: HourSpec = None,
         report.end_time = datetime.now(timezone.utc)
         if ledger:
             record_run(spark, report, inventory, ledger, hour_rows, hour_bad)
+        for kept in (hour_rows, hour_bad):
+            if kept is not None:
+                kept.unpersist()
     return report
 
 

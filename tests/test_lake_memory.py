@@ -184,3 +184,29 @@ def test_inventories_of_two_roots_meet(spark, workdir):
     one, two = list_files(spark, a), list_files(spark, b)
     assert new_files(one, two).count() == 1 and one.join(two, "path").count() == 0
     assert sorted(r.day for r in one.unionByName(two).collect()) == ["01", "01"]
+
+
+def test_bad_documents_are_counted_where_they_were_written(spark, workdir, monkeypatch):
+    """The ledger's bad documents come from the quarantine's own pass: the landing is not parsed again for them."""
+    import hourlake.plans.ingest as plan
+
+    src, dest, bad, ledger = _paths(workdir, "l", "lake", "q", "ledger")
+    write_plain(src, f"{DAY} 00", "p.json", ['{"id":1}', '{"id":2'])
+    write_plain(src, f"{DAY} 01", "p.json", ['{"id":3'])
+    record = plan.record_run
+
+    def changed_before_the_end(spark, report, *rest):
+        if report.end_time is not None:
+            for hour in ("00", "01"):
+                write_plain(src, f"{DAY} {hour}", "p.json", ['{"id":1}', '{"id":2}'])
+        record(spark, report, *rest)
+
+    monkeypatch.setattr(plan, "record_run", changed_before_the_end)
+    for quarantine, mode in ((bad, "PERMISSIVE"), (None, "PERMISSIVE"), (bad, "DROPMALFORMED")):
+        write_plain(src, f"{DAY} 00", "p.json", ['{"id":1}', '{"id":2'])
+        write_plain(src, f"{DAY} 01", "p.json", ['{"id":3'])
+        report = plan.ingest(spark, src, dest, "all", schema="id bigint", quarantine=quarantine, mode=mode, ledger=ledger)
+        assert report.all_bad_hours == [("2024", "01", "01", "01")]
+        got = {r.hour: (r.hour_rows, r.hour_bad, r.status) for r in latest_runs(read_ledger(spark, ledger)).collect()}
+        assert got == {"00": (1, 1, "succeeded"), "01": (0, 1, "all_bad")}
+    assert spark.read.parquet(bad).count() == 2
