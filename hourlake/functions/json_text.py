@@ -54,6 +54,12 @@ def _flat(text: Column) -> Column:
     return text.startswith("{") & (F.locate("}", text) == F.length(text))
 
 
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is computed once. A lambda's body is interpreted, and what stands in it twice is computed
+    twice; its argument is not."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _listed(text: Column) -> Column:
     """array<string>: the values of a comma-separated list, null unless the whole text is one.
 
@@ -63,8 +69,8 @@ def _listed(text: Column) -> Column:
     """
     guard = F.xxhash64(text).cast("string")
     read = F.from_json(F.concat(F.lit("[["), text, F.lit("],["), guard, F.lit("]]")), "array<array<string>>")
-    complete = (F.size(read) == 2) & (F.get(F.get(read, F.lit(1)), F.lit(0)) == guard)
-    return F.when(complete, F.get(read, F.lit(0)))
+    complete = lambda r: (F.size(r) == 2) & (F.get(F.get(r, F.lit(1)), F.lit(0)) == guard)
+    return _once(read, lambda r: F.when(complete(r), F.get(r, F.lit(0))))
 
 
 def is_one_value(doc: Column) -> Column:
@@ -85,13 +91,13 @@ def document_values(fragment: Column, trimmed: bool = False) -> Column:
     elements = lambda value: F.when(value.startswith("["), F.coalesce(_texts(value), F.array(value))) \
         .otherwise(F.array(value))
     several = lambda array: F.transform(array, lambda e: F.struct(e.alias("doc"), F.lit(True).alias("whole")))
-    count = F.coalesce(F.size(_listed(text)), F.lit(0))
-    return (F.when(_flat(text), one(True))
-            .when(count < 1, one(False))
-            .when(count > 1, F.coalesce(
-                several(F.flatten(F.transform(_texts(F.concat(F.lit("["), text, F.lit("]"))), elements))), one(False)))
-            .when(text.startswith("["), F.coalesce(several(_texts(text)), one(False)))
-            .otherwise(one(True)))
+    by_count = lambda count: (
+        F.when(count < 1, one(False))
+        .when(count > 1, F.coalesce(
+            several(F.flatten(F.transform(_texts(F.concat(F.lit("["), text, F.lit("]"))), elements))), one(False)))
+        .when(text.startswith("["), F.coalesce(several(_texts(text)), one(False)))
+        .otherwise(one(True)))
+    return F.when(_flat(text), one(True)).otherwise(_once(F.coalesce(F.size(_listed(text)), F.lit(0)), by_count))
 
 
 def line_documents(line: Column) -> Column:

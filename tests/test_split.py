@@ -3,7 +3,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from hourlake.functions.json_text import document_values, split_documents, token_count
+from conftest import plan_text
+from hourlake.functions.json_text import document_values, line_documents, split_documents, token_count
 from hourlake.operators.parse import parse_documents
 from hourlake.operators.reconcile import reconcile
 from hourlake.sources.landing import documents
@@ -117,3 +118,9 @@ def test_audit_sees_a_lost_document(spark):
     assert reconcile(lost, none, published).first().matches
     audit = reconcile(lost, none, published, lines).first()
     assert (audit.landed_tokens, audit.document_tokens, audit.matches) == (9, 6, False)
+
+
+def test_a_fragment_is_read_once(spark):
+    """What stands in a lambda's body is computed as often as it stands there."""
+    df = spark.createDataFrame([("[1,2]",)], "v string")
+    assert plan_text(df.select(line_documents(F.col("v")).alias("d")), "extended").split("== Physical Plan ==")[1].count("concat([[") == 1
