@@ -242,6 +242,28 @@ def test_special_tokens_are_tokens():
     tokens.forget()
 
 
+def test_units_are_learned_once_and_words_end_before_signs(monkeypatch):
+    """Known units, with whatever signs behind them, are looked up; a cache that is full is emptied and goes on right."""
+    rng = random.Random(5)
+    signs = ["a", "Zebra", "t", "re", "'", "'s", "'re", ",", "...", "$", "9", "42", " ", "  ", "\n", "-", "@", "[", "`", "{", "~", "_", "é", "ñ", "日", "\u00a0", "\t"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 12))) for _ in range(6000)]
+    want = [plain_ids(t) for t in texts]
+    for most in (tokens.CACHE_UNITS, 50):
+        monkeypatch.setattr(tokens, "CACHE_UNITS", most)
+        tokens.forget()
+        for some in (slice(0, 6000), slice(0, 3000), slice(3000, 3010), slice(2000, 6000)):
+            got = tokens.encode_column(pa.array(texts[some], pa.string()), tokens.public_path())
+            assert [np.frombuffer(x, "<u2").tolist() for x in got] == want[some]
+    tokens.forget()
+    learn, asked = tokens._learn, []
+    monkeypatch.setattr(tokens, "CACHE_UNITS", 1000)
+    monkeypatch.setattr(tokens, "_learn", lambda state, data, begin, *rest: asked.append(len(begin)) or learn(state, data, begin, *rest))
+    for text in ("one word", "one word, one word. One, word!", "word, word. one"):
+        tokens.encode_column(pa.array([text]), tokens.public_path())
+    assert asked == [2, 5, 1]  # "one", " word"; ",", " one", ".", " One", "!"; "word"
+    tokens.forget()
+
+
 @pytest.mark.parametrize("planes", ["bit", "byte"])
 def test_token_files_round_trip(spark, messy, empty, planes):
     path = scratch_dir(spark, "test-planes")
